@@ -46,17 +46,20 @@ def story_key(url: ColumnOrName, title: ColumnOrName, created_at: ColumnOrName |
     elif form == "hash":
         if created_at is None:
             raise ValueError("form='hash' needs created_at")
-        fallback = F.concat(
-            F.lit("hn://"),
-            F.date_format(_c(created_at), "yyyy-MM-dd'T'HH:mm:ssxxx"),
-            F.lit("/"),
-            F.sha2(_c(title), 256),
-        )
+        fallback = F.concat(F.lit("hn://"), iso_text(created_at), F.lit("/"), F.sha2(_c(title), 256))
     else:
         raise ValueError(f"unknown story key form {form!r}")
     return F.coalesce(nonempty(url), fallback)
 
 
+def iso_text(c: ColumnOrName) -> Column:
+    """Timestamp as Python's ``datetime.isoformat()`` of a UTC value (``T`` separator, ``+00:00``)."""
+    col = _c(c)
+    micros = F.unix_micros(col.cast("timestamp")) % F.lit(1_000_000)
+    return F.when(micros == 0, F.date_format(col, "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(
+        F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+
+
 def timestamp_text(c: ColumnOrName) -> Column:
     """Timestamp rendered the way a pandas ``str()`` of a UTC timestamp reads.
 

@@ -59,7 +59,7 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def _load_all() -> None:
     # Query modules register themselves on import.
-    from kestrel.plans import queries_core, queries_dq, queries_ingest  # noqa: F401
+    from kestrel.plans import queries_core, queries_dq, queries_ingest, queries_io  # noqa: F401
 
 
 __all__ = ["AS_OF", "AS_OF_SQL", "register", "queries", "oracle_sql", "ntz", "b", "rollup"]
