@@ -17,9 +17,27 @@ from kestrel.sources.payloads import html_text
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
+def ngrams(toks: Column, k: int) -> Column:
+    """Space-joined k-grams of a token array, built in O(n k) by zipping shifted copies."""
+    if k == 1:
+        return toks
+    out = toks
+    for j in range(1, k):
+        shifted = F.slice(toks, j + 1, F.greatest(F.size(toks) - j, F.lit(0)))
+        out = F.zip_with(out, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_compact(out)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than the cluster has cores
+    (a small table stored as one row group); a no-op for inputs that are already split."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased word tokens of a whole text (letters and digits; everything else separates)."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
 
 
 # --- X5 language share ----------------------------------------------------------------------
@@ -89,17 +107,21 @@ def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None)
 def sentiment(docs: DataFrame, group: str, lexicon: DataFrame, text: str = "text") -> DataFrame:
     """Per group: documents, tokens, lexicon hits and score = sum(weight) / tokens.
 
-    Token counts come from array sizes (no explode); only lexicon hits are exploded and
-    joined against the lexicon (broadcast behind a checked bound).
+    One pass: every token of every whole text is exploded once and left-joined to the
+    lexicon (broadcast behind a checked bound); a single aggregate counts documents
+    (position 0), tokens, hits and weight.
     """
-    toks = docs.select(group, tokens(F.col(text)).alias("__t"))
-    totals = toks.groupBy(group).agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("__t")).cast("bigint").alias("tokens"))
-    hits = toks.select(group, F.explode("__t").alias("word")).join(maybe_broadcast(lexicon), "word", "inner")
-    hit_agg = hits.groupBy(group).agg(F.count(F.lit(1)).alias("hits"), F.sum("weight").alias("weight"))
-    out = totals.join(hit_agg, group, "left")
-    return out.select(
-        group, "documents", "tokens", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"),
-        F.round(F.coalesce(F.col("weight"), F.lit(0.0)) / F.col("tokens"), 6).alias("score"),
+    ex = spread(docs).select(group, F.posexplode_outer(tokens(F.col(text))).alias("__pos", "word"))
+    j = ex.join(maybe_broadcast(lexicon.select("word", "weight")), "word", "left")
+    agg = j.groupBy(group).agg(
+        F.count_if(F.col("__pos").isNull() | (F.col("__pos") == 0)).alias("documents"),
+        F.count("word").alias("tokens"),
+        F.count("weight").alias("hits"),
+        F.sum("weight").alias("__w"),
+    )
+    return agg.select(
+        group, "documents", "tokens", "hits",
+        F.when(F.col("tokens") > 0, F.round(F.coalesce(F.col("__w"), F.lit(0.0)) / F.col("tokens"), 6)).alias("score"),
     )
 
 
@@ -208,17 +230,15 @@ def mention_match(docs: DataFrame, names: DataFrame, id_col: str, text: str = "t
     """
     nm = names.select("name", F.array_join(tokens(F.col("name")), " ").alias("gram")).where(F.col("gram") != "")
     nm = nm.select("name", "gram", F.size(F.split("gram", " ")).alias("k")).where(F.col("k") <= max_name_tokens)
-    t = docs.select(id_col, tokens(F.col(text)).alias("__t"))
+    t = spread(docs).select(id_col, tokens(F.col(text)).alias("__t"))
     # Name lengths present (at most max_name_tokens distinct values): only those n-grams are built.
     lengths = sorted(r["k"] for r in nm.select("k").distinct().collect())
+    if not lengths:
+        return docs.sparkSession.createDataFrame([], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, name string, mentions bigint")
     grams = []
     for k in lengths:
-        g = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("__t") - k + 1, F.lit(0))),
-            lambda i, k=k: F.array_join(F.slice(F.col("__t"), i, k), " "),
-        ) if k > 1 else F.col("__t")
-        grams.append(F.when(F.size("__t") >= k, g).otherwise(F.array().cast("array<string>")))
-    ex = t.select(id_col, F.explode(F.flatten(F.array(*grams))).alias("gram"))
+        grams.append(ngrams(F.col("__t"), k))
+    ex = t.select(id_col, F.explode(F.concat(*grams) if len(grams) > 1 else grams[0]).alias("gram"))
     hits = ex.join(maybe_broadcast(nm.select("name", "gram")), "gram", "inner")
     return hits.groupBy(id_col, "name").agg(F.count(F.lit(1)).alias("mentions"))
 

@@ -120,11 +120,11 @@ def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item
     """
     hits = F.from_json(F.col(PAYLOAD), T.StructType([T.StructField("hits", T.ArrayType(HIT_ITEM))]))["hits"]
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, F.explode(hits).alias("__h"))
+    ex = df.select(*ctx, F.posexplode(hits).alias("position", "__h"))
     h = F.col("__h")
     title = falsy_coalesce(h["title"], h["story_title"], default="(no title)")
     out = ex.select(
-        *ctx,
+        *ctx, "position",
         title.alias("title"), h["url"].alias("url"),
         F.coalesce(h["points"], F.lit(0)).cast("int").alias("points"),
         falsy_coalesce(h["author"], default="anonymous").alias("author"),
