@@ -215,19 +215,24 @@ def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | No
 # --- N8 job-board HTML -> listings -----------------------------------------------------------
 # Board rules (fixed values). A posting block is cut either by a closing tag
 # (``block``) or by splitting at each posting start (``split``).
+def _cls(token: str) -> str:
+    """Regex for a class attribute holding ``token`` as one whitespace-separated class."""
+    return rf'class="(?:[^"]*\s)?{token}(?:\s[^"]*)?"'
+
+
 JOB_BOARDS = {
     "lever": {
         "url": "https://jobs.lever.co/{slug}",
-        "split": r'<div[^>]*class="[^"]*\bposting\b[^"]*"[^>]*>',
+        "split": rf"<div[^>]*{_cls('posting')}[^>]*>",
         "title": r"(?s)<h5[^>]*>(.*?)</h5>",
-        "location": r'(?s)class="[^"]*\blocation\b[^"]*"[^>]*>(.*?)</',
-        "link": r'<a[^>]*class="[^"]*\bposting-title\b[^"]*"[^>]*>',
+        "location": rf"(?s){_cls('location')}[^>]*>(.*?)</",
+        "link": rf"<a[^>]*{_cls('posting-title')}[^>]*>",
     },
     "greenhouse": {
         "url": "https://boards.greenhouse.io/{slug}",
-        "split": r'<div[^>]*class="[^"]*\bopening\b[^"]*"[^>]*>',
+        "split": rf"<div[^>]*{_cls('opening')}[^>]*>",
         "title": r"(?s)<a[^>]*>(.*?)</a>",
-        "location": r'(?s)class="[^"]*\blocation\b[^"]*"[^>]*>(.*?)</',
+        "location": rf"(?s){_cls('location')}[^>]*>(.*?)</",
         "link": r"<a[^>]*>",
     },
     "links": {
