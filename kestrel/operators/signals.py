@@ -167,13 +167,23 @@ ALERT_RULES = [
 
 def keyword_alerts(docs: DataFrame, id_col: str, segment_col: str, table: str, text: str = "text",
                    as_of=None) -> DataFrame:
-    """One alert row (DQ-result envelope) per (document, rule) that matches anywhere in the text."""
+    """One alert row (DQ-result envelope) per (document, rule) that matches anywhere in the text.
+
+    One regex pass per whole text finds the phrases of all rules together (zero-width
+    lookahead for the right boundary, so adjacent phrases are all seen). The phrases are
+    generated as rows (the regex runs once, inside the generator), attributed to their
+    rule, and only those few rows are de-duplicated per (document, rule).
+    """
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    rules = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(text).rlike(word_pattern(p)).alias("hit"))
-                      for n, p in ALERT_RULES])
-    ex = docs.select(id_col, segment_col, F.explode(rules).alias("__r")).where(F.col("__r.hit"))
-    return ex.select(
-        F.concat(F.lit("mention["), F.col("__r.rule"), F.lit("]")).alias("check_name"),
+    every = "|".join(p for _, p in ALERT_RULES)
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(rf"(^|[^\p{{L}}\p{{N}}])({every})(?=[^\p{{L}}\p{{N}}]|$)"), 2)
+    phrases = spread(docs).select(id_col, segment_col, F.explode(found).alias("__m"))
+    rule = F.lit(None).cast("string")
+    for name, pattern in reversed(ALERT_RULES):
+        rule = F.when(F.col("__m").rlike(f"^({pattern})$"), F.lit(name)).otherwise(rule)
+    hits = phrases.select(id_col, segment_col, rule.alias("__rule")).dropDuplicates([id_col, "__rule"])
+    return hits.select(
+        F.concat(F.lit("mention["), F.col("__rule"), F.lit("]")).alias("check_name"),
         F.lit(table).alias("table"), F.lit(False).alias("passed"), F.lit("info").alias("severity"),
         F.concat(F.lit(f"{id_col}="), F.col(id_col).cast("string")).alias("message"),
         now.alias("measured_at"), F.col(segment_col).cast("string").alias("segment"),
@@ -197,6 +207,7 @@ def peer_rank(gold: DataFrame, peers: DataFrame, metric: str = "total_stars", pe
 # --- X17 page extraction --------------------------------------------------------------------
 def page_extract(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """Title, first heading, language, link count and visible text length of whole pages."""
+    pages = spread(pages)
     h = F.col(html)
     body = h
     for pattern in (r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->"):

@@ -216,7 +216,7 @@ def _alerts_sql() -> str:
         parts.append(
             f"SELECT 'mention[{name}]' AS check_name, 'documents' AS \"table\", false AS passed, 'info' AS severity, "
             f"'doc_id=' || CAST(doc_id AS VARCHAR) AS message, {AS_OF_SQL} AS measured_at, source AS segment "
-            f"FROM documents WHERE regexp_matches(text, '{_wp(pattern)}')"
+            f"FROM documents WHERE regexp_matches(lower(text), '{_wp(pattern)}')"
         )
     return "\nUNION ALL\n".join(parts)
 
