@@ -84,3 +84,18 @@ def listing_extract(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("company"), "url", "html"
     )
     return payloads.parse_listings(pages, "links", company="company")
+
+
+@register(
+    "newest_posts_per_forum",
+    f"""
+SELECT subreddit, title, score, num_comments, author, created_utc, permalink FROM (
+  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC NULLS LAST, permalink) AS rn
+  FROM ({landing.POST_EXPECTED_SQL})) WHERE rn <= 25""",
+)
+def newest_posts_per_forum(spark: SparkSession, sf: str) -> DataFrame:
+    """The 25 newest posts of every forum (the per-forum search size), from parsed listings."""
+    from kestrel.operators import newest
+
+    posts = payloads.parse_posts(landing.post_pages(b.table(spark, sf, "events")), subreddit="subreddit")
+    return ntz(newest.newest_per_group(posts, "subreddit", "created_utc", 25, ["permalink"]))

@@ -130,3 +130,22 @@ def recent_alerts(spark: SparkSession, store: Store, limit: int = 20) -> DataFra
     alerts = spark.read.format(store.fmt).load(store.alerts)
     top = newest.recent_failures(alerts, limit)
     return top.withColumn("measured_at", timestamp_text("measured_at"))
+
+
+# Thresholds of the interactive demo run (fixed values).
+DEMO_BASELINE = [20, 25, 30, 28, 27]
+DEMO_MAX_AGE = dt.timedelta(days=365)
+DEMO_MAX_NULL_RATE = 0.2
+
+
+def demo_checks(repos: DataFrame, store: Store, as_of=None) -> tuple[DataFrame, int]:
+    """Checks on a freshly scraped frame (not read back); only failures are logged.
+
+    Returns the results frame and the number of failing rows appended to the alert log.
+    """
+    spark = repos.sparkSession
+    results = dq.row_count_anomaly(repos, "github_repos", baseline=DEMO_BASELINE, as_of=as_of).unionByName(
+        dq.freshness(repos, "github_repos", "pushed_at", DEMO_MAX_AGE, as_of=as_of)).unionByName(
+        dq.null_rate(repos, "github_repos", DEMO_MAX_NULL_RATE, as_of=as_of))
+    del spark
+    return results, lake.append_results(results, store.alerts, only_failures=True, fmt=store.fmt)

@@ -110,3 +110,26 @@ def optimize_table(spark: SparkSession, path: str, cluster_cols: Sequence[str],
     df = table.read()
     n = num_files or max(1, spark.sparkContext.defaultParallelism)
     return table.write(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols))
+
+
+def bootstrap(spark: SparkSession, root: str, schemas_by_name: dict[str, T.StructType], fmt: str = "parquet") -> list[str]:
+    """Create an empty committed version for every keyed table that has none yet (idempotent)."""
+    created = []
+    for name, schema in schemas_by_name.items():
+        t = VersionedTable(spark, f"{root.rstrip('/')}/{name}", fmt)
+        if t.latest_version() is None:
+            t.write(spark.createDataFrame([], schema))
+            created.append(name)
+    return created
+
+
+def append_results(results: DataFrame, path: str, only_failures: bool = False, fmt: str = "parquet") -> int:
+    """Append data-quality results to the alert log (all of them, or only the failing ones)."""
+    from pyspark.sql import Observation
+
+    from kestrel.schemas import DQ_RESULT
+
+    rows = results.where(~F.col("passed")) if only_failures else results
+    obs = Observation("alerts")
+    conform(rows, DQ_RESULT).observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("append").save(path)
+    return int(obs.get.get("n", 0))
