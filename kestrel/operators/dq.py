@@ -123,7 +123,10 @@ def row_count_anomaly(df: DataFrame, table: str, baseline=None, sigma: float = D
                            F.lit(None).cast("double").alias("std"), F.lit(0).cast("bigint").alias("nb"))
     else:
         b = base.agg(F.avg("n").alias("mean"), F.stddev_pop("n").alias("std"), F.count("n").alias("nb"))
-        stats = cur.crossJoin(b)  # two one-row aggregates
+        # Two one-row aggregates side by side: union them and take the one non-null value per column.
+        both = cur.select("current", *[F.lit(None).cast(t).alias(c) for c, t in (("mean", "double"), ("std", "double"), ("nb", "bigint"))]) \
+            .unionByName(b.select(F.lit(None).cast("bigint").alias("current"), "mean", "std", "nb"))
+        stats = both.agg(*[F.max(c).alias(c) for c in ("current", "mean", "std", "nb")])
     passed, msg, _ = _rowcount_fields(F.col("current"), F.col("mean"), F.col("std"), F.col("nb") > 0, sigma)
     return stats.select(F.inline(F.array(_row("row_count_anomaly", table, passed, "warning", msg, _now(as_of)))))
 

@@ -265,10 +265,11 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
         F.count(F.lit(1)).alias("__n"))
     pk = parent.select(F.col(parent_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
     miss = ck.join(pk, "__k", "left_anti")
-    total = child.agg(F.count(F.lit(1)).alias("child_rows"))
-    orphan = miss.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-                      F.count(F.lit(1)).alias("orphan_keys"))
-    return total.crossJoin(orphan)  # two one-row aggregates
+    zero = F.lit(0).cast("bigint")
+    total = child.select(F.lit(1).cast("bigint").alias("child_rows"), zero.alias("orphan_rows"), zero.alias("orphan_keys"))
+    orphan = miss.select(zero.alias("child_rows"), F.col("__n").alias("orphan_rows"), F.lit(1).cast("bigint").alias("orphan_keys"))
+    # One aggregate over both sides (no join of the two totals).
+    return total.unionByName(orphan).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("child_rows", "orphan_rows", "orphan_keys")])
 
 
 # --- X1 rolling baseline --------------------------------------------------------------------

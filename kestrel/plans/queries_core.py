@@ -44,7 +44,7 @@ def company_signals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- newest-N ---------------------------------------------------------------------------------
-from kestrel.operators import dedup, newest, upsert  # noqa: E402
+from kestrel.operators import newest, upsert  # noqa: E402
 from kestrel.operators.joins import restrict_to  # noqa: E402
 
 STORY_COLS = ["story_url", "company", "title", "points", "num_comments", "author", "created_at"]
@@ -183,6 +183,7 @@ def dedup_last_wins(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents").select(
         F.sha2("text", 256).alias("text_key"), "doc_id", "lang", "source", "n_chars"
     )
-    last = dedup.last_wins(docs, "text_key", "doc_id", keep_seq=True)
-    copies = docs.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
-    return last.join(copies, "text_key")
+    # One aggregate: the last copy's values and the number of copies per text.
+    packed = F.struct("doc_id", "lang", "source", "n_chars")
+    agg = docs.groupBy("text_key").agg(F.max_by(packed, F.col("doc_id")).alias("__v"), F.count(F.lit(1)).alias("copies"))
+    return agg.select("text_key", "__v.*", "copies")

@@ -99,11 +99,11 @@ def row_count_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     stories = b.stories(b.table(spark, sf, "events"))
     daily = stories.groupBy(F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     last = daily.agg(F.max("day").alias("last_day"))
-    tagged = daily.crossJoin(last)  # one-row aggregate on the right
     current_rows = stories.join(
-        last.select(F.col("last_day").alias("d")), F.to_date("created_at") == F.col("d"), "left_semi"
+        F.broadcast(last.select(F.col("last_day").alias("d"))), F.to_date("created_at") == F.col("d"), "left_semi"
     )
-    baseline = tagged.where(F.col("day") < F.col("last_day")).select("n")
+    # Earlier days: anti join against the (one-row) last day, then keep days before it.
+    baseline = daily.join(F.broadcast(last.select(F.col("last_day").alias("day"))), "day", "left_anti").select("n")
     return ntz(dq.row_count_anomaly(current_rows, "hn_stories", baseline=baseline, as_of=AS_OF).select(*OUT))
 
 
