@@ -217,7 +217,7 @@ def suite(df: DataFrame, tracked: DataFrame, table: str, group: str, ts_column:
           columns: Iterable[str] | None = None) -> DataFrame:
     """Row count, per-column null rate and freshness for every tracked company, one pass.
 
-    ``df`` rows are restricted to the newest ``cap`` per company (as the reference reads at
+    ``df`` rows are restricted to the newest ``cap`` per company (the daily job reads at
     most 1000 rows per company); ``baseline`` is an optional history ``(segment, n)`` of
     earlier row counts per company. Tracked companies with no rows get row_count (pass
     without baseline) and a failing freshness row, and no null-rate rows.

@@ -127,5 +127,5 @@ def empty_table(spark, name: str) -> DataFrame:
 
 
 def written_count(batch: DataFrame) -> int:
-    """Rows handed to the store by one upsert call (the reference reports the batch size; 0 when empty)."""
+    """Rows handed to the store by one upsert call (the batch size; 0 when empty)."""
     return 0 if batch.isEmpty() else batch.count()

@@ -61,7 +61,7 @@ SELECT {", ".join(STORY_COLS)} FROM r WHERE rn <= 10
 """,
 )
 def newest_per_company(spark: SparkSession, sf: str) -> DataFrame:
-    """Per tracked company, its 10 newest stories (the reference default read size)."""
+    """Per tracked company, its 10 newest stories (the default read size)."""
     s = restrict_to(_stories(spark, sf), b.tracked(b.table(spark, sf, "customer")), on="company", key_col="org")
     return ntz(newest.newest_per_group(s, "company", "created_at", 10, ["story_url"]).select(*STORY_COLS))
 
