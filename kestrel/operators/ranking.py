@@ -24,17 +24,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import materialize as materialize_table
+
 
 
 def rank_within(df: DataFrame, group: str | Sequence[str], value: str, out: str = "rank",
                 method: str = "rank", descending: bool = True, buckets: int = 32,
-                accuracy: int = 10_000) -> DataFrame:
-    """``df`` plus column ``out``: the rank (1-based, bigint) of ``value`` inside its group."""
+                accuracy: int = 10_000, materialize: bool = True) -> DataFrame:
+    """``df`` plus column ``out``: the rank (1-based, bigint) of ``value`` inside its group.
+
+    The distinct ``(group, value)`` table feeds the bucket bounds, the bucket totals and
+    the in-bucket ranks; with ``materialize`` it is computed once and written under the
+    shared folder instead of being recomputed from the input for each use.
+    """
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown method {method!r}")
     groups = [group] if isinstance(group, str) else list(group)
     v = F.col(value)
     distinct = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__cnt"))
+    if materialize:
+        distinct = materialize_table(distinct, "rank-distinct")
 
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]

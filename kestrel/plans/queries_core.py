@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kestrel.operators import rollup
 from kestrel.plans import bindings as b
 from kestrel.plans.registry import AS_OF, AS_OF_SQL, ntz, register
-from kestrel.session import shared_dir
+from kestrel.session import materialize
 
 
 def _repos(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,10 +107,9 @@ def _two_loads(target_empty: DataFrame, rows: DataFrame, ts: str, split: str, ru
     load1 = rows.where(F.col(ts) < cut)
     load2 = rows.where(F.col(ts) >= cut)
     state1 = upsert.upsert(target_empty, load1, rule, seq=seq, as_of=LOAD1_AT, strategy=strategy)
-    # The first day's table is materialised (reliable checkpoint under spark.checkpoint.dir),
-    # as the daily job reads a written table: the second merge does not recompute the first.
-    shared_dir(target_empty.sparkSession)
-    state1 = state1.checkpoint(eager=True)
+    # The first day's table is written under the shared folder, as the daily job reads a
+    # written table: the second merge does not recompute the first.
+    state1 = materialize(state1, "upsert-day1")
     return upsert.upsert(state1, load2, rule, seq=seq, as_of=LOAD2_AT, strategy=strategy)
 
 

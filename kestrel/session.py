@@ -65,3 +65,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    For an intermediate that several branches of a plan reuse: it is computed once, the
+    lineage is cut (a lost executor re-reads the files instead of recomputing the inputs),
+    and the read-back is columnar with statistics for the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
