@@ -165,3 +165,37 @@ def gold_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     lake.write_gold(gold.where(F.col("repo_count") > 0), path)
     lake.write_gold(gold, path)
     return ntz(lake.read_gold(spark, path))
+
+
+def _stream_quality_sql() -> str:
+    from kestrel.plans.registry import AS_OF_SQL
+    from kestrel.plans.sqltext import fmt, sev
+
+    nulls = {
+        "title": "event_type = 'error'", "url": "event_type IN ('error', 'signup')", "points": "event_type = 'error'",
+        "author": "event_type = 'error'", "created_at": "event_type = 'error'", "num_comments": "event_type = 'error'",
+    }
+    parts = []
+    for c, cond in nulls.items():
+        rate = f"(CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS DOUBLE) / count(*))"
+        parts.append(
+            f"SELECT 'null_rate[{c}]' AS check_name, 'hn_stories' AS \"table\", {rate} <= 0.1 AS passed, "
+            f"{sev(f'{rate} <= 0.1', 'warning')} AS severity, 'null_rate=' || {fmt(rate, 3)} || ' threshold=0.1' AS message, "
+            f"{AS_OF_SQL} AS measured_at, CAST(NULL AS VARCHAR) AS segment FROM events"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("stream_batch_quality", _stream_quality_sql())
+def stream_batch_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream ingest with per-micro-batch null-rate checks (one batch here); results read back."""
+    from kestrel.streaming.quality import quality_paths, start_ingest_with_quality
+
+    root = scratch_path(spark, "stream-quality")
+    spec = SPECS_BY_NAME["hn_stories"]
+    _hn_messages(b.table(spark, sf, "events")).write.mode("append").parquet(f"{root}/topics/{spec.topic}")
+    q = start_ingest_with_quality(spark, spec, root, source_format="parquet", source_path=f"{root}/topics",
+                                  available_now=True, as_of=AS_OF)
+    q.awaitTermination()
+    alerts = spark.read.parquet(quality_paths(spec, root)["alerts"]).drop("batch")
+    return ntz(alerts.select("check_name", "table", "passed", "severity", "message", "measured_at", "segment"))
