@@ -31,6 +31,8 @@ def ngrams(toks: Column, k: int) -> Column:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition when the input has fewer partitions than the cluster has cores
     (a small table stored as one row group); a no-op for inputs that are already split."""
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
@@ -204,6 +206,19 @@ def peer_rank(gold: DataFrame, peers: DataFrame, metric: str = "total_stars", pe
     )
 
 
+def snapshot_delta(history: DataFrame, key: str, ts: str, metrics: Sequence[str]) -> DataFrame:
+    """Change of each metric since the previous snapshot of the same key (null for the first).
+
+    The window runs per key over its snapshots only (one row per publish), so its size
+    grows with the number of runs, not with the data.
+    """
+    w = Window.partitionBy(key).orderBy(ts)
+    return history.select(
+        key, ts, *metrics,
+        *[(F.col(m) - F.lag(m).over(w)).alias(f"{m}_delta") for m in metrics],
+    )
+
+
 # --- X17 page extraction --------------------------------------------------------------------
 def page_extract(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """Title, first heading, language, link count and visible text length of whole pages."""

@@ -3,6 +3,8 @@ sentiment, hiring, alerts, windows, page extraction and mention matching."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -336,3 +338,41 @@ def null_rate_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Daily null rate per column against its trailing 7-day mean."""
     repos = b.repos(b.table(spark, sf, "orders"))
     return signals.null_rate_drift(repos, "pushed_at", ["description", "language"], days=7, max_delta=0.1)
+
+
+DAY1_AT = dt.datetime(2024, 1, 16, 2, 0, 0)
+
+
+def _gold_sql(orders_filter: str, events_filter: str, at: str) -> str:
+    return f"""
+SELECT coalesce(gh.org, hn.org) AS org, CAST(coalesce(total_stars, 0) AS BIGINT) AS total_stars,
+       CAST(coalesce(hn_mentions, 0) AS BIGINT) AS hn_mentions, TIMESTAMP '{at}' AS computed_at
+FROM (SELECT org, sum(stars) AS total_stars FROM ({b.REPOS_SQL}) WHERE {orders_filter} GROUP BY org) gh
+FULL OUTER JOIN (SELECT company AS org, count(story_url) AS hn_mentions FROM ({b.STORIES_SQL}) WHERE {events_filter}
+                 GROUP BY company) hn ON gh.org = hn.org"""
+
+
+@register(
+    "competitor_delta",
+    f"""
+WITH h AS ({_gold_sql("pushed_at < TIMESTAMP '1998-01-01'", "created_at < TIMESTAMP '2024-01-16'", f"{DAY1_AT:%Y-%m-%d %H:%M:%S}")}
+           UNION ALL {_gold_sql("true", "true", "2024-02-01 00:00:00")})
+SELECT org, computed_at, total_stars, hn_mentions,
+       total_stars - lag(total_stars) OVER (PARTITION BY org ORDER BY computed_at) AS total_stars_delta,
+       hn_mentions - lag(hn_mentions) OVER (PARTITION BY org ORDER BY computed_at) AS hn_mentions_delta
+FROM h""",
+)
+def competitor_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """Two published gold snapshots (mid-month and month-end runs) -> change per company since the last run."""
+    from kestrel.sinks import lake
+
+    repos = b.repos(b.table(spark, sf, "orders"))
+    stories = b.stories(b.table(spark, sf, "events"))
+    table = lake.VersionedTable(spark, scratch_path(spark, "gold-history"))
+    day1 = rollup.company_signals(repos.where(F.col("pushed_at") < F.lit("1998-01-01").cast("timestamp")),
+                                  stories.where(F.col("created_at") < F.lit("2024-01-16").cast("timestamp")),
+                                  as_of=DAY1_AT)
+    table.write(day1)
+    table.write(rollup.company_signals(repos, stories, as_of=AS_OF))
+    history = table.read_all()
+    return ntz(signals.snapshot_delta(history, "org", "computed_at", ["total_stars", "hn_mentions"]))

@@ -12,6 +12,7 @@ commit leaves an invisible directory, never a half-visible table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,13 @@ def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 
 class VersionedTable:
-    """Snapshot table on a plain file format: ``<root>/v=<n>/`` data + ``<root>/commits`` log."""
+    """Snapshot table on a plain file format: ``<root>/v=<n>-<id>/`` data + ``<root>/commits`` log.
+
+    A version becomes visible only when its commit row is appended (after the data write
+    succeeded). Readers take the newest commit. Two writers racing for the same number
+    write different directories, and the later commit wins; a replay that passes an
+    explicit ``version`` (e.g. a micro-batch id) rewrites the same directory.
+    """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
@@ -50,32 +57,66 @@ class VersionedTable:
     def log_path(self) -> str:
         return f"{self.root}/commits"
 
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
-
-    def latest_version(self) -> int | None:
+    def _log(self) -> DataFrame | None:
         if not path_exists(self.spark, self.log_path):
             return None
-        row = self.spark.read.parquet(self.log_path).agg(F.max("version").alias("v")).first()
-        return None if row is None else row["v"]
+        return self.spark.read.parquet(self.log_path)
+
+    def _newest(self) -> dict | None:
+        log = self._log()
+        if log is None:
+            return None
+        row = log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).first()
+        return None if row is None else row.asDict()
+
+    def latest_version(self) -> int | None:
+        row = self._newest()
+        return None if row is None else int(row["version"])
+
+    def versions(self) -> DataFrame:
+        """The commit log: (version, path, committed_at), one row per committed write."""
+        log = self._log()
+        return log if log is not None else self.spark.createDataFrame([], "version bigint, path string, committed_at timestamp")
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        if v is None:
+        if version is None:
+            row = self._newest()
+        else:
+            log = self._log()
+            row = None if log is None else (
+                log.where(F.col("version") == version).orderBy(F.col("committed_at").desc()).limit(1).first())
+            row = None if row is None else row.asDict()
+        if row is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.format(self.fmt).load(self.version_path(v))
+        return self.spark.read.format(self.fmt).load(row["path"])
+
+    def read_all(self) -> DataFrame:
+        """Every committed snapshot with its ``version`` column (newest commit per version)."""
+        log = self._log()
+        if log is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        latest = log.groupBy("version").agg(F.max_by("path", "committed_at").alias("path")).collect()
+        frames = [self.spark.read.format(self.fmt).load(r["path"]).withColumn("version", F.lit(int(r["version"])))
+                  for r in latest]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f, allowMissingColumns=True)
+        return out
 
     def write(self, df: DataFrame, partition_by: Sequence[str] | None = None, version: int | None = None) -> int:
         """Write ``df`` as the next version (or an explicit one, for idempotent replays) and commit it."""
         if version is None:
             latest = self.latest_version()
             version = 1 if latest is None else latest + 1
+            path = f"{self.root}/v={version:08d}-{uuid.uuid4().hex[:8]}"
+        else:
+            path = f"{self.root}/v={version:08d}"
         w = df.write.format(self.fmt).mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(self.version_path(version))
+        w.save(path)
         commit = self.spark.createDataFrame(
-            [(int(version), dt.datetime.now(dt.timezone.utc))], "version bigint, committed_at timestamp"
+            [(int(version), path, dt.datetime.now(dt.timezone.utc))], "version bigint, path string, committed_at timestamp"
         )
         commit.coalesce(1).write.mode("append").parquet(self.log_path)
         return version
