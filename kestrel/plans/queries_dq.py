@@ -186,3 +186,40 @@ def recent_failures(spark: SparkSession, sf: str) -> DataFrame:
     """The 20 newest failing checks, timestamps rendered as text for serving."""
     top = newest.recent_failures(_suite(spark, sf), limit=20)
     return top.select(*[timestamp_text("measured_at").alias(c) if c == "measured_at" else F.col(c) for c in OUT])
+
+
+PROPS_EXPECTED = {"k": "bigint"}
+
+
+def _payload_drift_sql() -> str:
+    exp = ", ".join(f"('{k}', '{v}')" for k, v in sorted(PROPS_EXPECTED.items()))
+    typ = ("CASE json_type(props, '$.\"' || k || '\"') WHEN 'UBIGINT' THEN 'bigint' WHEN 'BIGINT' THEN 'bigint' "
+           "WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' "
+           "WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'null' END")
+    return f"""
+WITH kv AS (SELECT k AS col, {typ} AS typ
+            FROM (SELECT props, unnest(json_keys(props)) AS k FROM events WHERE json_valid(props))),
+obs AS (SELECT col, CASE WHEN count(DISTINCT typ) FILTER (WHERE typ <> 'null') = 0 THEN 'null'
+                         WHEN count(DISTINCT typ) FILTER (WHERE typ <> 'null') = 1 THEN max(typ) FILTER (WHERE typ <> 'null')
+                         WHEN bool_and(typ IN ('bigint', 'double', 'null')) THEN 'double'
+                         ELSE 'variant' END AS typ
+        FROM kv GROUP BY col),
+exp AS (SELECT * FROM (VALUES {exp}) v(col, typ)),
+a AS (SELECT 'added=[' || string_agg('''' || col || '''', ', ' ORDER BY col) || ']' AS m
+      FROM obs WHERE col NOT IN (SELECT col FROM exp) HAVING count(*) > 0),
+r AS (SELECT 'removed=[' || string_agg('''' || col || '''', ', ' ORDER BY col) || ']' AS m
+      FROM exp WHERE col NOT IN (SELECT col FROM obs) HAVING count(*) > 0),
+c AS (SELECT 'type_changed={{' || string_agg('''' || o.col || ''': (''' || e.typ || ''', ''' || o.typ || ''')', ', ' ORDER BY o.col) || '}}' AS m
+      FROM obs o JOIN exp e ON o.col = e.col WHERE o.typ <> e.typ HAVING count(*) > 0),
+msg AS (SELECT nullif(concat_ws('; ', (SELECT m FROM a), (SELECT m FROM r), (SELECT m FROM c)), '') AS m)
+SELECT 'schema_drift' AS check_name, 'events.props' AS "table", m IS NULL AS passed,
+       CASE WHEN m IS NULL THEN 'info' ELSE 'warning' END AS severity, coalesce(m, 'no drift') AS message,
+       {AS_OF_SQL} AS measured_at, CAST(NULL AS VARCHAR) AS segment
+FROM msg"""
+
+
+@register("payload_schema_drift", _payload_drift_sql())
+def payload_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Observed keys and value types of every event payload vs the declared payload schema."""
+    ev = b.table(spark, sf, "events")
+    return ntz(dq.payload_drift(ev, "props", PROPS_EXPECTED, "events.props", as_of=AS_OF).select(*OUT))

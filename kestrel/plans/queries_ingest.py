@@ -99,3 +99,16 @@ def newest_posts_per_forum(spark: SparkSession, sf: str) -> DataFrame:
 
     posts = payloads.parse_posts(landing.post_pages(b.table(spark, sf, "events")), subreddit="subreddit")
     return ntz(newest.newest_per_group(posts, "subreddit", "created_utc", 25, ["permalink"]))
+
+
+@register(
+    "payload_field_counts",
+    """
+SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS events, count(DISTINCT user_id) AS companies
+FROM events GROUP BY 1""",
+)
+def payload_field_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed parse of the event payloads (only the used field is parsed) and a histogram of it."""
+    ev = b.table(spark, sf, "events")
+    parsed = ev.select(F.from_json("props", "k int, other string")["k"].alias("k"), "user_id")
+    return parsed.groupBy("k").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("companies"))

@@ -9,6 +9,7 @@ so they compare with DuckDB's TIMESTAMP.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,15 @@ _ORACLES: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None):
+    """Register ``fn`` as query ``name``; it always runs with the session time zone at UTC."""
+
     def deco(fn: QueryFn) -> QueryFn:
-        _QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        _QUERIES[name] = run
         if oracle is not None:
             _ORACLES[name] = oracle.strip()
         return fn

@@ -139,3 +139,13 @@ def test_failures_and_count(spark):
     res = dq.null_rate(df, "t", 0.1)
     assert dq.failures(res).count() == 1
     assert dq.failure_count(res).first().failures == 1
+
+
+def test_payload_drift_observed_types(spark):
+    df = spark.createDataFrame([('{"k": 69, "d": 1}',), ('{"k": "x", "s": "x", "d": 1.5, "o": {"a": [1]}}',),
+                                ("bad json",), (None,)], "p string")
+    assert dq.observed_json_schema(df, "p") == {"d": "double", "k": "variant", "o": "object", "s": "string"}
+    r = one(dq.payload_drift(df, "p", {"k": "bigint", "z": "string"}, "t"))
+    assert r.message == "added=['d', 'o', 's']; removed=['z']; type_changed={'k': ('bigint', 'variant')}"
+    same = spark.createDataFrame([('{"k": 1}',), ('{"k": 2}',)], "p string")
+    assert one(dq.payload_drift(same, "p", {"k": "bigint"}, "t")).message == "no drift"
