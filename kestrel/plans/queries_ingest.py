@@ -90,7 +90,8 @@ def listing_extract(spark: SparkSession, sf: str) -> DataFrame:
     "newest_posts_per_forum",
     f"""
 SELECT subreddit, title, score, num_comments, author, created_utc, permalink FROM (
-  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC NULLS LAST, permalink) AS rn
+  SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY created_utc DESC NULLS LAST, permalink, title, author,
+                                                   score, num_comments) AS rn
   FROM ({landing.POST_EXPECTED_SQL})) WHERE rn <= 25""",
 )
 def newest_posts_per_forum(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +99,9 @@ def newest_posts_per_forum(spark: SparkSession, sf: str) -> DataFrame:
     from kestrel.operators import newest
 
     posts = payloads.parse_posts(landing.post_pages(b.table(spark, sf, "events")), subreddit="subreddit")
-    return ntz(newest.newest_per_group(posts, "subreddit", "created_utc", 25, ["permalink"]))
+    # Full tie-break: rows that still tie are identical, so the result is deterministic.
+    return ntz(newest.newest_per_group(posts, "subreddit", "created_utc", 25,
+                                       ["permalink", "title", "author", "score", "num_comments"]))
 
 
 @register(
