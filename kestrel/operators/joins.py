@@ -7,10 +7,28 @@ from pyspark.sql import functions as F
 
 # Rows above which a side is never broadcast, whatever the estimate says.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Planner size estimate above which the row count is not even tried.
+DEFAULT_BROADCAST_BYTES = 1 << 30
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Costs one bounded scan (``limit`` stops early)."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (an upper bound for file scans; None if unknown)."""
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+    return None if est >= (1 << 63) - 1 else est  # Long.MaxValue: no estimate (e.g. local data)
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows.
+
+    A frame whose planner estimate is already over ``max_bytes`` is rejected without any
+    job; otherwise one bounded scan counts at most ``max_rows + 1`` rows per task.
+    """
+    est = estimated_bytes(df)
+    if est is not None and est > max_bytes:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -117,3 +117,13 @@ def test_jdbc_roundtrip_embedded_derby(spark):
         pytest.skip(f"embedded derby unavailable: {str(exc)[:80]}")
     back = warehouse.read_jdbc(spark, url, "SIGNALS", props)
     assert sorted((r[0], r[1]) for r in back.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_broadcast_bound(spark):
+    from kestrel.operators.joins import estimated_bytes, fits, maybe_broadcast
+
+    small = spark.range(10)
+    assert fits(small, max_rows=10) and not fits(small, max_rows=9)
+    assert estimated_bytes(small) is not None
+    assert not fits(small, max_rows=100, max_bytes=1)  # rejected from the estimate alone
+    assert "broadcast" in maybe_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
