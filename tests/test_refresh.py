@@ -58,3 +58,21 @@ def test_refresh_end_to_end(spark):
     assert res2.repos_written == 1 and res2.stories_written == 0
     delta = refresh.read_keyed(spark, store, "github_repos").where("full_name = 'databricks/delta'").first()
     assert (delta.name, delta.stars) == ("delta", 120)
+
+
+def test_cli_refresh_and_alerts(spark, capsys):
+    from kestrel.__main__ import main
+
+    root = scratch_path(spark, "cli")
+    spark.createDataFrame([("acme", json.dumps([repo("a", "acme", 5, "2026-05-29T00:00:00Z")]))],
+                          "org string, payload string").write.json(f"{root}/repos")
+    spark.createDataFrame([("acme", json.dumps({"hits": []}), 1)], "company string, payload string, seq long") \
+        .write.json(f"{root}/stories")
+    spark.createDataFrame([("acme",), ("ghost",)], "value string").write.text(f"{root}/tracked")
+    main(["refresh", "--store", f"{root}/store", "--repos", f"{root}/repos", "--stories", f"{root}/stories",
+          "--tracked", f"{root}/tracked", "--as-of", "2026-05-30T02:00:00"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["repos_written"] == 1 and out["gold_rows"] == 1
+    main(["alerts", "--store", f"{root}/store"])
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert {(x["segment"], x["check_name"]) for x in lines} >= {("ghost", "freshness")}
