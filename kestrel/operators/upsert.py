@@ -18,7 +18,6 @@ Two physical strategies give the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame

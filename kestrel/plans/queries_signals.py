@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import ranking, rollup, signals
 from kestrel.plans import bindings as b
-from kestrel.plans import landing
 from kestrel.plans.registry import AS_OF, AS_OF_SQL, ntz, register
 from kestrel.session import scratch_path
 from kestrel.sources import payloads

@@ -143,9 +143,7 @@ def demo_checks(repos: DataFrame, store: Store, as_of=None) -> tuple[DataFrame,
 
     Returns the results frame and the number of failing rows appended to the alert log.
     """
-    spark = repos.sparkSession
     results = dq.row_count_anomaly(repos, "github_repos", baseline=DEMO_BASELINE, as_of=as_of).unionByName(
         dq.freshness(repos, "github_repos", "pushed_at", DEMO_MAX_AGE, as_of=as_of)).unionByName(
         dq.null_rate(repos, "github_repos", DEMO_MAX_NULL_RATE, as_of=as_of))
-    del spark
     return results, lake.append_results(results, store.alerts, only_failures=True, fmt=store.fmt)

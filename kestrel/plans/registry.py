@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.operators import rollup
-from kestrel.plans import bindings as b
 
 # Fixed snapshot time for every "now" in the registered queries (the data ends 2024-01-30).
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -70,4 +68,4 @@ def _load_all() -> None:
     from kestrel.plans import queries_core, queries_dq, queries_ingest, queries_io, queries_signals  # noqa: F401
 
 
-__all__ = ["AS_OF", "AS_OF_SQL", "register", "queries", "oracle_sql", "ntz", "b", "rollup"]
+__all__ = ["AS_OF", "AS_OF_SQL", "register", "queries", "oracle_sql", "ntz"]
