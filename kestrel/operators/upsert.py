@@ -60,8 +60,13 @@ def _as_of(as_of) -> Column:
 
 
 def collapse_batch(batch: DataFrame, rule: UpsertRule, seq: str | None) -> DataFrame:
-    """One row per key: kept columns from the first arrival, refreshed from the last."""
+    """One row per key: kept columns from the first arrival, refreshed from the last.
+
+    Rows with a null key are not applied (a primary key cannot be null).
+    """
     keys = list(rule.key)
+    for k in keys:
+        batch = batch.where(F.col(k).isNotNull())
     if seq is None:
         return batch.select(*keys, *rule.kept, *rule.refreshed).dropDuplicates(keys)
     aggs = []

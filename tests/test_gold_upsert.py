@@ -99,3 +99,10 @@ def test_upsert_matches_dict_model(spark, first, second):
 def test_empty_table_and_written_count(spark):
     assert upsert.empty_table(spark, "github_repos").schema == schemas.GITHUB_REPOS
     assert upsert.written_count(spark.createDataFrame([], "k string")) == 0
+
+
+def test_upsert_ignores_null_keys(spark):
+    target = spark.createDataFrame([], STORY_T)
+    batch = spark.createDataFrame([(None, "c", "t", 1, 1, "a", T0, 0), ("u", "c", "t", 1, 1, "a", T0, 1)], STORY_B)
+    out = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF)
+    assert [r.story_url for r in out.collect()] == ["u"]
