@@ -33,8 +33,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (a small table stored as one row group); a no-op for inputs that are already split."""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote sessions: leave partitioning to the server
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def tokens(text: Column) -> Column:

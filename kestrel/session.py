@@ -45,13 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     (single-machine tests), and register it as the RDD checkpoint dir too.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
         path = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
@@ -62,9 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop-compatible) file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 - no JVM gateway (remote session): ask the reader instead
+        try:
+            spark.read.format("text").load(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def materialize(df, name: str):
