@@ -112,7 +112,7 @@ HIT_ITEM = T.StructType([
 
 
 def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item",
-                  scraped_at: Column | None = None) -> DataFrame:
+                  scraped_at: Column | None = None, with_quarantine: bool = False):
     """Story search payload ``{"hits": [...]}`` -> hn story rows (missing ``hits`` -> no rows).
 
     title = title or story_title or "(no title)"; points / num_comments falsy -> 0;
@@ -135,8 +135,8 @@ def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item
         "*", story_key(F.col("url"), F.col("title"), F.col("created_at"), form=key_form).alias("story_url"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
     )
-    valid, _ = quarantine_split(out, ["created_at"])
-    return valid
+    valid, bad = quarantine_split(out, ["created_at"])
+    return (valid, bad) if with_quarantine else valid
 
 
 # --- N4 forum listing -> posts ----------------------------------------------------------------
@@ -190,7 +190,8 @@ def resolve_titles(search: DataFrame, name: str = "name") -> DataFrame:
     return search.select(F.col(name).alias("name"), F.get(hits, 0)["title"].alias("searched_title"))
 
 
-def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | None = None) -> DataFrame:
+def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | None = None,
+                with_quarantine: bool = False):
     """(name, searched_title) x (name, status, payload) -> company facts.
 
     No search hit or a 404 summary gives no row. ``title`` falls back to the searched
@@ -208,8 +209,8 @@ def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | No
         d["content_urls"]["desktop"]["page"].alias("url"), d["thumbnail"]["source"].alias("thumbnail_url"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
     )
-    valid, _ = quarantine_split(out, ["name", "title"])
-    return valid
+    valid, bad = quarantine_split(out, ["name", "title"])
+    return (valid, bad) if with_quarantine else valid
 
 
 # --- N8 job-board HTML -> listings -----------------------------------------------------------

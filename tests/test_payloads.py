@@ -143,3 +143,10 @@ def test_scalar_helpers(spark):
     assert rows[0].k == "https://news.ycombinator.com/item?t" and rows[1].k == "u"
     assert rows[0].h.startswith("hn://2026-05-30T12:00:00+00:00/")
     assert rows[0].t == "2026-05-30 12:00:00+00:00" and rows[1].t == "2026-05-30 12:00:00.000005+00:00"
+
+
+def test_story_quarantine(spark):
+    payload = json.dumps({"hits": [{"title": "ok", "created_at": "2026-04-15T08:00:00Z"}, {"title": "no time"}]})
+    valid, bad = payloads.parse_stories(landed(spark, "company", "c", payload), with_quarantine=True)
+    assert [r.title for r in valid.collect()] == ["ok"]
+    assert [(r.title, r._bad) for r in bad.collect()] == [("no time", "missing created_at")]
