@@ -25,13 +25,6 @@ PAYLOAD = "payload"
 BAD = "_bad"
 
 
-def _elements(df: DataFrame, array_expr: Column, pos: bool = False) -> DataFrame:
-    """Explode an array of raw JSON element texts, keeping the context columns."""
-    ctx = [c for c in df.columns if c != PAYLOAD]
-    gen = F.posexplode(array_expr).alias("__pos", "__elem") if pos else F.explode(array_expr).alias("__elem")
-    return df.select(*ctx, gen)
-
-
 def _keys(elem: Column) -> Column:
     return F.coalesce(F.json_object_keys(elem), F.array().cast("array<string>"))
 
@@ -49,14 +42,6 @@ def quarantine_split(df: DataFrame, required: Sequence[str], extra_bad: Column |
 
 
 # --- N1 repo list -> github_repos -------------------------------------------------------------
-REPO_ITEM = T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("full_name", T.StringType()),
-    T.StructField("stargazers_count", T.LongType()), T.StructField("stars", T.LongType()),
-    T.StructField("forks_count", T.LongType()), T.StructField("forks", T.LongType()),
-    T.StructField("open_issues_count", T.LongType()), T.StructField("open_issues", T.LongType()),
-    T.StructField("language", T.StringType()), T.StructField("pushed_at", T.TimestampType()),
-    T.StructField("description", T.StringType()),
-])
 REPO_REQUIRED = ["name", "full_name", "stars", "forks", "open_issues", "pushed_at"]
 
 
@@ -66,21 +51,27 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
 
     ``stargazers_count``/``forks_count``/``open_issues_count`` map to stars/forks/open_issues,
     the short names are accepted too. ``description`` may be absent, ``language`` may be null
-    but its key is required.
+    but its key is required. Each element is parsed once, as a map, which gives key presence
+    and values together; numbers sent as text are accepted (lax coercion), other
+    mismatches become nulls and the record is quarantined.
     """
-    el = _elements(df, F.from_json(F.col(PAYLOAD), "array<string>"))
-    parsed = el.select("*", F.from_json("__elem", REPO_ITEM).alias("__r"), _keys(F.col("__elem")).alias("__k"))
-    r = F.col("__r")
-    out = parsed.select(
-        r["full_name"].alias("full_name"), F.col(org).alias("org"), r["name"].alias("name"),
-        r["description"].alias("description"), r["language"].alias("language"),
-        F.coalesce(r["stargazers_count"], r["stars"]).cast("int").alias("stars"),
-        F.coalesce(r["forks_count"], r["forks"]).cast("int").alias("forks"),
-        F.coalesce(r["open_issues_count"], r["open_issues"]).cast("int").alias("open_issues"),
-        r["pushed_at"].alias("pushed_at"),
+    ctx = [c for c in df.columns if c != PAYLOAD]
+    el = df.select(*ctx, F.explode(F.from_json(F.col(PAYLOAD), "array<map<string,string>>")).alias("__m"))
+    m = F.col("__m")
+
+    def num(*names: str) -> Column:
+        return F.coalesce(*[F.expr(f"try_cast(__m['{n}'] AS BIGINT)") for n in names]).cast("int")
+
+    out = el.select(
+        m["full_name"].alias("full_name"), F.col(org).alias("org"), m["name"].alias("name"),
+        m["description"].alias("description"), m["language"].alias("language"),
+        num("stargazers_count", "stars").alias("stars"),
+        num("forks_count", "forks").alias("forks"),
+        num("open_issues_count", "open_issues").alias("open_issues"),
+        F.expr("try_cast(__m['pushed_at'] AS TIMESTAMP)").alias("pushed_at"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
-        F.when(r.isNull(), F.lit("malformed record"))
-        .when(~F.array_contains("__k", "language"), F.lit("missing language")).alias("__why"),
+        F.when(m.isNull(), F.lit("malformed record"))
+        .when(~F.map_contains_key(m, "language"), F.lit("missing language")).alias("__why"),
     )
     valid, bad = quarantine_split(out, REPO_REQUIRED, F.col("__why"))
     valid = valid.drop("__why")
@@ -88,15 +79,15 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
 
 
 # --- N2 contributors ------------------------------------------------------------------------
-CONTRIB_ITEM = "login string, contributions bigint, avatar_url string"
+CONTRIB_ITEMS = "array<struct<login: string, contributions: bigint, avatar_url: string>>"
 
 
 def parse_contributors(df: DataFrame, limit: int = 30) -> DataFrame:
     """Contributor list payload -> (context, login, contributions, avatar_url), first ``limit`` entries."""
-    el = _elements(df, F.from_json(F.col(PAYLOAD), "array<string>"), pos=True)
     ctx = [c for c in df.columns if c != PAYLOAD]
-    c = F.from_json("__elem", CONTRIB_ITEM)
-    return el.where(F.col("__pos") < limit).select(
+    ex = df.select(*ctx, F.posexplode(F.from_json(F.col(PAYLOAD), CONTRIB_ITEMS)).alias("__pos", "__c"))
+    c = F.col("__c")
+    return ex.where(F.col("__pos") < limit).select(
         *ctx, c["login"].alias("login"), c["contributions"].cast("int").alias("contributions"),
         c["avatar_url"].alias("avatar_url"),
     )
