@@ -1,0 +1,18 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than the cluster has cores
+    (a small table stored as one row group); a no-op for inputs that are already split."""
+    if df.isStreaming:
+        return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote sessions: leave partitioning to the server
+        return df
+    return df.repartition(target) if current < target else df

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators.joins import maybe_broadcast
+from kestrel.operators.partitioning import spread
 from kestrel.operators.ranking import rank_within
 from kestrel.sources.payloads import html_text
 
@@ -28,19 +29,6 @@ def ngrams(toks: Column, k: int) -> Column:
     return F.array_compact(out)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when the input has fewer partitions than the cluster has cores
-    (a small table stored as one row group); a no-op for inputs that are already split."""
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote sessions: leave partitioning to the server
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def tokens(text: Column) -> Column:
     """Lower-cased word tokens of a whole text (letters and digits; everything else separates)."""
     return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")

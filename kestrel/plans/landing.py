@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.partitioning import spread
+
 PAGE = 50
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -24,7 +26,7 @@ def _pages(rows: DataFrame, ctx: list[str], seq: str, item: Column, wrap, keep_n
 
     Null fields are omitted from the JSON unless ``keep_nulls``.
     """
-    grouped = rows.groupBy(*ctx, F.floor(F.col(seq) / PAGE).alias("page")).agg(
+    grouped = spread(rows).groupBy(*ctx, F.floor(F.col(seq) / PAGE).alias("page")).agg(
         F.collect_list(item).alias("items")
     )
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
