@@ -133,3 +133,38 @@ def empty_table(spark, name: str) -> DataFrame:
 def written_count(batch: DataFrame) -> int:
     """Rows handed to the store by one upsert call (the batch size; 0 when empty)."""
     return 0 if batch.isEmpty() else batch.count()
+
+
+def merge_sql(rule: UpsertRule, target: str, source: str, as_of_sql: str = "current_timestamp()") -> str:
+    """``MERGE INTO`` text applying ``rule`` for tables that support it (delta, iceberg).
+
+    ``source`` must already hold one row per key (see ``collapse_batch``).
+    """
+    keys = list(rule.key)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    sets = [f"t.`{c}` = s.`{c}`" for c in rule.refreshed]
+    cols = keys + list(rule.kept) + list(rule.refreshed)
+    ins_cols = [f"`{c}`" for c in cols]
+    ins_vals = [f"s.`{c}`" for c in cols]
+    if rule.stamp:
+        sets.append(f"t.`{rule.stamp}` = {as_of_sql}")
+        ins_cols.append(f"`{rule.stamp}`")
+        ins_vals.append(as_of_sql)
+    matched = f"WHEN MATCHED THEN UPDATE SET {', '.join(sets)}\n" if sets else ""
+    return (
+        f"MERGE INTO {target} t\nUSING {source} s\nON {on}\n{matched}"
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(ins_cols)}) VALUES ({', '.join(ins_vals)})"
+    )
+
+
+def merge_into(spark, target: str, batch: DataFrame, rule: UpsertRule, seq: str | None = None, as_of=None) -> None:
+    """Upsert ``batch`` into a table that supports ``MERGE`` (e.g. ``delta.`/path```), in place."""
+    import uuid
+
+    view = f"kestrel_batch_{uuid.uuid4().hex[:8]}"
+    collapse_batch(batch, rule, seq).createOrReplaceTempView(view)
+    ts = "current_timestamp()" if as_of is None else f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S.%f}'"
+    try:
+        spark.sql(merge_sql(rule, target, view, ts))
+    finally:
+        spark.catalog.dropTempView(view)

@@ -106,3 +106,20 @@ def test_upsert_ignores_null_keys(spark):
     batch = spark.createDataFrame([(None, "c", "t", 1, 1, "a", T0, 0), ("u", "c", "t", 1, 1, "a", T0, 1)], STORY_B)
     out = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF)
     assert [r.story_url for r in out.collect()] == ["u"]
+
+
+def test_merge_sql_text_and_unsupported_table(spark):
+    sql = upsert.merge_sql(upsert.STORIES_RULE, "delta.`/t`", "b", "TIMESTAMP '2026-05-30 02:00:00'")
+    assert "ON t.`story_url` = s.`story_url`" in sql
+    assert "UPDATE SET t.`points` = s.`points`, t.`num_comments` = s.`num_comments`, t.`scraped_at` = TIMESTAMP" in sql
+    assert "t.`company`" not in sql.split("WHEN NOT MATCHED")[0]  # kept columns are never updated
+    assert "INSERT (`story_url`, `company`, `title`, `author`, `created_at`, `points`, `num_comments`, `scraped_at`)" in sql
+    facts = upsert.merge_sql(upsert.FACTS_RULE, "t1", "s1")
+    assert "t.`title` = s.`title`" in facts
+    import pytest
+
+    batch = spark.createDataFrame([("u", "c", "t", 1, 1, "a", T0, 0)], STORY_B)
+    path = __import__("kestrel.session", fromlist=["x"]).scratch_path(spark, "merge-parquet")
+    batch.drop("seq").write.parquet(path)
+    with pytest.raises(Exception):
+        upsert.merge_into(spark, f"parquet.`{path}`", batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF)
