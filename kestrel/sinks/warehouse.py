@@ -52,3 +52,25 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None) -> DataFrame:
     return spark.read.jdbc(url, table, properties=dict(properties or {}))
+
+
+def upsert_jdbc(spark: SparkSession, url: str, table: str, batch: DataFrame, rule, seq: str | None = None,
+                as_of=None, properties: dict[str, str] | None = None) -> int:
+    """Apply the keyed-upsert ``rule`` to a table in an operational database.
+
+    The merged state is computed in Spark from the current table and the batch, written once
+    under the shared folder (so the read of the table is finished before it is replaced), then
+    loaded back with ``truncate`` (schema, grants and indexes stay). Returns the batch rows applied.
+    """
+    from kestrel.operators import upsert as up
+    from kestrel.session import materialize
+
+    n = up.written_count(batch)
+    if n == 0:
+        return 0
+    current = read_jdbc(spark, url, table, properties)
+    state = materialize(up.upsert(current, batch, rule, seq=seq, as_of=as_of), f"jdbc-{table.lower()}")
+    props = dict(properties or {})
+    props["truncate"] = "true"
+    state.select(*current.columns).write.jdbc(url, table, mode="overwrite", properties=props)
+    return n

@@ -127,3 +127,24 @@ def test_broadcast_bound(spark):
     assert estimated_bytes(small) is not None
     assert not fits(small, max_rows=100, max_bytes=1)  # rejected from the estimate alone
     assert "broadcast" in maybe_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_jdbc_keyed_upsert_embedded_derby(spark):
+    import datetime as _dt
+
+    from kestrel.operators import upsert
+
+    url = "jdbc:derby:memory:kestrel_upsert;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t0 = _dt.datetime(2026, 5, 1)
+    cols = "story_url string, company string, title string, points int, num_comments int, author string, created_at timestamp"
+    first = spark.createDataFrame([("u1", "acme", "t", 1, 1, "a", t0)], cols)
+    try:
+        warehouse.write_jdbc(first.withColumn("scraped_at", F.lit(t0)), url, "STORIES", mode="overwrite", properties=props)
+    except Exception as exc:
+        pytest.skip(f"embedded derby unavailable: {str(exc)[:80]}")
+    batch = spark.createDataFrame([("u1", "other", "t2", 9, 8, "b", t0), ("u2", "beta", "x", 2, 2, "c", t0)], cols)
+    assert warehouse.upsert_jdbc(spark, url, "STORIES", batch, upsert.STORIES_RULE, as_of=t0 + _dt.timedelta(days=1),
+                                 properties=props) == 2
+    rows = {r[0]: r for r in warehouse.read_jdbc(spark, url, "STORIES", props).collect()}
+    assert rows["u1"][1] == "acme" and rows["u1"][3] == 9 and set(rows) == {"u1", "u2"}
