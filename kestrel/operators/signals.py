@@ -149,6 +149,16 @@ def hiring_signals(listings: DataFrame) -> DataFrame:
     )
 
 
+def hiring_spike(listings: DataFrame, scraped_on: str = "scraped_on", days: int = 7, sigma: float = 3.0) -> DataFrame:
+    """Open roles per company and scrape day against the company's trailing ``days``-day baseline.
+
+    ``listings`` is the history of landed listings with the day each snapshot was scraped.
+    The window runs per company over its daily counts (one row per company and day).
+    """
+    counts = listings.groupBy("company", F.col(scraped_on).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return rolling_baseline(counts, "company", days=days, sigma=sigma).withColumn("spike", ~F.col("passed"))
+
+
 # --- X12 keyword alerts ---------------------------------------------------------------------
 # Alert rules (fixed values): rule name -> case-insensitive pattern on whole texts.
 ALERT_RULES = [

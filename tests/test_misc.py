@@ -45,3 +45,16 @@ def test_demo_checks_log_only_failures(spark):
     failing = {r.check_name for r in results.collect() if not r.passed}
     assert failing == {"row_count_anomaly", "null_rate[description]"}
     assert logged == 2 and spark.read.parquet(store.alerts).count() == 2
+
+
+def test_hiring_spike(spark):
+    from kestrel.operators import signals
+
+    rows = []
+    for d in range(8):
+        rows += [("acme", f"role {i}", dt.date(2026, 5, 1 + d)) for i in range(10 if d < 7 else 40)]
+    rows += [("beta", "role", dt.date(2026, 5, 8))]
+    df = spark.createDataFrame(rows, "company string, title string, scraped_on date")
+    out = {(r.company, r.day): r for r in signals.hiring_spike(df).collect()}
+    assert out[("acme", dt.date(2026, 5, 8))].spike and not out[("acme", dt.date(2026, 5, 7))].spike
+    assert not out[("beta", dt.date(2026, 5, 8))].spike  # no baseline yet
