@@ -149,3 +149,14 @@ def test_payload_drift_observed_types(spark):
     assert r.message == "added=['d', 'o', 's']; removed=['z']; type_changed={'k': ('bigint', 'variant')}"
     same = spark.createDataFrame([('{"k": 1}',), ('{"k": 2}',)], "p string")
     assert one(dq.payload_drift(same, "p", {"k": "bigint"}, "t")).message == "no drift"
+
+
+def test_suite_with_baseline_history(spark):
+    df = spark.createDataFrame([("a", f"a/{i}", AS_OF) for i in range(10)] + [("b", "b/0", AS_OF)],
+                               "org string, full_name string, pushed_at timestamp")
+    tracked = spark.createDataFrame([("a",), ("b",)], "org string")
+    history = spark.createDataFrame([("a", 10), ("a", 11), ("a", 9), ("b", 100), ("b", 100)], "org string, n bigint")
+    res = dq.suite(df, tracked, "t", "org", "pushed_at", key="full_name", baseline=history, as_of=AS_OF).collect()
+    rc = {r.segment: r for r in res if r.check_name == "row_count_anomaly"}
+    assert rc["a"].passed and rc["a"].message == "current=10 baseline_mean=10.0 z=0.00"
+    assert not rc["b"].passed and rc["b"].message == "current=1 baseline_mean=100.0 z=-99.00"  # std 0 -> 1
