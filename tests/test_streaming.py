@@ -124,3 +124,20 @@ def test_batch_quality_foreach_batch(spark):
     q.awaitTermination()
     res = {r.check_name: r.passed for r in spark.read.parquet(f"{root}/dq").collect()}
     assert res == {"null_rate[a]": True, "null_rate[b]": False}
+
+
+def test_stream_quarantine_split(spark):
+    root = scratch_path(spark, "quarantine-test")
+    spec = SPECS_BY_NAME["hn_stories"]
+    good = json.dumps({"title": "t", "url": "u", "points": 1, "author": "a", "created_at": "2026-05-01T00:00:00Z",
+                       "num_comments": 0})
+    values = [good, "not json {", json.dumps({"url": "no title"}), json.dumps({"title": "t", "points": "x"})]
+    env = spark.createDataFrame([(None, v.encode()) for v in values], "key binary, value binary")
+    env.write.parquet(f"{root}/topics/{spec.topic}")
+    q = ingest.start_query(spark, spec, root, source_format="parquet", source_path=f"{root}/topics",
+                           sink_format="parquet", available_now=True, quarantine=True, required=["title"])
+    q.awaitTermination()
+    bronze = spark.read.parquet(spec.bronze_path(root)).collect()
+    bad = {r._bad for r in spark.read.parquet(ingest.quarantine_path(spec, root)).collect()}
+    assert [r.title for r in bronze] == ["t"] and "_corrupt_record" not in bronze[0].asDict()
+    assert bad == {"malformed record", "missing title"}
