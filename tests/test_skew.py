@@ -51,3 +51,18 @@ def test_rollup_and_dedup_combine_map_side(spark):
     copies = df.select("org", "stars", F.col("pushed_at").alias("seq"))
     last = dedup.last_wins(copies, "org", "seq")
     assert hash_shuffle_records(last) <= MAP_PARTITIONS * 101
+
+
+def test_rank_window_is_partitioned_by_group_and_bucket(spark):
+    from kestrel.operators import ranking
+
+    df = skewed(spark).select("org", F.col("pushed_at").cast("long").alias("v"))
+    out = ranking.rank_within(df, "org", "v", buckets=16)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the in-bucket window shuffles on (group, bucket): the hot group spreads over up to 16 tasks
+    assert "hashpartitioning(org#" in plan and ", __b#" in plan.split("hashpartitioning(org#", 1)[1].split(")")[0]
+    # and the hot group's values really land in many buckets
+    hot = df.where("org = 'hot'")
+    bounds = hot.agg(F.percentile_approx("v", [i / 16 for i in range(1, 16)], 10_000).alias("b")).first().b
+    assert len(set(bounds)) == 15
