@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from kestrel import schemas
 from kestrel.functions.scalars import timestamp_text
-from kestrel.operators.newest import newest_per_group
+from kestrel.operators.newest import cap_per_group
 
 RESULT_COLS = ["check_name", "table", "passed", "severity", "message", "measured_at", "segment"]
 
@@ -277,10 +277,9 @@ def suite(df: DataFrame, tracked: DataFrame, table: str, group: str, ts_column:
     def stats_of(frame: DataFrame) -> DataFrame:
         return frame.groupBy(F.col(group).alias("__seg")).agg(*aggs)
 
-    if cap is None:
-        stats = stats_of(rows)
-    else:
-        stats = _capped_stats(rows, group, ts_column, cap, [key] if key else [], stats_of)
+    if cap is not None:
+        rows = cap_per_group(rows, group, ts_column, cap, [key] if key else [])
+    stats = stats_of(rows)
     t = tracked.select(F.col(tracked_key).alias("__seg")).distinct()
     joined = t.join(stats, on="__seg", how="left")
     if baseline is not None:
@@ -306,29 +305,6 @@ def suite(df: DataFrame, tracked: DataFrame, table: str, group: str, ts_column:
     return joined.select(F.inline(F.concat(rc, nulls, fr)))
 
 
-def _capped_stats(rows: DataFrame, group: str, ts: str, cap: int, tiebreak: list[str], stats_of) -> DataFrame:
-    """Statistics over the newest ``cap`` rows of each company.
-
-    Companies with at most ``cap`` rows (nearly all of them) need no ordering: their rows go
-    straight into the hash aggregate, which combines map-side. Only companies above the
-    cap - found by a counting aggregate that reads just the company column, written once
-    under the shared folder, and broadcast behind a checked bound - take the top-N path
-    (partial ``WindowGroupLimit`` before the shuffle). If that set is too large to
-    broadcast, every row takes the top-N path.
-    """
-    from kestrel.operators.joins import fits
-    from kestrel.session import materialize
-
-    counts = rows.select(group).groupBy(group).agg(F.count(F.lit(1)).alias("__c"))
-    over = materialize(counts.where(F.col("__c") > cap).select(group), "dq-over-cap")
-    if not fits(over):
-        return stats_of(newest_per_group(rows, group, ts, cap, tiebreak))
-    big = F.broadcast(over)
-    small_rows = rows.join(big, group, "left_anti")
-    big_rows = newest_per_group(rows.join(big, group, "left_semi"), group, ts, cap, tiebreak)
-    return stats_of(small_rows).unionByName(stats_of(big_rows))
-
-
 def failures(results: DataFrame) -> DataFrame:
     """Failing results only (``WHERE NOT passed``)."""
     return results.where(~F.col("passed"))

@@ -110,9 +110,9 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     res.checks, res.failures = int(counts["checks"]), int(counts["failures"])
 
     # 4. gold over the same capped reads; publish the snapshot and the optional warehouse copy.
-    gh_cap = newest.newest_per_group(restrict_to(gh, tracked, on="org"), "org", "pushed_at", read_cap, ["full_name"])
-    hn_cap = newest.newest_per_group(restrict_to(hn, tracked.select(F.col("org").alias("company")), on="company"),
-                                     "company", "created_at", read_cap, ["story_url"])
+    gh_cap = newest.cap_per_group(restrict_to(gh, tracked, on="org"), "org", "pushed_at", read_cap, ["full_name"])
+    hn_cap = newest.cap_per_group(restrict_to(hn, tracked.select(F.col("org").alias("company")), on="company"),
+                                  "company", "created_at", read_cap, ["story_url"])
     gold = rollup.company_signals(gh_cap, hn_cap, as_of=as_of)
     if not gold.isEmpty():
         res.versions["company_signals"] = lake.write_gold(gold, store.gold("company_signals"), fmt=store.fmt) or 0
