@@ -17,6 +17,7 @@ from kestrel import schemas
 from kestrel.operators import dedup, dq, newest, rollup, upsert
 from kestrel.operators.joins import restrict_to
 from kestrel.sinks import lake, warehouse
+from kestrel.session import materialize, path_exists
 from kestrel.sources import payloads
 
 
@@ -40,6 +41,10 @@ class Store:
     def alerts(self) -> str:
         return f"{self.root}/operational/dq_alerts"
 
+    @property
+    def row_counts(self) -> str:
+        return f"{self.root}/operational/row_counts"
+
 
 @dataclass
 class RefreshResult:
@@ -69,11 +74,14 @@ def _apply(spark: SparkSession, store: Store, name: str, batch: DataFrame, seq:
 def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos: DataFrame,
             landed_stories: DataFrame, as_of: dt.datetime, *, read_cap: int = dq.DAG_READ_CAP,
             freshness_sla: dt.timedelta = dq.DAG_FRESHNESS_SLA, max_null_rate: float = dq.DAG_MAX_NULL_RATE,
-            warehouse_project: str | None = None, warehouse_dataset: str | None = None) -> RefreshResult:
+            warehouse_project: str | None = None, warehouse_dataset: str | None = None,
+            baseline_days: int | None = 7) -> RefreshResult:
     """Run the four steps for every tracked company.
 
     ``landed_repos``: (org, payload[, seq]); ``landed_stories``: (company, payload, seq) where
-    ``seq`` orders pages by arrival; ``tracked``: (org).
+    ``seq`` orders pages by arrival; ``tracked``: (org). Each run records the per-company
+    row counts it checked; with ``baseline_days`` the row-count check compares against the
+    counts of the runs in the preceding days (no history yet: the check passes).
     """
     res = RefreshResult()
     ts = F.lit(as_of).cast("timestamp")
@@ -96,23 +104,28 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     if res.stories_written:
         lake.write_bronze(deduped, store.bronze("hn_stories"), store.fmt, schemas.HN_STORIES)
 
-    # 3. data quality over the newest rows per company, read back from the written tables.
-    gh = read_keyed(spark, store, "github_repos")
-    hn = read_keyed(spark, store, "hn_stories")
-    results = dq.suite(gh, tracked, "github_repos", "org", "pushed_at", key="full_name", cap=read_cap,
+    # 3. data quality over the newest rows per company, read back from the written tables. The
+    #    capped reads are written once (shared folder) and feed both the checks and gold.
+    tracked_co = tracked.select(F.col("org").alias("company"))
+    gh_cap = materialize(newest.cap_per_group(restrict_to(read_keyed(spark, store, "github_repos"), tracked, on="org"),
+                                              "org", "pushed_at", read_cap, ["full_name"]), "refresh-gh")
+    hn_cap = materialize(newest.cap_per_group(restrict_to(read_keyed(spark, store, "hn_stories"), tracked_co, on="company"),
+                                              "company", "created_at", read_cap, ["story_url"]), "refresh-hn")
+    gh_base = _baseline(spark, store, "github_repos", as_of, baseline_days)
+    hn_base = _baseline(spark, store, "hn_stories", as_of, baseline_days)
+    results = dq.suite(gh_cap, tracked, "github_repos", "org", "pushed_at", cap=None, baseline=gh_base,
                        max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of).unionByName(
-        dq.suite(hn, tracked, "hn_stories", "company", "created_at", key="story_url", cap=read_cap,
+        dq.suite(hn_cap, tracked, "hn_stories", "company", "created_at", cap=None, baseline=hn_base,
                  max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of))
     results = schemas.conform(results, schemas.DQ_RESULT)
+    _record_counts(store, tracked, gh_cap, "org", "github_repos", as_of)
+    _record_counts(store, tracked, hn_cap, "company", "hn_stories", as_of)
     results.write.format(store.fmt).mode("append").save(store.alerts)
     counts = spark.read.format(store.fmt).load(store.alerts).where(F.col("measured_at") == ts).agg(
         F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("passed")).alias("failures")).first()
     res.checks, res.failures = int(counts["checks"]), int(counts["failures"])
 
     # 4. gold over the same capped reads; publish the snapshot and the optional warehouse copy.
-    gh_cap = newest.cap_per_group(restrict_to(gh, tracked, on="org"), "org", "pushed_at", read_cap, ["full_name"])
-    hn_cap = newest.cap_per_group(restrict_to(hn, tracked.select(F.col("org").alias("company")), on="company"),
-                                  "company", "created_at", read_cap, ["story_url"])
     gold = rollup.company_signals(gh_cap, hn_cap, as_of=as_of)
     if not gold.isEmpty():
         res.versions["company_signals"] = lake.write_gold(gold, store.gold("company_signals"), fmt=store.fmt) or 0
@@ -123,6 +136,26 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     return res
 
 
+def _baseline(spark: SparkSession, store: Store, table: str, as_of: dt.datetime, days: int | None) -> DataFrame | None:
+    """(segment, n) row counts recorded by the runs of the ``days`` days before ``as_of``."""
+    if not days or not path_exists(spark, store.row_counts):
+        return None
+    hist = spark.read.format(store.fmt).load(store.row_counts)
+    lo = F.lit(as_of - dt.timedelta(days=days)).cast("timestamp")
+    hi = F.lit(as_of).cast("timestamp")
+    return hist.where((F.col("table") == table) & (F.col("measured_at") >= lo) & (F.col("measured_at") < hi)) \
+        .select("segment", "n")
+
+
+def _record_counts(store: Store, tracked: DataFrame, rows: DataFrame, group: str, table: str, as_of) -> None:
+    """Append this run's row count per tracked company (0 for companies without rows)."""
+    counts = rows.groupBy(F.col(group).alias("segment")).agg(F.count(F.lit(1)).alias("n"))
+    out = tracked.select(F.col("org").alias("segment")).distinct().join(counts, "segment", "left").select(
+        "segment", F.lit(table).alias("table"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.lit(as_of).cast("timestamp").alias("measured_at"))
+    out.write.format(store.fmt).mode("append").save(store.row_counts)
+
+
 def recent_alerts(spark: SparkSession, store: Store, limit: int = 20) -> DataFrame:
     """The serving query: newest failing checks, timestamps as text."""
     from kestrel.functions.scalars import timestamp_text

@@ -76,3 +76,24 @@ def test_cli_refresh_and_alerts(spark, capsys):
     main(["alerts", "--store", f"{root}/store"])
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert {(x["segment"], x["check_name"]) for x in lines} >= {("ghost", "freshness")}
+
+
+def test_refresh_row_count_baseline_from_history(spark):
+    store = refresh.Store(scratch_path(spark, "refresh-baseline"))
+    tracked = spark.createDataFrame([("acme",)], "org string")
+    no_stories = spark.createDataFrame([], "company string, payload string, seq int")
+
+    def day(n_repos, d):
+        landed = spark.createDataFrame(
+            [("acme", json.dumps([repo(f"r{d}-{i}", "acme", 1, f"2026-05-{d:02d}T00:00:00Z") for i in range(n_repos)]))],
+            "org string, payload string")
+        return refresh.refresh(spark, store, tracked, landed, no_stories, dt.datetime(2026, 5, d, 2, 0))
+
+    for d in range(1, 6):
+        day(1, d)  # one new repo per day: 1, 2, 3, 4, 5 rows
+    day(50, 6)      # 55 rows against a baseline of 1..5 -> anomaly
+    alerts = spark.read.parquet(store.alerts).where(
+        "check_name = 'row_count_anomaly' AND `table` = 'github_repos'").orderBy("measured_at").collect()
+    assert alerts[0].message == "no baseline yet; current=1"
+    assert alerts[1].message.startswith("current=2 baseline_mean=1.0")
+    assert not alerts[-1].passed and alerts[-1].message.startswith("current=55 baseline_mean=3.0")
