@@ -87,7 +87,7 @@ def test_refresh_row_count_baseline_from_history(spark):
         landed = spark.createDataFrame(
             [("acme", json.dumps([repo(f"r{d}-{i}", "acme", 1, f"2026-05-{d:02d}T00:00:00Z") for i in range(n_repos)]))],
             "org string, payload string")
-        return refresh.refresh(spark, store, tracked, landed, no_stories, dt.datetime(2026, 5, d, 2, 0))
+        return refresh.refresh(spark, store, tracked, landed, no_stories, dt.datetime(2026, 5, d, 2, 0), baseline_days=7)
 
     for d in range(1, 6):
         day(1, d)  # one new repo per day: 1, 2, 3, 4, 5 rows
