@@ -43,12 +43,15 @@ def cap_per_group(df: DataFrame, group: str, ts: str, n: int, tiebreak: Sequence
     behind a checked bound), take the sorted top-N path. If that set is too large to
     broadcast, every row takes the top-N path.
     """
-    from kestrel.operators.joins import fits
+    from kestrel.operators.joins import DEFAULT_BROADCAST_ROWS
     from kestrel.session import materialize
 
     counts = df.select(group).groupBy(group).agg(F.count(F.lit(1)).alias("__c"))
     over = materialize(counts.where(F.col("__c") > n).select(F.col(group).alias("__g")), "over-cap")
-    if not fits(over):
+    n_over = over.limit(DEFAULT_BROADCAST_ROWS + 1).count()  # a small written file
+    if n_over == 0:
+        return df  # no group is over the cap: every row is kept
+    if n_over > DEFAULT_BROADCAST_ROWS:
         return newest_per_group(df, group, ts, n, tiebreak)
     big = F.broadcast(over)
     on = df[group].eqNullSafe(big["__g"])  # a null group is a group too, as in the window form
