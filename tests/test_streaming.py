@@ -141,3 +141,26 @@ def test_stream_quarantine_split(spark):
     bad = {r._bad for r in spark.read.parquet(ingest.quarantine_path(spec, root)).collect()}
     assert [r.title for r in bronze] == ["t"] and "_corrupt_record" not in bronze[0].asDict()
     assert bad == {"malformed record", "missing title"}
+
+
+def test_run_all_specs_together(spark):
+    root = scratch_path(spark, "multi-spec")
+    recs = {
+        "github_repos": [{"full_name": f"o/r{i}", "name": f"r{i}", "stars": i, "forks": 0, "open_issues": 0,
+                          "language": None, "pushed_at": "2026-05-01T00:00:00Z"} for i in range(5)],
+        "hn_stories": [{"title": f"t{i}", "url": None, "points": i, "author": "a", "created_at": "2026-05-01T00:00:00Z",
+                        "num_comments": 0} for i in range(7)],
+        "reddit_posts": [{"subreddit": "s", "title": "t", "score": 1, "num_comments": 0, "author": "a",
+                          "created_utc": "2026-05-01T00:00:00Z", "permalink": f"/p{i}"} for i in range(3)],
+        "job_listings": [{"company": "acme", "title": "Engineer", "location": None, "posted_at": "3 days ago",
+                          "source_url": f"https://jobs/{i}"} for i in range(2)],
+    }
+    for spec in STREAM_SPECS:
+        df = spark.createDataFrame([(None, json.dumps(r).encode()) for r in recs[spec.name]], "key binary, value binary")
+        df.write.parquet(f"{root}/topics/{spec.topic}")
+    queries = ingest.run(spark, root, available_now=True, source_format="parquet", source_path=f"{root}/topics",
+                         sink_format="parquet")
+    assert len(queries) == 4
+    for spec in STREAM_SPECS:
+        assert spark.read.parquet(spec.bronze_path(root)).count() == len(recs[spec.name])
+    assert spark.read.parquet(SPECS_BY_NAME["job_listings"].bronze_path(root)).first().posted_at == "3 days ago"
