@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from kestrel import schemas
 from kestrel.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from kestrel.session import materialize
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,9 @@ def upsert(target: DataFrame, batch: DataFrame, rule: UpsertRule, seq: str | Non
     keys = list(rule.key)
     cols = keys + list(rule.kept) + list(rule.refreshed)
     stamp = rule.stamp
-    s = collapse_batch(batch, rule, seq)
+    # The collapsed batch is written once: the size check, the broadcast and the insert
+    # branch all read it, instead of re-running the batch's whole lineage (parsing, dedup).
+    s = materialize(collapse_batch(batch, rule, seq), f"upsert-{rule.table}")
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     t_cols = cols + ([stamp] if stamp and stamp in target.columns else [])
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__hit"))

@@ -89,7 +89,7 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
 
     # 1. repos: normalise, keep tracked orgs, upsert, land bronze.
     repos = payloads.parse_repos(landed_repos.select("org", "payload"), org="org", scraped_at=ts)
-    repos = restrict_to(repos, tracked, on="org")
+    repos = materialize(restrict_to(repos, tracked, on="org"), "refresh-repos-batch")
     res.repos_written, res.versions["github_repos"] = _apply(spark, store, "github_repos", repos, None, as_of)
     if res.repos_written:
         lake.write_bronze(repos, store.bronze("github_repos"), store.fmt, schemas.GITHUB_REPOS)
@@ -99,8 +99,8 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     st = payloads.parse_stories(landed_stories, company="company", scraped_at=ts)
     st = restrict_to(st, tracked.select(F.col("org").alias("company")), on="company")
     st = st.withColumn("__seq", F.struct(F.col("seq"), F.col("position")))
-    deduped = dedup.last_wins(st.select(*schemas.HN_STORIES.names, "__seq"), ["company", "story_url"], "__seq",
-                              keep_seq=True)
+    deduped = materialize(dedup.last_wins(st.select(*schemas.HN_STORIES.names, "__seq"), ["company", "story_url"],
+                                          "__seq", keep_seq=True), "refresh-stories-batch")
     res.stories_written, res.versions["hn_stories"] = _apply(spark, store, "hn_stories", deduped, "__seq", as_of)
     if res.stories_written:
         lake.write_bronze(deduped, store.bronze("hn_stories"), store.fmt, schemas.HN_STORIES)
