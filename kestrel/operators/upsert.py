@@ -85,14 +85,19 @@ def collapse_batch(batch: DataFrame, rule: UpsertRule, seq: str | None) -> DataF
 
 def upsert(target: DataFrame, batch: DataFrame, rule: UpsertRule, seq: str | None = None,
            as_of=None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           strategy: str = "auto") -> DataFrame:
-    """The new full state of the keyed table after applying ``batch`` to ``target``."""
+           strategy: str = "auto", stage_batch: bool = False) -> DataFrame:
+    """The new full state of the keyed table after applying ``batch`` to ``target``.
+
+    The collapsed batch is read up to three times (size check, broadcast, insert branch).
+    Pass a batch that is already a written table, or ``stage_batch=True`` to write the
+    collapsed batch once under the shared folder, when its lineage is expensive.
+    """
     keys = list(rule.key)
     cols = keys + list(rule.kept) + list(rule.refreshed)
     stamp = rule.stamp
-    # The collapsed batch is written once: the size check, the broadcast and the insert
-    # branch all read it, instead of re-running the batch's whole lineage (parsing, dedup).
-    s = materialize(collapse_batch(batch, rule, seq), f"upsert-{rule.table}")
+    s = collapse_batch(batch, rule, seq)
+    if stage_batch:
+        s = materialize(s, f"upsert-{rule.table}")
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     t_cols = cols + ([stamp] if stamp and stamp in target.columns else [])
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__hit"))

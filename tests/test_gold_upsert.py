@@ -123,3 +123,11 @@ def test_merge_sql_text_and_unsupported_table(spark):
     batch.drop("seq").write.parquet(path)
     with pytest.raises(Exception):
         upsert.merge_into(spark, f"parquet.`{path}`", batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF)
+
+
+def test_upsert_staged_batch_same_rows(spark):
+    target = spark.createDataFrame([("u1", "acme", "old", 1, 1, None, T0, T0)], STORY_T)
+    batch = spark.createDataFrame([("u1", "x", "new", 5, 6, "y", T0, 0), ("u2", "b", "t", 1, 1, "a", T0, 1)], STORY_B)
+    a = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF).collect()
+    b = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF, stage_batch=True).collect()
+    assert sorted(a) == sorted(b)
