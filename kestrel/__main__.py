@@ -1,6 +1,6 @@
 """Command-line entry: ``python -m kestrel <command>``.
 
-  refresh  --store DIR --repos DIR --stories DIR --tracked FILE [--as-of ISO]
+  refresh  --store DIR --repos DIR --stories DIR --tracked FILE [--as-of ISO] [--baseline-days 7]
            landed repo responses (JSON lines {org, payload}), story responses ({company, payload, seq}),
            tracked companies (one per line) -> upsert, bronze, data quality, gold
   stream   --root DIR --source-format kafka|parquet [--source-path DIR] [--sink-format delta|parquet]
@@ -32,7 +32,8 @@ def _refresh(args) -> None:
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     res = refresh.refresh(spark, refresh.Store(args.store, args.format), tracked, repos,
                           stories.select("company", "payload", "seq"), as_of,
-                          warehouse_project=args.warehouse_project, warehouse_dataset=args.warehouse_dataset)
+                          warehouse_project=args.warehouse_project, warehouse_dataset=args.warehouse_dataset,
+                          baseline_days=args.baseline_days)
     print(json.dumps(res.__dict__, default=str))
 
 
@@ -65,6 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--format", default="parquet")
     r.add_argument("--warehouse-project")
     r.add_argument("--warehouse-dataset")
+    r.add_argument("--baseline-days", type=int, default=None)
     r.set_defaults(fn=_refresh)
     s = sub.add_parser("stream")
     s.add_argument("--root", required=True)
