@@ -40,15 +40,15 @@ class UpsertRule:
 
 # Conflict rules of the three keyed tables.
 REPOS_RULE = UpsertRule(
-    "github_repos", ("full_name",), ("org", "name"),
+    "github_repos", tuple(schemas.KEYS["github_repos"]), ("org", "name"),
     ("description", "language", "stars", "forks", "open_issues", "pushed_at"),
 )
 STORIES_RULE = UpsertRule(
-    "hn_stories", ("story_url",), ("company", "title", "author", "created_at"),
+    "hn_stories", tuple(schemas.KEYS["hn_stories"]), ("company", "title", "author", "created_at"),
     ("points", "num_comments"),
 )
 FACTS_RULE = UpsertRule(
-    "wikipedia_companies", ("name",), (),
+    "wikipedia_companies", tuple(schemas.KEYS["wikipedia_companies"]), (),
     ("title", "summary", "description", "url", "thumbnail_url"),
 )
 RULES = {r.table: r for r in (REPOS_RULE, STORIES_RULE, FACTS_RULE)}

@@ -114,9 +114,9 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
                                               "company", "created_at", read_cap, ["story_url"]), "refresh-hn")
     gh_base = _baseline(spark, store, "github_repos", as_of, baseline_days)
     hn_base = _baseline(spark, store, "hn_stories", as_of, baseline_days)
-    results = dq.suite(gh_cap, tracked, "github_repos", "org", "pushed_at", cap=None, baseline=gh_base,
-                       max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of).unionByName(
-        dq.suite(hn_cap, tracked, "hn_stories", "company", "created_at", cap=None, baseline=hn_base,
+    results = dq.suite(gh_cap, tracked, "github_repos", "org", schemas.EVENT_TIME["github_repos"], cap=None,
+                       baseline=gh_base, max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of).unionByName(
+        dq.suite(hn_cap, tracked, "hn_stories", "company", schemas.EVENT_TIME["hn_stories"], cap=None, baseline=hn_base,
                  max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of))
     results = schemas.conform(results, schemas.DQ_RESULT)
     _record_counts(store, tracked, gh_cap, "org", "github_repos", as_of)
@@ -127,7 +127,7 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     res.checks, res.failures = int(counts["checks"]), int(counts["failures"])
 
     # 4. gold over the same capped reads; publish the snapshot and the optional warehouse copy.
-    gold = rollup.company_signals(gh_cap, hn_cap, as_of=as_of)
+    gold = schemas.conform(rollup.company_signals(gh_cap, hn_cap, as_of=as_of), schemas.COMPANY_SIGNALS)
     if not gold.isEmpty():
         res.versions["company_signals"] = lake.write_gold(gold, store.gold("company_signals"), fmt=store.fmt) or 0
         published = lake.read_gold(spark, store.gold("company_signals"), store.fmt)

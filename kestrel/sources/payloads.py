@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel import schemas
 from kestrel.functions.scalars import falsy_coalesce, nonempty, story_key
 
 PAYLOAD = "payload"
@@ -42,7 +43,8 @@ def quarantine_split(df: DataFrame, required: Sequence[str], extra_bad: Column |
 
 
 # --- N1 repo list -> github_repos -------------------------------------------------------------
-REPO_REQUIRED = ["name", "full_name", "stars", "forks", "open_issues", "pushed_at"]
+# Required fields of a repo record (the request supplies org).
+REPO_REQUIRED = [c for c in schemas.REQUIRED["github_repos"] if c != "org"]
 
 
 def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = None,
