@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from kestrel import schemas
 from kestrel.functions.scalars import falsy_coalesce, nonempty, story_key
+from kestrel.operators.partitioning import spread
 
 PAYLOAD = "payload"
 BAD = "_bad"
@@ -265,7 +266,7 @@ def parse_listings(pages: DataFrame, board: str, url: str = "url", html: str = "
         blocks = F.regexp_extract_all(F.col(html), F.lit(rule["block"]), 1)
     else:
         blocks = F.slice(F.split(F.col(html), rule["split"]), 2, 1 << 30)
-    ex = pages.select(F.col(company).alias("company"), F.col(url).alias("__page"), F.explode(blocks).alias("__b"))
+    ex = spread(pages).select(F.col(company).alias("company"), F.col(url).alias("__page"), F.explode(blocks).alias("__b"))
     b = F.col("__b")
     title = html_text(F.regexp_extract(b, rule["title"], 1))
     location = (F.when(F.regexp_extract(b, rule["location"], 0) != "", html_text(F.regexp_extract(b, rule["location"], 1)))
