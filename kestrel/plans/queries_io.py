@@ -183,7 +183,11 @@ def _stream_quality_sql() -> str:
             f"{sev(f'{rate} <= 0.1', 'warning')} AS severity, 'null_rate=' || {fmt(rate, 3)} || ' threshold=0.1' AS message, "
             f"{AS_OF_SQL} AS measured_at, CAST(NULL AS VARCHAR) AS segment FROM events"
         )
-    return "\nUNION ALL\n".join(parts)
+    from kestrel.plans.queries_dq import TWO_DAYS_US, _freshness_sql
+
+    fresh = _freshness_sql("(SELECT CASE WHEN event_type <> 'error' THEN ts END AS created_at FROM events)",
+                           "hn_stories", "created_at", TWO_DAYS_US)
+    return "\nUNION ALL\n".join(parts + [fresh])
 
 
 @register("stream_batch_quality", _stream_quality_sql())

@@ -29,10 +29,13 @@ def quality_paths(spec: StreamSpec, root: str) -> dict[str, str]:
     }
 
 
-def batch_checks(batch: DataFrame, spec: StreamSpec, max_null_rate: float, as_of=None) -> DataFrame:
-    """Null rate of every message field (and freshness of the event time, when there is one)."""
+def batch_checks(batch: DataFrame, spec: StreamSpec, max_null_rate: float, as_of=None,
+                 max_age=dq.DAG_FRESHNESS_SLA) -> DataFrame:
+    """Null rate of every message field, and freshness of the event time when the spec has one."""
     fields = batch.select(*spec.schema.names)
     out = dq.null_rate(fields, spec.name, max_null_rate, as_of=as_of)
+    if spec.watermark_col:
+        out = out.unionByName(dq.freshness(fields, spec.name, spec.watermark_col, max_age, as_of=as_of))
     return out
 
 
