@@ -1,9 +1,10 @@
 """Per-company gold aggregate: repo rollup full-outer-joined with the mention rollup.
 
-Plan shape: each side is one partial+final hash aggregate keyed by company (map-side
-combine, so a company holding a third of all rows costs one hash-table entry per task,
-not a hot shuffle partition), then a full outer join of two frames that hold one row
-per company. The join never sees raw rows.
+Plan shape: the full outer join of two per-company aggregates is computed as ONE
+aggregate over the union of both inputs (each side's metrics null on the other side's
+rows). That is a single partial+final hash aggregate keyed by company: map-side combine
+(a company holding a third of all rows costs one hash-table entry per task), one
+shuffle, and no join or sort at all. A company seen on either side gets one row.
 """
 
 from __future__ import annotations
@@ -58,11 +59,27 @@ def company_signals(repos: DataFrame, stories: DataFrame, as_of=None,
     An empty input side yields a typed empty rollup, so both-empty gives an empty gold frame.
     ``computed_at`` is one value for the whole snapshot (``as_of``, default now).
     """
-    gh = repo_rollup(repos, org)
-    hn = mention_rollup(stories, company)
-    joined = gh.join(hn, on="org", how="full")
-    return joined.select(
-        "org",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in REPO_METRICS + MENTION_METRICS],
+    nul = {t: F.lit(None).cast(t) for t in ("string", "bigint")}
+    gh = repos.where(F.col(org).isNotNull()).select(
+        F.col(org).alias("org"), F.col("full_name").alias("__repo"),
+        F.col("stars").cast("bigint").alias("__stars"), F.col("forks").cast("bigint").alias("__forks"),
+        F.col("open_issues").cast("bigint").alias("__issues"),
+        nul["string"].alias("__story"), nul["bigint"].alias("__points"),
+    )
+    hn = stories.where(F.col(company).isNotNull()).select(
+        F.col(company).alias("org"), nul["string"].alias("__repo"), nul["bigint"].alias("__stars"),
+        nul["bigint"].alias("__forks"), nul["bigint"].alias("__issues"),
+        F.col("story_url").alias("__story"), F.col("points").cast("bigint").alias("__points"),
+    )
+    agg = gh.unionByName(hn).groupBy("org").agg(
+        F.count("__repo").alias("repo_count"),
+        F.coalesce(F.sum("__stars"), F.lit(0)).alias("total_stars"),
+        F.coalesce(F.sum("__forks"), F.lit(0)).alias("total_forks"),
+        F.coalesce(F.sum("__issues"), F.lit(0)).alias("total_open_issues"),
+        F.count("__story").alias("hn_mentions"),
+        F.coalesce(F.sum("__points"), F.lit(0)).alias("hn_points"),
+    )
+    return agg.select(
+        "org", *[F.col(c).cast("bigint").alias(c) for c in REPO_METRICS + MENTION_METRICS],
         _as_of(as_of).alias("computed_at"),
     )
