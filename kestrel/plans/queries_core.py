@@ -40,7 +40,7 @@ FROM gh FULL OUTER JOIN hn ON gh.org = hn.org
 """,
 )
 def company_signals(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold: per-company repo rollup full-outer-joined with the mention rollup, zeros filled."""
+    """Gold: per-company repo and mention rollups combined (one aggregate over their union), zeros filled."""
     return ntz(rollup.company_signals(_repos(spark, sf), _stories(spark, sf), as_of=AS_OF))
 
 
