@@ -7,9 +7,10 @@ or ``error`` (freshness). Every comparison is inclusive on the passing side.
 
 Single-frame checks (``row_count_anomaly``, ``freshness``, ``null_rate``) mirror the
 one-frame-at-a-time functions. ``suite`` is the scale path: one grouped aggregate per
-table computes row count, newest event and every column's null count for all tracked
-companies at once, left-joined from the tracked list so that a company without rows
-still gets its row-count and freshness results.
+table, over the union of the tracked list, the rows and the count history, computes row
+count, newest event, every column's null count and the baseline statistics for all
+tracked companies at once - so a company without rows still gets its row-count and
+freshness results, and no join is needed.
 """
 
 from __future__ import annotations
@@ -271,28 +272,36 @@ def suite(df: DataFrame, tracked: DataFrame, table: str, group: str, ts_column:
     cols = list(columns) if columns is not None else df.columns
     fields = [df.schema[c] for c in cols]
     rows = df.select(*dict.fromkeys([*cols, group, ts_column] + ([key] if key else []))).where(F.col(group).isNotNull())
-    aggs = [F.count(F.lit(1)).alias("__n"), F.max(F.col(ts_column).cast("timestamp")).alias("__newest")]
-    aggs += [F.sum(is_missing(f).cast("bigint")).alias(f"__nulls_{f.name}") for f in fields]
-
-    def stats_of(frame: DataFrame) -> DataFrame:
-        return frame.groupBy(F.col(group).alias("__seg")).agg(*aggs)
-
     if cap is not None:
         rows = cap_per_group(rows, group, ts_column, cap, [key] if key else [])
-    stats = stats_of(rows)
-    t = tracked.select(F.col(tracked_key).alias("__seg")).distinct()
-    joined = t.join(stats, on="__seg", how="left")
+    # One aggregate over the union of the tracked list, the rows and the count history (each
+    # part null in the others' columns): row count, newest event, null counts and baseline
+    # statistics per company in a single shuffle of partial aggregates - no joins.
+    seg_type = df.schema[group].dataType
+    zero, one = F.lit(0), F.lit(1)
+    null = {c: F.lit(None).cast(t) for c, t in (("b", "bigint"), ("d", "double"), ("t", "timestamp"))}
+    parts = [
+        rows.select(F.col(group).alias("__seg"), zero.alias("__t"), one.cast("bigint").alias("__one"),
+                    F.col(ts_column).cast("timestamp").alias("__ts"),
+                    *[is_missing(f).cast("bigint").alias(f"__z_{f.name}") for f in fields], null["d"].alias("__bn")),
+        tracked.select(F.col(tracked_key).cast(seg_type).alias("__seg"), one.alias("__t"), null["b"].alias("__one"),
+                       null["t"].alias("__ts"), *[null["b"].alias(f"__z_{f.name}") for f in fields],
+                       null["d"].alias("__bn")),
+    ]
     if baseline is not None:
         bcols = baseline.columns
-        bl = baseline.groupBy(F.col(bcols[0]).alias("__seg")).agg(
-            F.avg(F.col(bcols[1]).cast("double")).alias("__mean"),
-            F.stddev_pop(F.col(bcols[1]).cast("double")).alias("__std"),
-            F.count(bcols[1]).alias("__nb"),
-        )
-        joined = joined.join(bl, on="__seg", how="left")
-    else:
-        joined = joined.select("*", F.lit(None).cast("double").alias("__mean"),
-                               F.lit(None).cast("double").alias("__std"), F.lit(None).cast("bigint").alias("__nb"))
+        parts.append(baseline.select(
+            F.col(bcols[0]).cast(seg_type).alias("__seg"), zero.alias("__t"), null["b"].alias("__one"),
+            null["t"].alias("__ts"), *[null["b"].alias(f"__z_{f.name}") for f in fields],
+            F.col(bcols[1]).cast("double").alias("__bn")))
+    unioned = parts[0]
+    for p in parts[1:]:
+        unioned = unioned.unionByName(p)
+    joined = unioned.where(F.col("__seg").isNotNull()).groupBy("__seg").agg(
+        F.max("__t").alias("__tracked"), F.count("__one").alias("__n"), F.max("__ts").alias("__newest"),
+        *[F.sum(f"__z_{f.name}").alias(f"__nulls_{f.name}") for f in fields],
+        F.avg("__bn").alias("__mean"), F.stddev_pop("__bn").alias("__std"), F.count("__bn").alias("__nb"),
+    ).where(F.col("__tracked") == 1)
     n = F.coalesce(F.col("__n"), F.lit(0)).cast("bigint")
     seg = F.col("__seg").cast("string")
     rc_passed, rc_msg, _ = _rowcount_fields(n, F.col("__mean"), F.col("__std"),
