@@ -47,3 +47,15 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [rel.columns.index(c) for c in cols]
     expect = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert got == expect
+
+
+def test_queries_read_whole_tables():
+    """No sampling, no modulo filters; a LIMIT only where the limit is the feature."""
+    import re
+
+    limited = {"recent_repos_for_org", "recent_failures"}
+    for name, sql in E.oracle_sql().items():
+        low = sql.lower()
+        assert "using sample" not in low and "tablesample" not in low, name
+        assert not re.search(r"where[^;]*\b\w+\s*%\s*\d+\s*(=|<>|!=)", low), name
+        assert ("limit" in low) == (name in limited), name
