@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kestrel.plans import registry
 from kestrel.plans.bindings import TABLES
 from tools.oracle_check import norm
 
@@ -26,7 +27,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.queries()) - set(registry.oracle_sql())
     assert not missing, missing
 
 
@@ -34,15 +35,15 @@ def test_every_query_has_an_oracle():
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = registry.queries()[name](spark, SF)
     cols = sorted(df.columns)
     ordered = df.select(*cols)
     got = sorted((tuple(norm(v) for v in r) for r in ordered.collect()), key=repr)
     plan = ordered._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in FORBIDDEN if op in plan], plan
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(registry.oracle_sql()[name])
     assert sorted(rel.columns) == cols
     idx = [rel.columns.index(c) for c in cols]
     expect = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
@@ -54,7 +55,7 @@ def test_queries_read_whole_tables():
     import re
 
     limited = {"recent_repos_for_org", "recent_failures"}
-    for name, sql in E.oracle_sql().items():
+    for name, sql in registry.oracle_sql().items():
         low = sql.lower()
         assert "using sample" not in low and "tablesample" not in low, name
         assert not re.search(r"where[^;]*\b\w+\s*%\s*\d+\s*(=|<>|!=)", low), name
