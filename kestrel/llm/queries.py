@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_chunks, packing, token_counts
+from kestrel.llm import bpe_chunks, exact_dedup, packing, token_counts
 from kestrel.llm.common import read_table
 from kestrel.llm.encoders import default_path
 
@@ -27,6 +27,22 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(lengths))
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the id that stays for its text."""
+    rows = exact_dedup.dedup(read_table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
+    return rows.select("doc.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP3_SQL = r"""
+WITH n AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256
+FROM n WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     coded = bpe_chunks.encode_documents(read_table(spark, sf_dir, "documents"), default_path(BYTE_BPE))
@@ -36,6 +52,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
+    "op3_exact_dedup": op3_exact_dedup,
     "op6_bpe": op6_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL}
