@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_chunks, exact_dedup, packing, token_counts
+from kestrel.llm import bpe_chunks, exact_dedup, packing, pii, token_counts
 from kestrel.llm.common import read_table
 from kestrel.llm.encoders import default_path
 
@@ -43,6 +43,14 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document: by pattern, and by what terms tell about them."""
+    found = pii.find(read_table(spark, sf_dir, "documents"), ["doc_id"]).select("doc.doc_id", "spans", pii.only_patterns(F.col("spans")).alias("base"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     coded = bpe_chunks.encode_documents(read_table(spark, sf_dir, "documents"), default_path(BYTE_BPE))
@@ -53,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_pii": op4_pii,
     "op6_bpe": op6_bpe,
 }
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL}
