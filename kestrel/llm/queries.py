@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import ann, bpe_chunks, chat, exact_dedup, packing, pii, quality, simhash, token_counts
+from kestrel.llm import ann, bpe_chunks, chat, exact_dedup, packing, pii, quality, simhash, suffix_tree, token_counts
 from kestrel.llm.common import id_bucket, read_table
 from kestrel.llm.encoders import default_path
 
@@ -51,6 +51,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document; documents of bucket 1 of 5 teach the model nothing."""
+    return suffix_tree.score(read_table(spark, sf_dir, "documents"), id_bucket(5) == 1)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     coded = bpe_chunks.encode_documents(read_table(spark, sf_dir, "documents"), default_path(BYTE_BPE))
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_pii": op4_pii,
+    "op5_lm_score": op5_lm_score,
     "op6_bpe": op6_bpe,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
