@@ -40,17 +40,9 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not use yet (Spark compares names without case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def id_bucket(n: int, id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-__all__ = ["BATCH_ROWS", "prepare", "read_table", "text_or_empty", "id_text", "fresh", "id_bucket", "materialize", "shared_dir"]
+__all__ = ["BATCH_ROWS", "prepare", "read_table", "text_or_empty", "id_text", "id_bucket", "materialize", "shared_dir"]

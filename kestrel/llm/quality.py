@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import fresh, id_bucket, id_text, materialize, text_or_empty
+from kestrel.llm.common import id_bucket, id_text, materialize, text_or_empty
 
 #: Most labelled rows that a model is fitted on.
 SAMPLE = 20_000
@@ -230,12 +230,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """``docs`` without the rows that score below the threshold."""
     known = labels.filter(F.col("quality").isNotNull()).select("doc_id").distinct()
     model = learn(features(docs).join(known, "doc_id", "left_semi"), labels)
-    at = fresh(docs, "quality_text")
     columns = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), text_or_empty().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([text_features(t) for t in batch.column(len(columns)).to_pylist()]).reshape(-1, len(FEATURES))
-            yield batch.select(range(len(columns))).filter(pa.array(model.scores(x) >= threshold))
+            x = np.array([text_features(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(FEATURES))
+            yield batch.select([0]).filter(pa.array(model.scores(x) >= threshold))
 
-    return docs.withColumn(at, text_or_empty()).mapInArrow(run, docs.schema)
+    kept = packed.mapInArrow(run, packed.select("doc").schema)
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
