@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 
 from kestrel import schemas
 from kestrel.functions.scalars import timestamp_text
-from kestrel.operators.newest import cap_per_group
 
 RESULT_COLS = ["check_name", "table", "passed", "severity", "message", "measured_at", "segment"]
 
@@ -33,7 +32,6 @@ DEFAULT_SIGMA = 3.0
 DEFAULT_MAX_NULL_RATE = 0.1
 DAG_MAX_NULL_RATE = 0.5
 DAG_FRESHNESS_SLA = dt.timedelta(days=2)
-DAG_READ_CAP = 1000
 
 
 def _now(as_of) -> Column:
@@ -165,28 +163,48 @@ def schema_of(df: DataFrame) -> dict[str, str]:
     return dict(df.dtypes)
 
 
-def drift_message(current: dict[str, str], expected: dict[str, str]) -> tuple[bool, str]:
-    added = set(current) - set(expected)
-    removed = set(expected) - set(current)
-    common = sorted(set(current) & set(expected))
-    changed = {c: (expected[c], current[c]) for c in common if expected[c] != current[c]}
-    parts = []
-    if added:
-        parts.append(f"added={sorted(added)}")
-    if removed:
-        parts.append(f"removed={sorted(removed)}")
-    if changed:
-        parts.append(f"type_changed={changed}")
-    return bool(parts), "; ".join(parts) if parts else "no drift"
+def _listed(items: Column) -> Column:
+    """``['a', 'b']`` of an array of texts."""
+    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+
+def _quoted(text: Column) -> Column:
+    """The text in quotes: single ones, or double ones if it holds a single quote itself."""
+    mark = F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
+    return F.concat(mark, text, mark)
+
+
+def _drift(observed: DataFrame, expected: dict[str, str], table: str, as_of) -> DataFrame:
+    """Result row from the full join of two (column, type) sets."""
+    declared = observed.sparkSession.createDataFrame(sorted(expected.items()), "column string, declared string")
+    both = observed.join(declared, "column", "full")
+    name, old, new = _quoted(F.col("column")), F.col("declared"), F.col("type")
+    differs = old.isNotNull() & new.isNotNull() & (old != new)
+    change = F.concat(name, F.lit(": ("), _quoted(old), F.lit(", "), _quoted(new), F.lit(")"))
+
+    def found(test: Column, shown: Column) -> Column:
+        pairs = F.sort_array(F.collect_list(F.when(test, F.struct(F.col("column").alias("c"), shown.alias("s")))))
+        return F.transform(pairs, lambda x: x["s"])
+
+    seen = both.agg(found(old.isNull(), name).alias("a"), found(new.isNull(), name).alias("r"), found(differs, change).alias("c"))
+    some = lambda c: F.size(c) > 0
+    parts = F.concat_ws(
+        "; ",
+        F.when(some("a"), F.concat(F.lit("added="), _listed(F.col("a")))),
+        F.when(some("r"), F.concat(F.lit("removed="), _listed(F.col("r")))),
+        F.when(some("c"), F.concat(F.lit("type_changed={"), F.array_join("c", ", "), F.lit("}"))),
+    )
+    told = seen.select(parts.alias("m"))
+    passed = F.col("m") == ""
+    message = F.when(passed, F.lit("no drift")).otherwise(F.col("m"))
+    return told.select(F.inline(F.array(_row("schema_drift", table, passed, "warning", message, _now(as_of)))))
 
 
 def schema_drift(spark: SparkSession, current: dict[str, str] | DataFrame, expected: dict[str, str],
                  table: str, as_of=None) -> DataFrame:
-    """Added / removed / type-changed columns by name (metadata only, computed on the driver)."""
+    """Added / removed / type-changed columns by name."""
     cur = schema_of(current) if isinstance(current, DataFrame) else dict(current)
-    drifted, msg = drift_message(cur, expected)
-    row = _row("schema_drift", table, F.lit(not drifted), "warning", F.lit(msg), _now(as_of))
-    return spark.range(1).select(F.inline(F.array(row)))
+    return _drift(spark.createDataFrame(sorted(cur.items()), "column string, type string"), expected, table, as_of)
 
 
 # Observed JSON value types -> schema type names (fixed values).
@@ -195,42 +213,30 @@ _JSON_TYPES = {"BIGINT": "bigint", "INT": "bigint", "SMALLINT": "bigint", "TINYI
                "ARRAY": "array", "VOID": "null"}
 
 
-def _top_level_fields(schema: str) -> dict[str, str]:
-    """``OBJECT<a: BIGINT, b: OBJECT<...>>`` -> {a: bigint, b: object}."""
-    if not schema.startswith("OBJECT<"):
-        return {}
-    body, out, depth, start = schema[len("OBJECT<"):-1], {}, 0, 0
-    parts = []
-    for i, ch in enumerate(body):
-        if ch in "<(":
-            depth += 1
-        elif ch in ">)":
-            depth -= 1
-        elif ch == "," and depth == 0:
-            parts.append(body[start:i])
-            start = i + 1
-    if body.strip():
-        parts.append(body[start:])
-    for part in parts:
-        name, _, typ = part.strip().partition(": ")
-        base = typ.split("<", 1)[0].split("(", 1)[0].strip()
-        out[name.strip("`")] = _JSON_TYPES.get(base, base.lower())
-    return out
-
-
-def observed_json_schema(df: DataFrame, column: str) -> dict[str, str]:
-    """Top-level keys and value types seen in a JSON text column, merged over all rows.
-
-    One aggregate (``schema_of_variant_agg``, partial + final) over the whole column; only
-    the merged schema string reaches the driver. Unparsable rows are ignored.
+def observed_json_schema(df: DataFrame, column: str) -> DataFrame:
+    """(column, type) of the top-level keys of a JSON text column, merged over all rows.
+
+    Every key and its value's type are rows, collapsed before they are shuffled. Nulls yield to
+    any type, numbers of two kinds are double, other mixtures are variant. Rows that are no
+    JSON object are ignored.
     """
-    row = df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("s")).first()
-    return _top_level_fields(row["s"] or "") if row is not None else {}
+    parsed = df.select(F.try_parse_json(F.col(column)).alias("__v")).where(F.col("__v").isNotNull())
+    parsed.createOrReplaceTempView("__json_rows")
+    spark = df.sparkSession
+    kv = spark.sql("SELECT e.key AS column, schema_of_variant(e.value) AS t FROM __json_rows, LATERAL variant_explode(__v) e WHERE e.key IS NOT NULL")
+    spark.catalog.dropTempView("__json_rows")
+    base = F.regexp_extract("t", "^[A-Z_]+", 0)
+    names = F.create_map(*[F.lit(x) for pair in _JSON_TYPES.items() for x in pair])
+    typed = kv.select("column", F.coalesce(names[base], F.lower(base)).alias("t")).distinct()
+    kinds = typed.groupBy("column").agg(F.array_remove(F.collect_set("t"), "null").alias("k"))
+    numbers = F.size(F.array_except("k", F.array(F.lit("bigint"), F.lit("double")))) == 0
+    merged = F.when(F.size("k") == 0, F.lit("null")).when(F.size("k") == 1, F.col("k")[0]).when(numbers, F.lit("double")).otherwise(F.lit("variant"))
+    return kinds.select("column", merged.alias("type"))
 
 
 def payload_drift(df: DataFrame, column: str, expected: dict[str, str], table: str, as_of=None) -> DataFrame:
     """Schema drift of JSON payloads: observed keys/types vs the declared ones."""
-    return schema_drift(df.sparkSession, observed_json_schema(df, column), expected, table, as_of)
+    return _drift(observed_json_schema(df, column), expected, table, as_of)
 
 
 # --- DQ4 null rate --------------------------------------------------------------------------
@@ -238,7 +244,7 @@ def _null_rows(fields: Sequence[T.StructField], n: Column, table: str, max_null_
                now: Column, segment: Column | None, prefix: str = "__nulls_") -> Column:
     rows = []
     for f in fields:
-        rate = F.col(f"{prefix}{f.name}").cast("double") / n.cast("double")
+        rate = F.col(f"`{prefix}{f.name}`").cast("double") / n.cast("double")
         passed = rate <= F.lit(max_null_rate)
         msg = F.format_string(f"null_rate=%.3f threshold={_py_float_text(max_null_rate)}", rate)
         rows.append(_row(f"null_rate[{f.name}]", table, passed, "warning", msg, now, segment))
@@ -257,23 +263,20 @@ def null_rate(df: DataFrame, table: str, max_null_rate: float = DEFAULT_MAX_NULL
 
 # --- DQ5 grouped suite ----------------------------------------------------------------------
 def suite(df: DataFrame, tracked: DataFrame, table: str, group: str, ts_column: str, *,
-          tracked_key: str = "org", key: str | None = None, cap: int | None = DAG_READ_CAP,
+          tracked_key: str = "org",
           max_age: dt.timedelta = DAG_FRESHNESS_SLA, max_null_rate: float = DAG_MAX_NULL_RATE,
           sigma: float = DEFAULT_SIGMA, baseline: DataFrame | None = None, as_of=None,
           columns: Iterable[str] | None = None) -> DataFrame:
     """Row count, per-column null rate and freshness for every tracked company, one pass.
 
-    ``df`` rows are restricted to the newest ``cap`` per company (the daily job reads at
-    most 1000 rows per company); ``baseline`` is an optional history ``(segment, n)`` of
+    All rows of ``df`` are checked; ``baseline`` is an optional history ``(segment, n)`` of
     earlier row counts per company. Tracked companies with no rows get row_count (pass
     without baseline) and a failing freshness row, and no null-rate rows.
     """
     now = _now(as_of)
     cols = list(columns) if columns is not None else df.columns
     fields = [df.schema[c] for c in cols]
-    rows = df.select(*dict.fromkeys([*cols, group, ts_column] + ([key] if key else []))).where(F.col(group).isNotNull())
-    if cap is not None:
-        rows = cap_per_group(rows, group, ts_column, cap, [key] if key else [])
+    rows = df.select(*dict.fromkeys([*cols, group, ts_column])).where(F.col(group).isNotNull())
     # One aggregate over the union of the tracked list, the rows and the count history (each
     # part null in the others' columns): row count, newest event, null counts and baseline
     # statistics per company in a single shuffle of partial aggregates - no joins.

@@ -1,44 +1,12 @@
-"""Join helpers: broadcast only behind a checked row bound, shuffle join beyond it."""
+"""Join helpers. Which side is broadcast is left to the planner, which knows the sizes at run time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a side is never broadcast, whatever the estimate says.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# Planner size estimate above which the row count is not even tried.
-DEFAULT_BROADCAST_BYTES = 1 << 30
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (an upper bound for file scans; None if unknown)."""
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-    return None if est >= (1 << 63) - 1 else est  # Long.MaxValue: no estimate (e.g. local data)
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    A frame whose planner estimate is already over ``max_bytes`` is rejected without any
-    job; otherwise one bounded scan counts at most ``max_rows + 1`` rows per task.
-    """
-    est = estimated_bytes(df)
-    if est is not None and est > max_bytes:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its size is proven under the bound, else ``df`` unchanged (AQE decides)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def restrict_to(df: DataFrame, keys: DataFrame, on: str, key_col: str | None = None,
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def restrict_to(df: DataFrame, keys: DataFrame, on: str, key_col: str | None = None) -> DataFrame:
     """Keep rows of ``df`` whose ``on`` value is in ``keys`` (left semi join, set semantics)."""
     k = keys.select(F.col(key_col or on).alias(on)).where(F.col(on).isNotNull())
-    return df.join(maybe_broadcast(k, max_rows), on=on, how="left_semi")
+    return df.join(k, on=on, how="left_semi")

@@ -34,32 +34,6 @@ def newest_per_group(df: DataFrame, group: str | Sequence[str], ts: str, n: int,
     return out if rank_col else out.drop(rn)
 
 
-def cap_per_group(df: DataFrame, group: str, ts: str, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The same rows as ``newest_per_group`` (at most ``n`` newest per group), cheaper at scale.
-
-    Groups with at most ``n`` rows - nearly all of them for a read cap like 1000 - keep all
-    their rows and need no ordering at all. Only groups above the cap, found by a counting
-    aggregate over the group column (written once under the shared folder, broadcast
-    behind a checked bound), take the sorted top-N path. If that set is too large to
-    broadcast, every row takes the top-N path.
-    """
-    from kestrel.operators.joins import DEFAULT_BROADCAST_ROWS
-    from kestrel.session import materialize
-
-    counts = df.select(group).groupBy(group).agg(F.count(F.lit(1)).alias("__c"))
-    over = materialize(counts.where(F.col("__c") > n).select(F.col(group).alias("__g")), "over-cap")
-    n_over = over.limit(DEFAULT_BROADCAST_ROWS + 1).count()  # a small written file
-    if n_over == 0:
-        return df  # no group is over the cap: every row is kept
-    if n_over > DEFAULT_BROADCAST_ROWS:
-        return newest_per_group(df, group, ts, n, tiebreak)
-    big = F.broadcast(over)
-    on = df[group].eqNullSafe(big["__g"])  # a null group is a group too, as in the window form
-    small_rows = df.join(big, on, "left_anti")
-    big_rows = newest_per_group(df.join(big, on, "left_semi"), group, ts, n, tiebreak)
-    return small_rows.unionByName(big_rows)
-
-
 def for_company(df: DataFrame, company_col: str, company: str, ts: str, limit: int,
                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """One company's newest rows: equality filter (pushed to the scan) then newest-N."""

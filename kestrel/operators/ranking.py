@@ -5,15 +5,16 @@ one group holds a third of the table, that task holds a third of the table. Here
 
 1. rows are pre-aggregated to distinct ``(g, v)`` with their multiplicity (partial
    aggregation collapses duplicates map-side);
-2. each group's value range is cut into ``buckets`` slices at approximate quantiles
-   (``percentile_approx``, a bounded sketch per group);
+2. values are cut into ``buckets`` slices at approximate quantiles of the whole column, a
+   handful of literals: no join, and a group that is a third of the rows is a third of what the
+   quantiles divide, so it spreads over about that share of the buckets at least;
 3. per ``(g, bucket)`` totals give every bucket its offset (a window over at most
-   ``buckets`` rows per group);
-4. the rank inside a bucket is a window over ``(g, bucket)`` only - a hot group is spread
-   over ``buckets`` tasks;
-5. ranks are joined back on ``(g, v)``.
+   ``buckets + 1`` rows per group);
+4. the rank inside a bucket is a window over ``(g, bucket)`` only;
+5. ranks go back to the rows by a null-safe join on ``(g, v)`` of two plain shuffles, which is
+   split at run time where one value is hot.
 
-Equal values always land in the same bucket, so ties are exact. Null values sort last
+A null group is a group like any other. Equal values always land in the same bucket, so ties are exact. Null values sort last
 for descending and first for ascending order, as Spark does.
 """
 
@@ -45,18 +46,15 @@ def rank_within(df: DataFrame, group: str | Sequence[str], value: str, out: str
     if materialize:
         distinct = materialize_table(distinct, "rank-distinct")
 
+    cuts: list = []
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
-        bounds = distinct.where(v.isNotNull()).groupBy(*groups).agg(
-            F.percentile_approx(value, probs, accuracy).alias("__bounds")
-        )
-        tagged = distinct.join(bounds, on=groups, how="left")
-        idx = F.size(F.filter(F.col("__bounds"), lambda x: x < v))
-        tagged = tagged.select(*groups, value, "__cnt", idx.alias("__b"))
-    else:
-        tagged = distinct.select(*groups, value, "__cnt", F.lit(0).alias("__b"))
+        cuts = distinct.agg(F.percentile_approx(value, probs, accuracy).alias("c")).first()["c"] or []
+    slice_ = F.lit(0)
+    for cut in sorted(set(cuts)):
+        slice_ = slice_ + (v > F.lit(cut)).cast("int")
     # Nulls: after everything when descending, before everything when ascending.
-    tagged = tagged.withColumn("__b", F.when(v.isNull(), F.lit(-1)).otherwise(F.col("__b")))
+    tagged = distinct.select(*groups, value, "__cnt", F.when(v.isNull(), F.lit(-1)).otherwise(slice_).alias("__b"))
 
     per_bucket = tagged.groupBy(*groups, "__b").agg(
         F.sum("__cnt").alias("__rows"), F.count(F.lit(1)).alias("__vals")
@@ -75,7 +73,8 @@ def rank_within(df: DataFrame, group: str | Sequence[str], value: str, out: str
         (F.coalesce(F.sum("__cnt").over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1).alias("__lr"),
         F.row_number().over(w_in).alias("__ld"),
     )
-    ranks = local.join(offsets, on=[*groups, "__b"], how="inner")
+    same = [local[c].eqNullSafe(offsets[c]) for c in (*groups, "__b")]
+    ranks = local.join(offsets, on=same, how="inner").drop(*[offsets[c] for c in (*groups, "__b")])
     r = (F.col("__row_off") + F.col("__lr")) if method == "rank" else (F.col("__val_off") + F.col("__ld"))
     ranks = ranks.select(*groups, value, r.cast("bigint").alias(out))
     return _join_back(df, ranks, groups, value)

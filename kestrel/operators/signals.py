@@ -10,8 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.joins import maybe_broadcast
-from kestrel.operators.partitioning import spread
+from kestrel.operators.dq import is_missing
 from kestrel.operators.ranking import rank_within
 from kestrel.sources.payloads import html_text
 
@@ -94,24 +93,21 @@ LEXICON = {
 }
 
 
-def lexicon_frame(spark: SparkSession, lexicon: dict[str, float] | None = None) -> DataFrame:
-    return spark.createDataFrame(sorted((lexicon or LEXICON).items()), "word string, weight double")
-
-
-def sentiment(docs: DataFrame, group: str, lexicon: DataFrame, text: str = "text") -> DataFrame:
+def sentiment(docs: DataFrame, group: str, lexicon: dict[str, float] | None = None, text: str = "text") -> DataFrame:
     """Per group: documents, tokens, lexicon hits and score = sum(weight) / tokens.
 
-    One pass: every token of every whole text is exploded once and left-joined to the
-    lexicon (broadcast behind a checked bound); a single aggregate counts documents
-    (position 0), tokens, hits and weight.
+    The lexicon is a literal map and each text is weighed within its row, so one small aggregate
+    per group is all that is shuffled.
     """
-    ex = spread(docs).select(group, F.posexplode_outer(tokens(F.col(text))).alias("__pos", "word"))
-    j = ex.join(maybe_broadcast(lexicon.select("word", "weight")), "word", "left")
-    agg = j.groupBy(group).agg(
-        F.count_if(F.col("__pos").isNull() | (F.col("__pos") == 0)).alias("documents"),
-        F.count("word").alias("tokens"),
-        F.count("weight").alias("hits"),
-        F.sum("weight").alias("__w"),
+    words = lexicon or LEXICON
+    weights = F.create_map(*[F.lit(x) for pair in sorted(words.items()) for x in pair])
+    each = docs.select(group, tokens(F.col(text)).alias("__t")).select(
+        group, F.greatest(F.size("__t"), F.lit(0)).alias("__n"), F.filter("__t", lambda x: x.isin(*sorted(words))).alias("__h"))
+    agg = each.groupBy(group).agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("__n").cast("bigint").alias("tokens"),
+        F.sum(F.greatest(F.size("__h"), F.lit(0))).cast("bigint").alias("hits"),
+        F.sum(F.aggregate("__h", F.lit(0.0), lambda a, x: a + weights[x])).alias("__w"),
     )
     return agg.select(
         group, "documents", "tokens", "hits",
@@ -181,7 +177,7 @@ def keyword_alerts(docs: DataFrame, id_col: str, segment_col: str, table: str, t
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     every = "|".join(p for _, p in ALERT_RULES)
     found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(rf"(^|[^\p{{L}}\p{{N}}])({every})(?=[^\p{{L}}\p{{N}}]|$)"), 2)
-    phrases = spread(docs).select(id_col, segment_col, F.explode(found).alias("__m"))
+    phrases = docs.select(id_col, segment_col, F.explode(found).alias("__m"))
     rule = F.lit(None).cast("string")
     for name, pattern in reversed(ALERT_RULES):
         rule = F.when(F.col("__m").rlike(f"^({pattern})$"), F.lit(name)).otherwise(rule)
@@ -224,7 +220,6 @@ def snapshot_delta(history: DataFrame, key: str, ts: str, metrics: Sequence[str]
 # --- X17 page extraction --------------------------------------------------------------------
 def page_extract(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """Title, first heading, language, link count and visible text length of whole pages."""
-    pages = spread(pages)
     h = F.col(html)
     body = h
     for pattern in (r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->"):
@@ -248,26 +243,25 @@ def name_frame(spark: SparkSession, names: Sequence[str] | None = None) -> DataF
     return spark.createDataFrame([(n,) for n in (names or TRACKED_NAMES)], "name string")
 
 
-def mention_match(docs: DataFrame, names: DataFrame, id_col: str, text: str = "text",
-                  max_name_tokens: int = 3) -> DataFrame:
+def mention_match(docs: DataFrame, names: Sequence[str] | DataFrame, id_col: str, text: str = "text") -> DataFrame:
     """Occurrences of each name in each whole text, on token boundaries, case-insensitive.
 
-    Names are tokenised like the text; a k-token name matches k consecutive tokens
-    (n-grams of the text for the name lengths present). The name table is broadcast only
-    behind a checked bound; beyond it the n-gram join is a shuffle join (AQE splits skew).
+    Names are tokenised like the text; a k-token name matches k consecutive tokens, however many.
+    A list of names is a literal: n-grams are tested within the row and only hits leave it. A name
+    table of any size is joined with the n-grams of the lengths that occur in it.
     """
-    nm = names.select("name", F.array_join(tokens(F.col("name")), " ").alias("gram")).where(F.col("gram") != "")
-    nm = nm.select("name", "gram", F.size(F.split("gram", " ")).alias("k")).where(F.col("k") <= max_name_tokens)
-    t = spread(docs).select(id_col, tokens(F.col(text)).alias("__t"))
-    # Name lengths present (at most max_name_tokens distinct values): only those n-grams are built.
+    t = docs.select(id_col, tokens(F.col(text)).alias("__t"))
+    table = names if isinstance(names, DataFrame) else name_frame(docs.sparkSession, names)
+    nm = table.select("name", tokens(F.col("name")).alias("g")).where(F.size("g") > 0).select("name", F.array_join("g", " ").alias("gram"), F.size("g").alias("k"))
     lengths = sorted(r["k"] for r in nm.select("k").distinct().collect())
     if not lengths:
         return docs.sparkSession.createDataFrame([], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, name string, mentions bigint")
-    grams = []
-    for k in lengths:
-        grams.append(ngrams(F.col("__t"), k))
-    ex = t.select(id_col, F.explode(F.concat(*grams) if len(grams) > 1 else grams[0]).alias("gram"))
-    hits = ex.join(maybe_broadcast(nm.select("name", "gram")), "gram", "inner")
+    grams = [ngrams(F.col("__t"), k) for k in lengths]
+    every = F.concat(*grams) if len(grams) > 1 else grams[0]
+    if not isinstance(names, DataFrame):
+        wanted = [r["gram"] for r in nm.select("gram").distinct().collect()]
+        every = F.filter(every, lambda g: g.isin(*wanted))
+    hits = t.select(id_col, F.explode(every).alias("gram")).join(nm.select("name", "gram"), "gram")
     return hits.groupBy(id_col, "name").agg(F.count(F.lit(1)).alias("mentions"))
 
 
@@ -297,12 +291,29 @@ def daily_counts(df: DataFrame, ts: str, group: str | None = None) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _every_day(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """``counts`` with a zero row for every day between a group's first and last that has none."""
+    ends = counts.groupBy(*groups).agg(F.min("day").alias("__a"), F.max("day").alias("__z"))
+    days = ends.where(F.col("__a").isNotNull()).select(*groups, F.explode(F.sequence("__a", "__z")).alias("day"))
+    zero = days.select(*[F.col(c) if c in (*groups, "day") else F.lit(0).cast(t).alias(c) for c, t in counts.dtypes])
+    return counts.unionByName(zero).groupBy(*groups, "day").agg(F.sum("n").alias("n")).select(*counts.columns)
+
+
+def _previous_days(groups: list[str], days: int):
+    """The ``days`` calendar days before a row's own."""
+    w = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    return w.orderBy(F.unix_date("day")).rangeBetween(-days, -1)
+
+
 def rolling_baseline(counts: DataFrame, group: str | None = None, days: int = 7, sigma: float = 3.0) -> DataFrame:
-    """Each day's count vs the mean / population std of the previous ``days`` rows (std 0 -> 1).
+    """Each day's count vs the mean / population std of the previous ``days`` calendar days (std 0 -> 1).
 
-    The window runs over daily aggregates (one row per group and day), never raw rows.
+    A day without rows counts zero: it is checked, and it is part of later baselines. The window
+    runs over daily aggregates (one row per group and day), never raw rows.
     """
-    w = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy("day").rowsBetween(-days, -1)
+    groups = [group] if group else []
+    counts = _every_day(counts, groups)
+    w = _previous_days(groups, days)
     mean, std, nb = F.avg("n").over(w), F.stddev_pop("n").over(w), F.count("n").over(w)
     out = counts.select("*", mean.alias("baseline_mean"), std.alias("__std"), nb.alias("baseline_days"))
     std_eff = F.when(F.col("__std").isNull() | (F.col("__std") == 0), F.lit(1.0)).otherwise(F.col("__std"))
@@ -318,14 +329,13 @@ def rolling_baseline(counts: DataFrame, group: str | None = None, days: int = 7,
 
 # --- X2 null-rate drift ---------------------------------------------------------------------
 def null_rate_drift(df: DataFrame, ts: str, columns: Sequence[str], days: int = 7, max_delta: float = 0.1) -> DataFrame:
-    """Per (column, day): null rate minus the trailing mean of the previous ``days`` days."""
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(F.col(c).isNull().cast("bigint")).alias(f"__z_{c}") for c in columns]
+    """Per (column, day with rows): null rate (NaN counts as null) minus the mean rate of the previous ``days`` calendar days."""
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(is_missing(df.schema[c]).cast("bigint")).alias(f"__z_{c}") for c in columns]
     daily = df.groupBy(F.to_date(F.col(ts)).alias("day")).agg(*aggs)
     long = daily.select("day", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), (F.col(f"__z_{c}") / F.col("__n")).alias("null_rate")) for c in columns
+        F.struct(F.lit(c).alias("column"), (F.col(f"`__z_{c}`") / F.col("__n")).alias("null_rate")) for c in columns
     ])))
-    w = Window.partitionBy("column").orderBy("day").rowsBetween(-days, -1)
-    out = long.select("*", F.avg("null_rate").over(w).alias("__base"))
+    out = long.select("*", F.avg("null_rate").over(_previous_days(["column"], days)).alias("__base"))
     delta = F.col("null_rate") - F.col("__base")
     return out.select(
         "column", "day", F.round("null_rate", 6).alias("null_rate"), F.round("__base", 6).alias("baseline"),

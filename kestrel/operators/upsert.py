@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel import schemas
-from kestrel.operators.joins import DEFAULT_BROADCAST_ROWS, fits
-from kestrel.session import materialize
 
 
 @dataclass(frozen=True)
@@ -69,7 +67,10 @@ def collapse_batch(batch: DataFrame, rule: UpsertRule, seq: str | None) -> DataF
     for k in keys:
         batch = batch.where(F.col(k).isNotNull())
     if seq is None:
-        return batch.select(*keys, *rule.kept, *rule.refreshed).dropDuplicates(keys)
+        # Without an order the outcome must still not depend on partitioning: the rows' own values order them.
+        values = [*rule.kept, *rule.refreshed]
+        one = batch.groupBy(*keys).agg(F.max(F.struct(*values)).alias("__v"))
+        return one.select(*keys, *[F.col("__v")[c].alias(c) for c in values])
     aggs = []
     if rule.kept:
         aggs.append(F.min_by(F.struct(*rule.kept), F.col(seq)).alias("__k"))
@@ -84,20 +85,15 @@ def collapse_batch(batch: DataFrame, rule: UpsertRule, seq: str | None) -> DataF
 
 
 def upsert(target: DataFrame, batch: DataFrame, rule: UpsertRule, seq: str | None = None,
-           as_of=None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           strategy: str = "auto", stage_batch: bool = False) -> DataFrame:
+           as_of=None) -> DataFrame:
     """The new full state of the keyed table after applying ``batch`` to ``target``.
 
-    The collapsed batch is read up to three times (size check, broadcast, insert branch).
-    Pass a batch that is already a written table, or ``stage_batch=True`` to write the
-    collapsed batch once under the shared folder, when its lineage is expensive.
+    A full outer join on the key; where the store can merge in place, use ``merge_into``.
     """
     keys = list(rule.key)
     cols = keys + list(rule.kept) + list(rule.refreshed)
     stamp = rule.stamp
     s = collapse_batch(batch, rule, seq)
-    if stage_batch:
-        s = materialize(s, f"upsert-{rule.table}")
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__hit"))
     t_cols = cols + ([stamp] if stamp and stamp in target.columns else [])
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__hit"))
@@ -114,23 +110,7 @@ def upsert(target: DataFrame, batch: DataFrame, rule: UpsertRule, seq: str | Non
             out.append(F.when(s_hit, _as_of(as_of)).otherwise(old).alias(stamp))
         return df.select(*out)
 
-    use_broadcast = strategy == "broadcast" or (strategy == "auto" and fits(s, max_broadcast_rows))
-    if not use_broadcast:
-        return merged(t.join(s, on=cond, how="full"))
-    # Target streams through a broadcast hash join; only batch-sized frames are broadcast.
-    sb = F.broadcast(s)
-    updated = t.join(sb, on=cond, how="left")
-    matched = updated.where(F.col("s__hit").isNotNull()).select(*[F.col(f"t__{k}").alias(f"m__{k}") for k in keys])
-    new_rows = s.join(
-        F.broadcast(matched), on=[F.col(f"s__{k}") == F.col(f"m__{k}") for k in keys], how="left_anti"
-    )
-    inserted = new_rows.select(
-        *[F.lit(None).cast(target.schema[c].dataType if c in target.columns else s.schema[f"s__{c}"].dataType).alias(f"t__{c}")
-          for c in t_cols],
-        F.lit(None).cast("boolean").alias("t__hit"),
-        *[F.col(c) for c in s.columns],
-    )
-    return merged(updated.unionByName(inserted))
+    return merged(t.join(s, on=cond, how="full"))
 
 
 def empty_table(spark, name: str) -> DataFrame:

@@ -102,16 +102,15 @@ SELECT 'https://news.example.com/u/' || company || '/' || title AS story_url, co
 FROM ({b.STORIES_SQL})"""
 
 
-def _two_loads(target_empty: DataFrame, rows: DataFrame, ts: str, split: str, rule, seq: str,
-               strategy: str = "auto") -> DataFrame:
+def _two_loads(target_empty: DataFrame, rows: DataFrame, ts: str, split: str, rule, seq: str) -> DataFrame:
     cut = F.lit(split).cast("timestamp")
     load1 = rows.where(F.col(ts) < cut)
     load2 = rows.where(F.col(ts) >= cut)
-    state1 = upsert.upsert(target_empty, load1, rule, seq=seq, as_of=LOAD1_AT, strategy=strategy)
+    state1 = upsert.upsert(target_empty, load1, rule, seq=seq, as_of=LOAD1_AT)
     # The first day's table is written under the shared folder, as the daily job reads a
     # written table: the second merge does not recompute the first.
     state1 = materialize(state1, "upsert-day1")
-    return upsert.upsert(state1, load2, rule, seq=seq, as_of=LOAD2_AT, strategy=strategy)
+    return upsert.upsert(state1, load2, rule, seq=seq, as_of=LOAD2_AT)
 
 
 def _upsert_oracle(src_sql: str, key: str, kept: list[str], refreshed: list[str], ts: str, split: str,
@@ -165,7 +164,7 @@ def upsert_repos(spark: SparkSession, sf: str) -> DataFrame:
     r = b.repos(orders).withColumn("seq", F.col("name").cast("bigint"))
     r = r.withColumn("full_name", F.concat(F.col("org"), F.lit("/"), F.col("language")))
     out = _two_loads(upsert.empty_table(spark, "github_repos"), r, "pushed_at", REPO_SPLIT,
-                     upsert.REPOS_RULE, "seq", strategy="shuffle")
+                     upsert.REPOS_RULE, "seq")
     return ntz(out)
 
 

@@ -107,11 +107,7 @@ def row_count_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(dq.row_count_anomaly(current_rows, "hn_stories", baseline=baseline, as_of=AS_OF).select(*OUT))
 
 
-def _suite_sql(src: str, table: str, ts: str, key: str, cols: list[str]) -> str:
-    capped = (
-        f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {src}_grp ORDER BY {ts} DESC NULLS LAST, {key}) AS rn "
-        f"FROM {src}) WHERE rn <= 1000)"
-    )
+def _suite_sql(src: str, table: str, ts: str, cols: list[str]) -> str:
     stats_cols = ", ".join(
         [f"count(*) AS n", f"max({ts}) AS newest"]
         + [f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS nn_{c}" for c in cols]
@@ -135,7 +131,7 @@ def _suite_sql(src: str, table: str, ts: str, key: str, cols: list[str]) -> str:
         )
     body = "\nUNION ALL\n".join(rows)
     return (
-        f"(WITH s AS (SELECT {src}_grp AS seg, {stats_cols} FROM {capped} WHERE {src}_grp IS NOT NULL GROUP BY 1),\n"
+        f"(WITH s AS (SELECT {src}_grp AS seg, {stats_cols} FROM {src} WHERE {src}_grp IS NOT NULL GROUP BY 1),\n"
         f"j AS (SELECT t.org AS seg, s.* EXCLUDE (seg) FROM (SELECT DISTINCT org FROM tracked) t LEFT JOIN s ON t.org = s.seg)\n"
         f"{body})"
     )
@@ -147,9 +143,9 @@ def _suite_sql(src: str, table: str, ts: str, key: str, cols: list[str]) -> str:
 WITH tracked AS ({b.TRACKED_SQL}),
 repos AS (SELECT *, org AS repos_grp FROM ({b.REPOS_SQL})),
 stories AS (SELECT *, company AS stories_grp FROM ({b.STORIES_SQL}))
-{_suite_sql("repos", "github_repos", "pushed_at", "full_name", REPO_NULL_COLS)}
+{_suite_sql("repos", "github_repos", "pushed_at", REPO_NULL_COLS)}
 UNION ALL
-{_suite_sql("stories", "hn_stories", "created_at", "story_url", STORY_NULL_COLS)}
+{_suite_sql("stories", "hn_stories", "created_at", STORY_NULL_COLS)}
 """,
 )
 def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,9 +157,9 @@ def _suite(spark: SparkSession, sf: str) -> DataFrame:
     tracked = b.tracked(b.table(spark, sf, "customer"))
     repos = b.repos(b.table(spark, sf, "orders"))
     stories = b.stories(b.table(spark, sf, "events"))
-    gh = dq.suite(repos, tracked, "github_repos", "org", "pushed_at", key="full_name", as_of=AS_OF,
+    gh = dq.suite(repos, tracked, "github_repos", "org", "pushed_at", as_of=AS_OF,
                   columns=REPO_NULL_COLS)
-    hn = dq.suite(stories, tracked, "hn_stories", "company", "created_at", key="story_url", as_of=AS_OF,
+    hn = dq.suite(stories, tracked, "hn_stories", "company", "created_at", as_of=AS_OF,
                   columns=STORY_NULL_COLS)
     return gh.unionByName(hn).select(*OUT)
 
@@ -174,9 +170,9 @@ def _suite(spark: SparkSession, sf: str) -> DataFrame:
 WITH tracked AS ({b.TRACKED_SQL}),
 repos AS (SELECT *, org AS repos_grp FROM ({b.REPOS_SQL})),
 stories AS (SELECT *, company AS stories_grp FROM ({b.STORIES_SQL})),
-res AS ({_suite_sql("repos", "github_repos", "pushed_at", "full_name", REPO_NULL_COLS)}
+res AS ({_suite_sql("repos", "github_repos", "pushed_at", REPO_NULL_COLS)}
         UNION ALL
-        {_suite_sql("stories", "hn_stories", "created_at", "story_url", STORY_NULL_COLS)})
+        {_suite_sql("stories", "hn_stories", "created_at", STORY_NULL_COLS)})
 SELECT check_name, "table", passed, severity, message, {ts_text("measured_at")} AS measured_at, segment
 FROM res WHERE NOT passed
 ORDER BY res.measured_at DESC, "table", segment, check_name LIMIT 20

@@ -58,9 +58,9 @@ def parse_company_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("parse_contributors", landing.CONTRIB_EXPECTED_SQL)
 def parse_contributors(spark: SparkSession, sf: str) -> DataFrame:
-    """Contributor pages -> (repo, login, contributions, avatar_url), first 30 per page."""
+    """Contributor pages -> (repo, login, contributions, avatar_url)."""
     pages = landing.contributor_pages(b.table(spark, sf, "lineitem"))
-    return payloads.parse_contributors(pages, limit=30)
+    return payloads.parse_contributors(pages)
 
 
 LISTING_SQL = r"""

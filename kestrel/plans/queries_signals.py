@@ -23,9 +23,11 @@ def _wp(alts: str) -> str:
 @register(
     "rolling_baseline",
     """
-WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+spine AS (SELECT event_type, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d GROUP BY event_type),
+c AS (SELECT event_type, day, coalesce(n, 0) AS n FROM spine LEFT JOIN d USING (event_type, day)),
 w AS (SELECT *, avg(n) OVER win AS m, stddev_pop(n) OVER win AS s, count(n) OVER win AS nb
-      FROM c WINDOW win AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+      FROM c WINDOW win AS (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
 z AS (SELECT *, (n - m) / CASE WHEN s IS NULL OR s = 0 THEN 1.0 ELSE s END AS zz FROM w)
 SELECT event_type, day, n, round(m, 6) AS baseline_mean, round(s, 6) AS baseline_std,
        CAST(nb AS BIGINT) AS baseline_days, round(zz, 6) AS z,
@@ -133,8 +135,8 @@ def story_rank(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "peer_rank",
     f"""
-WITH repos AS ({b.REPOS_SQL}),
-g AS (SELECT org, CAST(sum(stars) AS BIGINT) AS total_stars FROM repos GROUP BY org),
+WITH g AS (SELECT org, CAST(sum(stars) AS BIGINT) AS total_stars
+           FROM (SELECT org, stars FROM ({b.REPOS_SQL}) UNION ALL SELECT company, 0 FROM ({b.STORIES_SQL})) GROUP BY org),
 j AS (SELECT g.org, c.c_nationkey AS peer_group, g.total_stars FROM g JOIN customer c ON g.org = CAST(c.c_custkey AS VARCHAR))
 SELECT org, peer_group, total_stars,
        CAST(dense_rank() OVER (PARTITION BY peer_group ORDER BY total_stars DESC) AS BIGINT) AS peer_rank,
@@ -146,7 +148,7 @@ def peer_rank(spark: SparkSession, sf: str) -> DataFrame:
     """Dense rank and share of stars among companies of the same nation (peer group)."""
     repos = b.repos(b.table(spark, sf, "orders"))
     stories = b.stories(b.table(spark, sf, "events"))
-    gold = rollup.company_signals(repos, stories, as_of=AS_OF).where(F.col("repo_count") > 0)
+    gold = rollup.company_signals(repos, stories, as_of=AS_OF)
     peers = b.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("org"),
                                                   F.col("c_nationkey").alias("peer_group"))
     return signals.peer_rank(gold, peers, "total_stars", "peer_group")
@@ -190,7 +192,7 @@ FROM tot LEFT JOIN h USING (source)""",
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
     """Lexicon sentiment per document source over whole texts."""
     docs = b.table(spark, sf, "documents")
-    return signals.sentiment(docs, "source", signals.lexicon_frame(spark))
+    return signals.sentiment(docs, "source")
 
 
 def _role_sql(title: str) -> str:
@@ -316,7 +318,7 @@ def _mention_sql() -> str:
 @register("mention_match", _mention_sql())
 def mention_match(spark: SparkSession, sf: str) -> DataFrame:
     """Occurrences of the tracked company names in whole documents (token boundaries)."""
-    return signals.mention_match(b.table(spark, sf, "documents"), signals.name_frame(spark), "doc_id")
+    return signals.mention_match(b.table(spark, sf, "documents"), signals.TRACKED_NAMES, "doc_id")
 
 
 @register(
@@ -328,7 +330,7 @@ WITH d AS (SELECT CAST(pushed_at AS DATE) AS day, count(*) AS n,
            FROM ({b.REPOS_SQL}) GROUP BY 1),
 l AS (SELECT 'description' AS "column", day, z_description / n AS r FROM d
       UNION ALL SELECT 'language', day, z_language / n FROM d),
-w AS (SELECT *, avg(r) OVER (PARTITION BY "column" ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS base FROM l)
+w AS (SELECT *, avg(r) OVER (PARTITION BY "column" ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS base FROM l)
 SELECT "column", day, round(r, 6) AS null_rate, round(base, 6) AS baseline, round(r - base, 6) AS delta,
        coalesce(r - base <= 0.1, true) AS passed
 FROM w""",

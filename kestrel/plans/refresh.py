@@ -72,7 +72,7 @@ def _apply(spark: SparkSession, store: Store, name: str, batch: DataFrame, seq:
 
 
 def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos: DataFrame,
-            landed_stories: DataFrame, as_of: dt.datetime, *, read_cap: int = dq.DAG_READ_CAP,
+            landed_stories: DataFrame, as_of: dt.datetime, *,
             freshness_sla: dt.timedelta = dq.DAG_FRESHNESS_SLA, max_null_rate: float = dq.DAG_MAX_NULL_RATE,
             warehouse_project: str | None = None, warehouse_dataset: str | None = None,
             baseline_days: int | None = None) -> RefreshResult:
@@ -88,9 +88,11 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     ts = F.lit(as_of).cast("timestamp")
 
     # 1. repos: normalise, keep tracked orgs, upsert, land bronze.
-    repos = payloads.parse_repos(landed_repos.select("org", "payload"), org="org", scraped_at=ts)
-    repos = materialize(restrict_to(repos, tracked, on="org"), "refresh-repos-batch")
-    res.repos_written, res.versions["github_repos"] = _apply(spark, store, "github_repos", repos, None, as_of)
+    #    A repository that was landed twice keeps what the later page, and in it the later place, says.
+    arrival = F.struct(F.col("seq") if "seq" in landed_repos.columns else F.lit(0).alias("seq"), F.col("position"))
+    repos = payloads.parse_repos(landed_repos, org="org", scraped_at=ts, keep=["seq", "position"])
+    repos = materialize(restrict_to(repos.withColumn("__seq", arrival), tracked, on="org"), "refresh-repos-batch")
+    res.repos_written, res.versions["github_repos"] = _apply(spark, store, "github_repos", repos, "__seq", as_of)
     if res.repos_written:
         lake.write_bronze(repos, store.bronze("github_repos"), store.fmt, schemas.GITHUB_REPOS)
 
@@ -105,29 +107,26 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     if res.stories_written:
         lake.write_bronze(deduped, store.bronze("hn_stories"), store.fmt, schemas.HN_STORIES)
 
-    # 3. data quality over the newest rows per company, read back from the written tables. The
-    #    capped reads are written once (shared folder) and feed both the checks and gold.
+    # 3. data quality over all rows of the tracked companies, read back from the written tables.
     tracked_co = tracked.select(F.col("org").alias("company"))
-    gh_cap = materialize(newest.cap_per_group(restrict_to(read_keyed(spark, store, "github_repos"), tracked, on="org"),
-                                              "org", "pushed_at", read_cap, ["full_name"]), "refresh-gh")
-    hn_cap = materialize(newest.cap_per_group(restrict_to(read_keyed(spark, store, "hn_stories"), tracked_co, on="company"),
-                                              "company", "created_at", read_cap, ["story_url"]), "refresh-hn")
+    gh = restrict_to(read_keyed(spark, store, "github_repos"), tracked, on="org")
+    hn = restrict_to(read_keyed(spark, store, "hn_stories"), tracked_co, on="company")
     gh_base = _baseline(spark, store, "github_repos", as_of, baseline_days)
     hn_base = _baseline(spark, store, "hn_stories", as_of, baseline_days)
-    results = dq.suite(gh_cap, tracked, "github_repos", "org", schemas.EVENT_TIME["github_repos"], cap=None,
+    results = dq.suite(gh, tracked, "github_repos", "org", schemas.EVENT_TIME["github_repos"],
                        baseline=gh_base, max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of).unionByName(
-        dq.suite(hn_cap, tracked, "hn_stories", "company", schemas.EVENT_TIME["hn_stories"], cap=None, baseline=hn_base,
+        dq.suite(hn, tracked, "hn_stories", "company", schemas.EVENT_TIME["hn_stories"], baseline=hn_base,
                  max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of))
     results = schemas.conform(results, schemas.DQ_RESULT)
-    _record_counts(store, tracked, gh_cap, "org", "github_repos", as_of)
-    _record_counts(store, tracked, hn_cap, "company", "hn_stories", as_of)
+    _record_counts(store, tracked, gh, "org", "github_repos", as_of)
+    _record_counts(store, tracked, hn, "company", "hn_stories", as_of)
     results.write.format(store.fmt).mode("append").save(store.alerts)
     counts = spark.read.format(store.fmt).load(store.alerts).where(F.col("measured_at") == ts).agg(
         F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("passed")).alias("failures")).first()
     res.checks, res.failures = int(counts["checks"]), int(counts["failures"])
 
-    # 4. gold over the same capped reads; publish the snapshot and the optional warehouse copy.
-    gold = schemas.conform(rollup.company_signals(gh_cap, hn_cap, as_of=as_of), schemas.COMPANY_SIGNALS)
+    # 4. gold over the same rows; publish the snapshot and the optional warehouse copy.
+    gold = schemas.conform(rollup.company_signals(gh, hn, as_of=as_of), schemas.COMPANY_SIGNALS)
     if not gold.isEmpty():
         res.versions["company_signals"] = lake.write_gold(gold, store.gold("company_signals"), fmt=store.fmt) or 0
         published = lake.read_gold(spark, store.gold("company_signals"), store.fmt)

@@ -41,8 +41,8 @@ def build_session(app_name: str = "kestrel", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``; set a private one only when unset
-    (single-machine tests), and register it as the RDD checkpoint dir too.
+    Read from ``spark.checkpoint.dir``. Where that is unset a local master (tests) gets a
+    private folder, any other master an error. It is registered as the RDD checkpoint dir too.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -52,6 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        master = sc.master if sc is not None else "remote"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the whole cluster shares (master: {master})")
         path = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if sc is not None and sc.getCheckpointDir() is None:

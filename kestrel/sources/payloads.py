@@ -21,12 +21,26 @@ from pyspark.sql import types as T
 
 from kestrel import schemas
 from kestrel.functions.scalars import falsy_coalesce, nonempty, story_key
-from kestrel.operators.partitioning import spread
 
 PAYLOAD = "payload"
 BAD = "_bad"
 
 
+#: Column of quarantined rows that holds the text of a page that could not be read.
+PAGE_TEXT = "_page"
+
+
+def _broken_page(payload: Column, parsed: Column, opens: str) -> Column:
+    """The text of a page that is not wholly the JSON it should be (truncated, an error object, a web page), else null."""
+    whole = F.try_parse_json(payload).isNotNull() & parsed.isNotNull() & F.ltrim(payload).startswith(opens)
+    return F.when(payload.isNotNull() & ~F.coalesce(whole, F.lit(False)), payload)
+
+
+def _number(text: Column) -> Column:
+    """An integer sent as a number or as text; null where it is neither or does not fit."""
+    return text.try_cast("double").try_cast("int")
+
+
 def _keys(elem: Column) -> Column:
     return F.coalesce(F.json_object_keys(elem), F.array().cast("array<string>"))
 
@@ -49,23 +63,29 @@ REPO_REQUIRED = [c for c in schemas.REQUIRED["github_repos"] if c != "org"]
 
 
 def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = None,
-                with_quarantine: bool = False):
+                with_quarantine: bool = False, keep: Sequence[str] = ()):
     """Repo list payload (a JSON array) -> github_repos rows.
 
     ``stargazers_count``/``forks_count``/``open_issues_count`` map to stars/forks/open_issues,
     the short names are accepted too. ``description`` may be absent, ``language`` may be null
     but its key is required. Each element is parsed once, as a map, which gives key presence
     and values together; numbers sent as text are accepted (lax coercion), other
-    mismatches become nulls and the record is quarantined.
+    mismatches, and numbers that do not fit, become nulls and the record is quarantined. A page
+    that is no list is one quarantined row with the page's text. ``keep`` names context columns, or
+    ``position`` (the place in the page), to carry along.
     """
-    ctx = [c for c in df.columns if c != PAYLOAD]
-    el = df.select(*ctx, F.explode(F.from_json(F.col(PAYLOAD), "array<map<string,string>>")).alias("__m"))
+    ctx = [c for c in df.columns if c not in (PAYLOAD, "position")]
+    page = F.from_json(F.col(PAYLOAD), "array<map<string,string>>")
+    broken = _broken_page(F.col(PAYLOAD), page, "[")
+    el = df.select(*ctx, broken.alias("__page"), F.posexplode_outer(page).alias("position", "__m"))
+    el = el.where(F.col("position").isNotNull() | F.col("__page").isNotNull())
     m = F.col("__m")
 
     def num(*names: str) -> Column:
-        return F.coalesce(*[F.expr(f"try_cast(__m['{n}'] AS BIGINT)") for n in names]).cast("int")
+        return F.coalesce(*[F.expr(f"try_cast(__m['{n}'] AS BIGINT)") for n in names]).try_cast("int")
 
     out = el.select(
+        *[c for c in keep if c in el.columns], F.col("__page").alias(PAGE_TEXT),
         m["full_name"].alias("full_name"), F.col(org).alias("org"), m["name"].alias("name"),
         m["description"].alias("description"), m["language"].alias("language"),
         num("stargazers_count", "stars").alias("stars"),
@@ -73,11 +93,12 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
         num("open_issues_count", "open_issues").alias("open_issues"),
         F.expr("try_cast(__m['pushed_at'] AS TIMESTAMP)").alias("pushed_at"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
-        F.when(m.isNull(), F.lit("malformed record"))
+        F.when(F.col("__page").isNotNull(), F.lit("unparsable page"))
+        .when(m.isNull(), F.lit("malformed record"))
         .when(~F.map_contains_key(m, "language"), F.lit("missing language")).alias("__why"),
     )
     valid, bad = quarantine_split(out, REPO_REQUIRED, F.col("__why"))
-    valid = valid.drop("__why")
+    valid = valid.drop("__why", PAGE_TEXT)
     return (valid, bad.drop("__why")) if with_quarantine else valid
 
 
@@ -85,13 +106,13 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
 CONTRIB_ITEMS = "array<struct<login: string, contributions: bigint, avatar_url: string>>"
 
 
-def parse_contributors(df: DataFrame, limit: int = 30) -> DataFrame:
-    """Contributor list payload -> (context, login, contributions, avatar_url), first ``limit`` entries."""
+def parse_contributors(df: DataFrame) -> DataFrame:
+    """Contributor list payload -> (context, login, contributions, avatar_url), every entry of every page."""
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, F.posexplode(F.from_json(F.col(PAYLOAD), CONTRIB_ITEMS)).alias("__pos", "__c"))
+    ex = df.select(*ctx, F.explode(F.from_json(F.col(PAYLOAD), CONTRIB_ITEMS)).alias("__c"))
     c = F.col("__c")
-    return ex.where(F.col("__pos") < limit).select(
-        *ctx, c["login"].alias("login"), c["contributions"].cast("int").alias("contributions"),
+    return ex.select(
+        *ctx, c["login"].alias("login"), c["contributions"].try_cast("int").alias("contributions"),
         c["avatar_url"].alias("avatar_url"),
     )
 
@@ -99,9 +120,9 @@ def parse_contributors(df: DataFrame, limit: int = 30) -> DataFrame:
 # --- N3 story search -> hn stories ----------------------------------------------------------------
 HIT_ITEM = T.StructType([
     T.StructField("title", T.StringType()), T.StructField("story_title", T.StringType()),
-    T.StructField("url", T.StringType()), T.StructField("points", T.LongType()),
+    T.StructField("url", T.StringType()), T.StructField("points", T.StringType()),
     T.StructField("author", T.StringType()), T.StructField("created_at", T.TimestampType()),
-    T.StructField("num_comments", T.LongType()),
+    T.StructField("num_comments", T.StringType()),
 ])
 
 
@@ -110,33 +131,39 @@ def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item
     """Story search payload ``{"hits": [...]}`` -> hn story rows (missing ``hits`` -> no rows).
 
     title = title or story_title or "(no title)"; points / num_comments falsy -> 0;
-    author falsy -> "anonymous"; url kept as sent; ``story_url`` = url or a fallback key.
+    author falsy -> "anonymous"; url kept as sent; ``story_url`` = url or a fallback key. Numbers sent
+    as text are accepted; a number that does not fit, and a page that is no object, is quarantined.
     """
-    hits = F.from_json(F.col(PAYLOAD), T.StructType([T.StructField("hits", T.ArrayType(HIT_ITEM))]))["hits"]
+    page = F.from_json(F.col(PAYLOAD), T.StructType([T.StructField("hits", T.ArrayType(HIT_ITEM))]))
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, F.posexplode(hits).alias("position", "__h"))
+    ex = df.select(*ctx, _broken_page(F.col(PAYLOAD), page, "{").alias("__page"), F.posexplode_outer(page["hits"]).alias("position", "__h"))
+    ex = ex.where(F.col("position").isNotNull() | F.col("__page").isNotNull())
     h = F.col("__h")
+    unfit = [F.coalesce(h[c], F.lit("0")).isNotNull() & _number(F.coalesce(h[c], F.lit("0"))).isNull() for c in ("points", "num_comments")]
+    why = F.when(F.col("__page").isNotNull(), F.lit("unparsable page")).when(unfit[0], F.lit("bad points")).when(unfit[1], F.lit("bad num_comments"))
     title = falsy_coalesce(h["title"], h["story_title"], default="(no title)")
     out = ex.select(
         *ctx, "position",
         title.alias("title"), h["url"].alias("url"),
-        F.coalesce(h["points"], F.lit(0)).cast("int").alias("points"),
+        F.coalesce(_number(h["points"]), F.lit(0)).alias("points"),
         falsy_coalesce(h["author"], default="anonymous").alias("author"),
         h["created_at"].alias("created_at"),
-        F.coalesce(h["num_comments"], F.lit(0)).cast("int").alias("num_comments"),
+        F.coalesce(_number(h["num_comments"]), F.lit(0)).alias("num_comments"),
+        F.col("__page").alias(PAGE_TEXT), why.alias("__why"),
     )
     out = out.select(
         "*", story_key(F.col("url"), F.col("title"), F.col("created_at"), form=key_form).alias("story_url"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
     )
-    valid, bad = quarantine_split(out, ["created_at"])
+    valid, bad = quarantine_split(out, ["created_at"], F.col("__why"))
+    valid, bad = valid.drop("__why", PAGE_TEXT), bad.drop("__why")
     return (valid, bad) if with_quarantine else valid
 
 
 # --- N4 forum listing -> posts ----------------------------------------------------------------
 POST_ITEM = T.StructType([
     T.StructField("subreddit", T.StringType()), T.StructField("title", T.StringType()),
-    T.StructField("score", T.LongType()), T.StructField("num_comments", T.LongType()),
+    T.StructField("score", T.StringType()), T.StructField("num_comments", T.StringType()),
     T.StructField("author", T.StringType()), T.StructField("created_utc", T.DoubleType()),
     T.StructField("permalink", T.StringType()),
 ])
@@ -159,8 +186,8 @@ def parse_posts(df: DataFrame, subreddit: str = "subreddit") -> DataFrame:
         *[c for c in ctx if c != subreddit],
         falsy_coalesce(d["subreddit"], F.col(subreddit)).alias("subreddit"),
         falsy_coalesce(d["title"], default="(no title)").alias("title"),
-        F.coalesce(d["score"], F.lit(0)).cast("int").alias("score"),
-        F.coalesce(d["num_comments"], F.lit(0)).cast("int").alias("num_comments"),
+        F.coalesce(_number(d["score"]), F.lit(0)).alias("score"),
+        F.coalesce(_number(d["num_comments"]), F.lit(0)).alias("num_comments"),
         falsy_coalesce(d["author"], default="[deleted]").alias("author"),
         F.timestamp_seconds(F.coalesce(d["created_utc"], F.lit(0.0))).alias("created_utc"),
         F.coalesce(d["permalink"], F.lit("")).alias("permalink"),
@@ -266,7 +293,7 @@ def parse_listings(pages: DataFrame, board: str, url: str = "url", html: str = "
         blocks = F.regexp_extract_all(F.col(html), F.lit(rule["block"]), 1)
     else:
         blocks = F.slice(F.split(F.col(html), rule["split"]), 2, 1 << 30)
-    ex = spread(pages).select(F.col(company).alias("company"), F.col(url).alias("__page"), F.explode(blocks).alias("__b"))
+    ex = pages.select(F.col(company).alias("company"), F.col(url).alias("__page"), F.explode(blocks).alias("__b"))
     b = F.col("__b")
     title = html_text(F.regexp_extract(b, rule["title"], 1))
     location = (F.when(F.regexp_extract(b, rule["location"], 0) != "", html_text(F.regexp_extract(b, rule["location"], 1)))

@@ -49,7 +49,7 @@ STORY_B = "story_url string, company string, title string, points int, num_comme
 T0 = dt.datetime(2026, 5, 1)
 
 
-def test_upsert_rules_both_strategies(spark):
+def test_upsert_rules(spark):
     target = spark.createDataFrame([
         ("u1", "acme", "old", 1, 1, None, T0, T0),     # author null must stay null (kept column)
         ("u2", "acme", "keep", 2, 2, "z", T0, T0),      # untouched
@@ -60,14 +60,12 @@ def test_upsert_rules_both_strategies(spark):
         ("u3", "beta", "first", 5, 6, "q", T0, 2),
         ("u3", "gamma", "second", 7, 8, "r", T0, 3),    # kept from the first, refreshed from the last
     ], STORY_B)
-    for strategy in ("broadcast", "shuffle"):
-        out = {r.story_url: r for r in upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF,
-                                                      strategy=strategy).collect()}
-        assert set(out) == {"u1", "u2", "u3"}
-        assert (out["u1"].company, out["u1"].title, out["u1"].author) == ("acme", "old", None)
-        assert (out["u1"].points, out["u1"].num_comments, out["u1"].scraped_at) == (20, 21, AS_OF)
-        assert (out["u2"].points, out["u2"].scraped_at) == (2, T0)
-        assert (out["u3"].company, out["u3"].title, out["u3"].points) == ("beta", "first", 7)
+    out = {r.story_url: r for r in upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF).collect()}
+    assert set(out) == {"u1", "u2", "u3"}
+    assert (out["u1"].company, out["u1"].title, out["u1"].author) == ("acme", "old", None)
+    assert (out["u1"].points, out["u1"].num_comments, out["u1"].scraped_at) == (20, 21, AS_OF)
+    assert (out["u2"].points, out["u2"].scraped_at) == (2, T0)
+    assert (out["u3"].company, out["u3"].title, out["u3"].points) == ("beta", "first", 7)
 
 
 @settings(max_examples=10, deadline=None)
@@ -89,11 +87,10 @@ def test_upsert_matches_dict_model(spark, first, second):
     empty = spark.createDataFrame([], "k string, a int, b int, s int")
     b1 = spark.createDataFrame([(k, a, b, i) for i, (k, a, b) in enumerate(first)], "k string, a int, b int, seq int")
     b2 = spark.createDataFrame([(k, a, b, i) for i, (k, a, b) in enumerate(second)], "k string, a int, b int, seq int")
-    for strategy in ("broadcast", "shuffle"):
-        s1 = upsert.upsert(empty, b1, rule, seq="seq", as_of=__import__("pyspark.sql.functions", fromlist=["x"]).lit(1), strategy=strategy)
-        s2 = upsert.upsert(s1, b2, rule, seq="seq", as_of=__import__("pyspark.sql.functions", fromlist=["x"]).lit(2), strategy=strategy)
-        got = {r.k: (r.a, r.b, r.s) for r in s2.collect()}
-        assert got == model
+    s1 = upsert.upsert(empty, b1, rule, seq="seq", as_of=__import__("pyspark.sql.functions", fromlist=["x"]).lit(1))
+    s2 = upsert.upsert(s1, b2, rule, seq="seq", as_of=__import__("pyspark.sql.functions", fromlist=["x"]).lit(2))
+    got = {r.k: (r.a, r.b, r.s) for r in s2.collect()}
+    assert got == model
 
 
 def test_empty_table_and_written_count(spark):
@@ -123,11 +120,3 @@ def test_merge_sql_text_and_unsupported_table(spark):
     batch.drop("seq").write.parquet(path)
     with pytest.raises(Exception):
         upsert.merge_into(spark, f"parquet.`{path}`", batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF)
-
-
-def test_upsert_staged_batch_same_rows(spark):
-    target = spark.createDataFrame([("u1", "acme", "old", 1, 1, None, T0, T0)], STORY_T)
-    batch = spark.createDataFrame([("u1", "x", "new", 5, 6, "y", T0, 0), ("u2", "b", "t", 1, 1, "a", T0, 1)], STORY_B)
-    a = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF).collect()
-    b = upsert.upsert(target, batch, upsert.STORIES_RULE, seq="seq", as_of=AS_OF, stage_batch=True).collect()
-    assert sorted(a) == sorted(b)

@@ -1,12 +1,14 @@
 import datetime as dt
 import json
 
-from kestrel import schemas
-from kestrel.operators import upsert
+import pytest
+
+from kestrel import schemas, session
+from kestrel.operators import dedup, ranking, signals, upsert
 from kestrel.plans import refresh
 from kestrel.session import scratch_path
 from kestrel.sinks import lake
-from kestrel.sources import landing
+from kestrel.sources import landing, payloads
 
 T0 = dt.datetime(2026, 5, 1)
 
@@ -58,3 +60,60 @@ def test_hiring_spike(spark):
     out = {(r.company, r.day): r for r in signals.hiring_spike(df).collect()}
     assert out[("acme", dt.date(2026, 5, 8))].spike and not out[("acme", dt.date(2026, 5, 7))].spike
     assert not out[("beta", dt.date(2026, 5, 8))].spike  # no baseline yet
+
+
+def test_last_wins_ignores_a_null_order(spark):
+    df = spark.createDataFrame([("a", 1, None), ("b", 2, None), ("b", 3, 1)], "k string, v int, seq int")
+    assert sorted(map(tuple, dedup.last_wins(df, "k", "seq").collect())) == [("a", 1), ("b", 3)]
+
+
+def test_rank_keeps_null_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 3), ("a", 2), (None, None)], "g string, v int")
+    got = {(r.g, r.v): r["rank"] for r in ranking.rank_within(df, "g", "v", buckets=4).collect()}
+    assert got == {(None, 3): 1, (None, 1): 2, (None, None): 3, ("a", 2): 1}
+
+
+def test_baseline_uses_calendar_days(spark):
+    day = dt.date(2026, 1, 1)
+    counts = spark.createDataFrame([(day, 10), (day + dt.timedelta(days=1), 10), (day + dt.timedelta(days=30), 10)], "day date, n bigint")
+    out = {r.day: r for r in signals.rolling_baseline(counts).collect()}
+    assert len(out) == 31
+    assert (out[day].baseline_days, out[day + dt.timedelta(days=30)].baseline_mean) == (0, 0.0)
+    assert out[day + dt.timedelta(days=2)].n == 0 and not out[day + dt.timedelta(days=2)].passed
+
+
+def test_long_names_are_found(spark):
+    docs = spark.createDataFrame([(1, "The Bank of New York said; bank of new jersey"), (2, None)], "doc_id long, text string")
+    for names in (["Bank of New York"], spark.createDataFrame([("Bank of New York",)], "name string")):
+        assert [tuple(r) for r in signals.mention_match(docs, names, "doc_id").collect()] == [(1, "Bank of New York", 1)]
+
+
+def test_pages_and_numbers_that_do_not_fit_go_to_quarantine(spark):
+    good = '{"full_name": "o/r", "name": "r", "description": null, "language": null, "stargazers_count": "12", "forks_count": 1, "open_issues_count": 0, "pushed_at": "2026-01-01T00:00:00Z"}'
+    pages = [f"[{good}]", f"[{good}, ", '{"message": "rate limit"}', "<html>", f"[{good.replace('\"12\"', '3000000000')}]"]
+    df = spark.createDataFrame([("o", p) for p in pages], "org string, payload string")
+    valid, bad = payloads.parse_repos(df, with_quarantine=True)
+    assert [r.stars for r in valid.collect()] == [12]
+    assert sorted(r["_bad"] for r in bad.collect()) == ["missing stars", "unparsable page", "unparsable page", "unparsable page"]
+    hits = ['{"hits": [{"title": "t", "points": "12", "created_at": "2026-01-01T00:00:00Z"}]}', '{"hits": [{"title"', '{"hits": [{"title": "t", "points": 3000000000, "created_at": "2026-01-01T00:00:00Z"}]}', "{}"]
+    valid, bad = payloads.parse_stories(spark.createDataFrame([("c", p) for p in hits], "company string, payload string"), with_quarantine=True)
+    assert [r.points for r in valid.collect()] == [12]
+    assert sorted(r["_bad"] for r in bad.collect()) == ["bad points", "unparsable page"]
+
+
+def test_shared_dir_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

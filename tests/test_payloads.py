@@ -98,10 +98,10 @@ def test_company_facts(spark):
     assert (rows["NoTitle"].title, rows["NoTitle"].url) == ("Searched Title", None)
 
 
-def test_contributors_limit(spark):
+def test_contributors_are_all_kept(spark):
     payload = json.dumps([{"login": f"u{i}", "contributions": i, "avatar_url": "a"} for i in range(40)])
-    rows = payloads.parse_contributors(landed(spark, "repo", "o/r", payload), limit=30).collect()
-    assert len(rows) == 30 and rows[0].login == "u0"
+    rows = payloads.parse_contributors(landed(spark, "repo", "o/r", payload)).collect()
+    assert len(rows) == 40 and rows[0].login == "u0"
 
 
 LEVER = """<html><body>

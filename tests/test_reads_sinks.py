@@ -119,16 +119,6 @@ def test_jdbc_roundtrip_embedded_derby(spark):
     assert sorted((r[0], r[1]) for r in back.collect()) == [("a", 1), ("b", 2)]
 
 
-def test_broadcast_bound(spark):
-    from kestrel.operators.joins import estimated_bytes, fits, maybe_broadcast
-
-    small = spark.range(10)
-    assert fits(small, max_rows=10) and not fits(small, max_rows=9)
-    assert estimated_bytes(small) is not None
-    assert not fits(small, max_rows=100, max_bytes=1)  # rejected from the estimate alone
-    assert "broadcast" in maybe_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_jdbc_keyed_upsert_embedded_derby(spark):
     import datetime as _dt
 
@@ -148,13 +138,3 @@ def test_jdbc_keyed_upsert_embedded_derby(spark):
                                  properties=props) == 2
     rows = {r[0]: r for r in warehouse.read_jdbc(spark, url, "STORIES", props).collect()}
     assert rows["u1"][1] == "acme" and rows["u1"][3] == 9 and set(rows) == {"u1", "u2"}
-
-
-def test_cap_per_group_equals_top_n(spark):
-    rows = [("a", f"a/{i:04d}", T0 - dt.timedelta(hours=i % 50)) for i in range(120)] + \
-           [("b", f"b/{i}", T0) for i in range(3)] + [(None, "n/1", T0)]
-    df = spark.createDataFrame(rows, "org string, full_name string, pushed_at timestamp")
-    a = newest.cap_per_group(df, "org", "pushed_at", 100, ["full_name"])
-    b = newest.newest_per_group(df, "org", "pushed_at", 100, ["full_name"])
-    key = lambda r: (r.org or "", r.full_name)
-    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key) and a.count() == 104
