@@ -272,7 +272,8 @@ def stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _html_text_sql(expr: str) -> str:
     out = f"regexp_replace({expr}, '<[^>]+>', '', 'g')"
-    for ent, ch in payloads.HTML_ENTITIES:
+    # The named references that occur in the pages, besides the common ones; &amp; comes last.
+    for ent, ch in [("&middot;", "·"), ("&copy;", "©"), *payloads.HTML_ENTITIES]:
         out = f"replace({out}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return f"trim({out})"
 

@@ -65,7 +65,7 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def _load_all() -> None:
     # Query modules register themselves on import.
-    from kestrel.plans import queries_core, queries_dq, queries_ingest, queries_io, queries_signals  # noqa: F401
+    from kestrel.plans import queries_core, queries_dq, queries_ingest, queries_io, queries_more, queries_signals  # noqa: F401
 
 
 __all__ = ["AS_OF", "AS_OF_SQL", "register", "queries", "oracle_sql", "ntz"]

@@ -14,6 +14,7 @@ going (per record, where the single-machine original lost the whole fetch).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -239,7 +240,7 @@ def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | No
 # (``block``) or by splitting at each posting start (``split``).
 def _cls(token: str) -> str:
     """Regex for a class attribute holding ``token`` as one whitespace-separated class."""
-    return rf'class="(?:[^"]*\s)?{token}(?:\s[^"]*)?"'
+    return rf"""class\s*=\s*["'](?:[^"']*\s)?{token}(?:\s[^"']*)?["']"""
 
 
 JOB_BOARDS = {
@@ -271,23 +272,41 @@ HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
                  ("&nbsp;", " "), ("&amp;", "&")]
 
 
+_REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _decoded(reference: Column) -> Column:
+    """The character of a numeric or named reference; an unknown one stays as written."""
+    names = {f"&{name};": chr(code) for name, code in sorted(name2codepoint.items())} | dict(HTML_ENTITIES)
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[reference]
+    digits = F.regexp_extract(reference, "&#[xX]?([0-9a-fA-F]+);", 1)
+    code = F.conv(digits, 10, 16)
+    code = F.when(F.lower(reference).startswith("&#x"), digits).otherwise(code)
+    point = F.conv(code, 16, 10).cast("long")
+    valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    numeric = F.when((digits != "") & valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
+    return F.coalesce(known, numeric, reference)
+
+
 def html_text(c: Column) -> Column:
-    """Inner text of an HTML fragment: tags removed, common entities decoded, whitespace trimmed."""
+    """Inner text of an HTML fragment: tags removed, character references decoded once, whitespace trimmed."""
     out = F.regexp_replace(c, r"<[^>]+>", "")
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.trim(out)
+    between = F.split(out, _REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(out, F.lit(_REFERENCE), 0), _decoded)
+    pairs = F.arrays_zip(between.alias("t"), found.alias("r"))
+    joined = F.array_join(F.transform(pairs, lambda p: F.concat(p["t"], F.coalesce(p["r"], F.lit("")))), "")
+    return F.trim(F.when(F.contains(out, F.lit("&")), joined).otherwise(out))
 
 
 def _href(tag: Column) -> Column:
-    return F.regexp_extract(tag, r'href\s*=\s*"([^"]*)"', 1)
+    return F.coalesce(nonempty(F.regexp_extract(tag, r'href\s*=\s*"([^"]*)"', 1)), F.regexp_extract(tag, r"href\s*=\s*'([^']*)'", 1))
 
 
 def parse_listings(pages: DataFrame, board: str, url: str = "url", html: str = "html",
                    company: str = "company") -> DataFrame:
     """Job-board pages of one board -> listings (blank titles dropped, href defaults to the page URL)."""
     if board not in JOB_BOARDS:
-        raise ValueError(f"Unknown jobs source '{board}'. Known: {sorted(JOB_BOARDS)}")
+        raise ValueError(f"No rules for job board {board!r}; there are rules for {', '.join(sorted(JOB_BOARDS))}")
     rule = JOB_BOARDS[board]
     if "block" in rule:
         blocks = F.regexp_extract_all(F.col(html), F.lit(rule["block"]), 1)

@@ -42,9 +42,9 @@ def dedupe(df: DataFrame, keys: Sequence[str], ts: str | None = None, delay: str
 
 
 def late_rows(query) -> int:
-    """Rows dropped by the watermark so far (sum over the stateful operators of the last progress)."""
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+    """Rows dropped by the watermark, summed over the progress reports that the query still keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``; raise it to cover a longer run)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
 def with_batch_quality(check: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
