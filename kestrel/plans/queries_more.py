@@ -96,6 +96,52 @@ def landed_records(spark: SparkSession, sf: str) -> DataFrame:
     return landed.read_records(spark, path, schemas.JOB_LISTINGS).select("company", "title", "location", "posted_at", "source_url")
 
 
+def _board_pages(customer: DataFrame, posting) -> DataFrame:
+    """One page per company with three postings: complete, without place or link, and with a blank title."""
+    key = F.col("c_custkey").cast("string")
+    body = F.concat(*[posting(*x) for x in (
+        (F.concat(F.lit("R&amp;D &eacute;tude &#8211; "), F.col("c_mktsegment")), F.lit(" Paris "), F.concat(F.lit("/job/"), key)),
+        (F.concat(F.lit(" Analyst "), key), None, None),
+        (F.lit("  "), F.lit("Nowhere"), F.lit("/job/x")),
+    )])
+    return customer.select(F.col("c_name").alias("company"), F.concat(F.lit("https://boards.example.org/"), key).alias("url"),
+                           F.concat(F.lit("<html><body><p class='location'>Page</p>"), body, F.lit("</body></html>")).alias("html"))
+
+
+LISTED_SQL = """
+SELECT c_name AS company, 'R&D étude – ' || c_mktsegment AS title, 'Paris' AS location, '/job/' || CAST(c_custkey AS VARCHAR) AS source_url FROM customer
+UNION ALL
+SELECT c_name, 'Analyst ' || CAST(c_custkey AS VARCHAR), NULL, 'https://boards.example.org/' || CAST(c_custkey AS VARCHAR) FROM customer"""
+
+
+def _listed(pages: DataFrame, board: str) -> DataFrame:
+    return payloads.parse_listings(pages, board).select("company", "title", "location", "source_url")
+
+
+@register("lever_listings", LISTED_SQL)
+def lever_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Lever boards: both quote styles, character references, a place only inside the posting's categories."""
+
+    def posting(title, place, link):
+        where = F.lit("") if place is None else F.concat(F.lit("<div class='posting-categories'><span class=\"sort location\">"), place, F.lit("</span></div>"))
+        href = F.lit("") if link is None else link
+        return F.concat(F.lit('<div class="posting" data-id="1"><span class="location">Elsewhere</span><a class=\'posting-title big\' href=\''), href, F.lit("'><h5>"), title, F.lit("</h5></a>"), where, F.lit("</div>"))
+
+    return _listed(_board_pages(b.table(spark, sf, "customer"), posting), "lever")
+
+
+@register("greenhouse_listings", LISTED_SQL)
+def greenhouse_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Greenhouse boards: the posting's first link is its title, the place may be missing."""
+
+    def posting(title, place, link):
+        where = F.lit("") if place is None else F.concat(F.lit('<span class="location">'), place, F.lit("</span>"))
+        tag = F.lit("<a>") if link is None else F.concat(F.lit('<a href="'), link, F.lit('">'))
+        return F.concat(F.lit("<div class='opening level-0'>"), tag, title, F.lit("</a>"), where, F.lit("</div>"))
+
+    return _listed(_board_pages(b.table(spark, sf, "customer"), posting), "greenhouse")
+
+
 @register(
     "upsert_facts",
     f"""

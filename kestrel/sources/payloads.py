@@ -248,7 +248,7 @@ JOB_BOARDS = {
         "url": "https://jobs.lever.co/{slug}",
         "split": rf"<div[^>]*{_cls('posting')}[^>]*>",
         "title": r"(?s)<h5[^>]*>(.*?)</h5>",
-        "location": rf"(?s){_cls('location')}[^>]*>(.*?)</",
+        "location": rf"(?s){_cls('posting-categories')}.*?{_cls('location')}[^>]*>(.*?)</",
         "link": rf"<a[^>]*{_cls('posting-title')}[^>]*>",
     },
     "greenhouse": {
