@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kestrel.session import materialize, shared_dir
 
-#: Rows handed to a Python task at a time: long texts make large batches, so keep them short.
-BATCH_ROWS = 1000
+#: Rows and bytes handed to a Python task at a time: long texts make large batches, so keep them short.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -19,6 +19,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: UTC, short Arrow batches, package on the workers' path."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     shared_dir(spark)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -45,4 +46,4 @@ def id_bucket(n: int, id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-__all__ = ["BATCH_ROWS", "prepare", "read_table", "text_or_empty", "id_text", "id_bucket", "materialize", "shared_dir"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "prepare", "read_table", "text_or_empty", "id_text", "id_bucket", "materialize", "shared_dir"]
