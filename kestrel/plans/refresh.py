@@ -86,6 +86,7 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     """
     res = RefreshResult()
     ts = F.lit(as_of).cast("timestamp")
+    run = f"at-{as_of:%Y%m%dT%H%M%S}"  # a repeat with the same snapshot time replaces its own log rows
 
     # 1. repos: normalise, keep tracked orgs, upsert, land bronze.
     #    A repository that was landed twice keeps what the later page, and in it the later place, says.
@@ -94,7 +95,7 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     repos = materialize(restrict_to(repos.withColumn("__seq", arrival), tracked, on="org"), "refresh-repos-batch")
     res.repos_written, res.versions["github_repos"] = _apply(spark, store, "github_repos", repos, "__seq", as_of)
     if res.repos_written:
-        lake.write_bronze(repos, store.bronze("github_repos"), store.fmt, schemas.GITHUB_REPOS)
+        lake.write_run(schemas.conform(repos, schemas.GITHUB_REPOS), store.bronze("github_repos"), run, store.fmt)
 
     # 2. stories: normalise; within one company's results a repeated URL keeps its last values;
     #    across companies the upsert rule applies (first company kept, counters from the last).
@@ -105,7 +106,7 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
                                           "__seq", keep_seq=True), "refresh-stories-batch")
     res.stories_written, res.versions["hn_stories"] = _apply(spark, store, "hn_stories", deduped, "__seq", as_of)
     if res.stories_written:
-        lake.write_bronze(deduped, store.bronze("hn_stories"), store.fmt, schemas.HN_STORIES)
+        lake.write_run(schemas.conform(deduped, schemas.HN_STORIES), store.bronze("hn_stories"), run, store.fmt)
 
     # 3. data quality over all rows of the tracked companies, read back from the written tables.
     tracked_co = tracked.select(F.col("org").alias("company"))
@@ -118,10 +119,10 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
         dq.suite(hn, tracked, "hn_stories", "company", schemas.EVENT_TIME["hn_stories"], baseline=hn_base,
                  max_age=freshness_sla, max_null_rate=max_null_rate, as_of=as_of))
     results = schemas.conform(results, schemas.DQ_RESULT)
-    _record_counts(store, tracked, gh, "org", "github_repos", as_of)
-    _record_counts(store, tracked, hn, "company", "hn_stories", as_of)
-    results.write.format(store.fmt).mode("append").save(store.alerts)
-    counts = spark.read.format(store.fmt).load(store.alerts).where(F.col("measured_at") == ts).agg(
+    lake.write_run(_counts(tracked, gh, "org", "github_repos", ts).unionByName(_counts(tracked, hn, "company", "hn_stories", ts)),
+                   store.row_counts, run, store.fmt)
+    lake.write_run(results, store.alerts, run, store.fmt)
+    counts = spark.read.format(store.fmt).load(store.alerts).where(F.col(lake.RUN) == run).agg(
         F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("passed")).alias("failures")).first()
     res.checks, res.failures = int(counts["checks"]), int(counts["failures"])
 
@@ -147,20 +148,18 @@ def _baseline(spark: SparkSession, store: Store, table: str, as_of: dt.datetime,
         .select("segment", "n")
 
 
-def _record_counts(store: Store, tracked: DataFrame, rows: DataFrame, group: str, table: str, as_of) -> None:
-    """Append this run's row count per tracked company (0 for companies without rows)."""
+def _counts(tracked: DataFrame, rows: DataFrame, group: str, table: str, ts) -> DataFrame:
+    """Row count per tracked company (0 for companies without rows)."""
     counts = rows.groupBy(F.col(group).alias("segment")).agg(F.count(F.lit(1)).alias("n"))
-    out = tracked.select(F.col("org").alias("segment")).distinct().join(counts, "segment", "left").select(
-        "segment", F.lit(table).alias("table"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        F.lit(as_of).cast("timestamp").alias("measured_at"))
-    out.write.format(store.fmt).mode("append").save(store.row_counts)
+    return tracked.select(F.col("org").alias("segment")).distinct().join(counts, "segment", "left").select(
+        "segment", F.lit(table).alias("table"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), ts.alias("measured_at"))
 
 
 def recent_alerts(spark: SparkSession, store: Store, limit: int = 20) -> DataFrame:
     """The serving query: newest failing checks, timestamps as text."""
     from kestrel.functions.scalars import timestamp_text
 
-    alerts = spark.read.format(store.fmt).load(store.alerts)
+    alerts = spark.read.format(store.fmt).load(store.alerts).drop(lake.RUN)
     top = newest.recent_failures(alerts, limit)
     return top.withColumn("measured_at", timestamp_text("measured_at"))
 
@@ -179,4 +178,4 @@ def demo_checks(repos: DataFrame, store: Store, as_of=None) -> tuple[DataFrame,
     results = dq.row_count_anomaly(repos, "github_repos", baseline=DEMO_BASELINE, as_of=as_of).unionByName(
         dq.freshness(repos, "github_repos", "pushed_at", DEMO_MAX_AGE, as_of=as_of)).unionByName(
         dq.null_rate(repos, "github_repos", DEMO_MAX_NULL_RATE, as_of=as_of))
-    return results, lake.append_results(results, store.alerts, only_failures=True, fmt=store.fmt)
+    return results, lake.append_results(results, store.alerts, only_failures=True, fmt=store.fmt, run="demo")

@@ -33,6 +33,16 @@ def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
 
+#: Partition column of logs that are written run by run.
+RUN = "run"
+
+
+def write_run(df: DataFrame, path: str, run: str, fmt: str = "parquet") -> None:
+    """Write one run's rows into a log; a repeat of the run takes the place of what it wrote before."""
+    (df.withColumn(RUN, F.lit(run)).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(RUN).save(path))
+
+
 def _replace(df: DataFrame, path: str, partition_by: Sequence[str] | None, fmt: str, **options: str) -> None:
     """Write ``df`` in place of what is at ``path``. Rows of one partition are gathered first, so
     that a task does not write a file into every partition; large partitions are split again."""
@@ -166,13 +176,16 @@ def bootstrap(spark: SparkSession, root: str, schemas_by_name: dict[str, T.Struc
     return created
 
 
-def append_results(results: DataFrame, path: str, only_failures: bool = False, fmt: str = "parquet") -> int:
-    """Append data-quality results to the alert log (all of them, or only the failing ones)."""
+def append_results(results: DataFrame, path: str, only_failures: bool = False, fmt: str = "parquet", run: str | None = None) -> int:
+    """Append data-quality results to the alert log (all of them, or only the failing ones), under ``run`` if the log has runs."""
     from pyspark.sql import Observation
 
     from kestrel.schemas import DQ_RESULT
 
     rows = results.where(~F.col("passed")) if only_failures else results
     obs = Observation("alerts")
-    conform(rows, DQ_RESULT).observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("append").save(path)
+    out = conform(rows, DQ_RESULT).observe(obs, F.count(F.lit(1)).alias("n"))
+    if run is not None:
+        out = out.withColumn(RUN, F.lit(run))
+    out.write.save(path, format=fmt, mode="append", partitionBy=[RUN] if run is not None else None)
     return int(obs.get.get("n", 0))

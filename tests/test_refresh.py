@@ -50,6 +50,14 @@ def test_refresh_end_to_end(spark):
     assert all(a.measured_at == "2026-05-30 02:00:00+00:00" for a in alerts)
     assert res.failures == len(failing) and res.checks > res.failures
 
+    # a repeat of the run replaces what it logged and changes no table
+    logs = (store.alerts, store.row_counts, store.bronze("github_repos"), store.bronze("hn_stories"))
+    before = [spark.read.parquet(p).count() for p in logs]
+    again = refresh.refresh(spark, store, tracked, landed_repos, landed_stories, AS_OF)
+    assert (again.checks, again.failures) == (res.checks, res.failures)
+    assert [spark.read.parquet(p).count() for p in logs] == before
+    assert refresh.read_keyed(spark, store, "github_repos").count() == 3
+
     # second day: an existing repo changes, names stay from the first insert
     landed_repos2 = spark.createDataFrame([("databricks", json.dumps([dict(repo("delta", "databricks", 120, "2026-05-30T00:00:00Z"),
                                                                           name="renamed")]))], "org string, payload string")
@@ -97,3 +105,15 @@ def test_refresh_row_count_baseline_from_history(spark):
     assert alerts[0].message == "no baseline yet; current=1"
     assert alerts[1].message.startswith("current=2 baseline_mean=1.0")
     assert not alerts[-1].passed and alerts[-1].message.startswith("current=55 baseline_mean=3.0")
+
+
+def test_refresh_reads_every_row_and_the_last_page_wins(spark):
+    store = refresh.Store(scratch_path(spark, "lake"))
+    tracked = spark.createDataFrame([("acme",)], "org string")
+    pages = [("acme", json.dumps([repo(f"r{i}", "acme", 1, "2026-05-29T00:00:00Z") for i in range(a, a + 400)]), a) for a in (0, 400, 800)]
+    pages.append(("acme", json.dumps([repo("r0", "acme", 5, "2026-05-29T00:00:00Z")]), 2000))
+    landed = spark.createDataFrame(pages, "org string, payload string, seq int").repartition(4)
+    stories = spark.createDataFrame([], "company string, payload string, seq int")
+    refresh.refresh(spark, store, tracked, landed, stories, AS_OF)
+    gold = lake.read_gold(spark, store.gold("company_signals")).first()
+    assert (gold.repo_count, gold.total_stars) == (1200, 1204)
