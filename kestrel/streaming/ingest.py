@@ -30,10 +30,10 @@ def parse_stream(raw: DataFrame, spec: StreamSpec, stamp: bool = True, corrupt_c
         fields.append(T.StructField(corrupt_col, T.StringType()))
     options = {"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {}
     record = F.from_json(F.decode("value", "UTF-8"), T.StructType(fields), options)
-    columns = [F.inline(F.array(record))]
+    columns = [F.col("message").getField(f.name).alias(f.name) for f in fields]
     if stamp:
         columns.append(F.current_timestamp().alias("ingested_at"))
-    rows = raw.select(*columns)
+    rows = raw.select(record.alias("message")).select(*columns)
     return rows.withWatermark(spec.watermark_col, spec.watermark_delay) if spec.watermark_col else rows
 
 
