@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import id_text
+from kestrel.llm.common import id_text, materialize
 from kestrel.llm.encoders import SpacedEncoder, encoder
 
 #: Neighbouring lengths whose sums are made together; the sums of these ranges are then added up.
@@ -53,6 +53,8 @@ def suffix_sums(hist: DataFrame, span: int = RANGE) -> DataFrame:
     Sums run within ranges of ``span`` lengths, and range totals (one row per range, bounded by
     the longest text over ``span``) are added up in one small window.
     """
+    # Written once: it is read twice below, and must not be encoded twice.
+    hist = materialize(hist, "token-histogram")
     h = hist.select("n_tokens", "n_docs", F.floor(F.col("n_tokens") / span).alias("part"), (F.col("n_tokens") * F.col("n_docs")).alias("tokens"))
     sums = h.groupBy("part").agg(F.sum("n_docs").alias("part_docs"), F.sum("tokens").alias("part_tokens"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
