@@ -1,14 +1,16 @@
 """Personal data: pattern spans, and terms that give a protected value away.
 
 Patterns find e-mail addresses, network addresses, card and phone numbers. Each distinct value is a
-protected entity. What a nearby term t tells about an entity e is measured on the whole corpus, in
-bits, with probabilities as shares of documents: PMI(e; t) = log2(p(e, t) / (p(e) p(t))), against
-IC(e) = -log2 p(e), the information needed to name e. PMI / IC is 1 where t never occurs without e.
-Terms of a ratio of at least ``GENERALISE`` are replaced by a class name, of at least ``REMOVE`` taken
-out. A pair must be seen in ``SUPPORT`` documents: one document alone gives no estimate.
+protected entity. A term is a run of letters, marks and digits, case folded. What a term t tells about
+an entity e is measured on the whole corpus, in bits, with probabilities as shares of documents:
+PMI(e; t) = log2(p(e, t) / (p(e) p(t))), against IC(e) = -log2 p(e), the information needed to name e.
+PMI / IC is 1 where t never occurs without e. Terms of a ratio of at least ``GENERALISE`` are replaced
+by a class name, of at least ``REMOVE`` taken out, wherever they stand in a document that holds e. A
+pair must be seen in ``SUPPORT`` documents: one document alone gives no estimate.
 
-Co-occurrence is counted within ``CONTEXT`` characters on either side of the entity, so the number
-of pairs is bounded by the number of spans. Only DataFrame operations are used.
+Co-occurrence is counted over whole documents. Of N documents, df hold t, e_df hold e and both hold
+the two, at most e_df. A ratio of r needs df <= both * (N / e_df)^(1 - r), so t is joined to e only where
+df <= e_df * (N / e_df)^(1 - r): no pair that could reach r is left out. Only DataFrame operations are used.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned row by row; an
 empty table yields no rows; a text of any length is scanned in linear time (possessive
@@ -34,8 +36,7 @@ PATTERNS = {
 }
 #: What a text must hold for its kind to be looked for at all.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}{3,}"
-CONTEXT = 64
+TERM = r"[\p{L}\p{M}\p{N}]++"
 SUPPORT = 2
 GENERALISE, REMOVE = 0.8, 0.95
 
@@ -71,22 +72,15 @@ def is_valid(kind: Column, value: Column) -> Column:
     )
 
 
-def _matches(kind: str, text: str, gaps: str, found: str) -> Column:
-    """One struct per match: kind, place among its kind, value, length of the gap before it, and the gaps' near ends."""
-    zipped = F.arrays_zip(F.col(found).alias("m"), F.col(gaps).alias("g"), F.slice(F.col(gaps), 2, F.greatest(F.size(gaps), F.lit(1))).alias("h"))
-    each = F.transform(
-        zipped,
-        lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("place"), x["m"].alias("value"), F.length(x["g"]).cast("long").alias("gap"),
-            F.substring(x["g"], -CONTEXT, CONTEXT).alias("left"), F.substring(x["h"], 1, CONTEXT).alias("right"),
-            (F.length(x["h"]) > CONTEXT).alias("more"),
-        ),
-    )
+def _matches(kind: str, gaps: str, found: str) -> Column:
+    """One struct per match: kind, place among its kind, value, and length of the gap before it."""
+    zipped = F.arrays_zip(F.col(found).alias("m"), F.col(gaps).alias("g"))
+    each = F.transform(zipped, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("place"), x["m"].alias("value"), F.length(x["g"]).cast("long").alias("gap")))
     return F.filter(each, lambda x: x["value"].isNotNull())
 
 
 def scan(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """One staged row per document: rid, doc (struct of ``carry``), found (all pattern matches, still unchecked)."""
+    """One staged row per document: rid, doc (struct of ``carry``), found (all pattern matches, still unchecked), text where one is valid."""
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), text_or_empty().alias("text"))
     for kind in KINDS:
         pattern, held = PATTERNS[kind], F.col("text").rlike(HINTS[kind])
@@ -94,83 +88,99 @@ def scan(docs: DataFrame, carry: list[str]) -> DataFrame:
     for kind in KINDS:
         some = F.size(f"m_{kind}") > 0
         df = df.withColumn(f"g_{kind}", F.when(some, F.split("text", PATTERNS[kind], -1)).otherwise(F.array().cast("array<string>")))
-    found = F.concat(*[_matches(kind, "text", f"g_{kind}", f"m_{kind}") for kind in KINDS])
-    return materialize(df.select(F.monotonically_increasing_id().alias("rid"), "doc", found.alias("found")), "pii-scan")
+    found = F.concat(*[_matches(kind, f"g_{kind}", f"m_{kind}") for kind in KINDS])
+    df = df.select("doc", "text", found.alias("found"))
+    text = F.when(F.exists("found", lambda x: is_valid(x["kind"], x["value"])), F.col("text"))
+    return materialize(df.select(F.monotonically_increasing_id().alias("rid"), "doc", "found", text.alias("text")), "pii-scan")
 
 
 def entities(scanned: DataFrame) -> DataFrame:
-    """One row per valid span: rid, kind, value, start, end (code points, end exclusive) and the context on both sides."""
+    """One row per valid span: rid, kind, value, start and end (code points, end exclusive)."""
     each = scanned.select("rid", F.explode("found").alias("x")).select("rid", "x.*")
     so_far = W.partitionBy("rid", "kind").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(so_far)
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    return placed.filter(is_valid(F.col("kind"), F.col("value")))
-
-
-def _terms(side: Column, from_: Column, keep) -> Column:
-    """Terms of a context as structs (term, start, end); ``from_`` is the context's own start. The arrays are bounded by CONTEXT."""
-    zipped = F.arrays_zip(F.regexp_extract_all(side, F.lit(TERM), 0).alias("t"), F.split(side, TERM, -1).alias("g"))
+    return placed.filter(is_valid(F.col("kind"), F.col("value"))).select("rid", "kind", "value", "start", "end")
 
-    def add(acc: Column, x: Column) -> Column:
-        at = acc["at"] + F.length(x["g"])
-        end = at + F.coalesce(F.length(x["t"]), F.lit(0))
-        one = F.array(F.struct(F.lower(x["t"]).alias("term"), at.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
 
-    none = F.array().cast("array<struct<term:string,start:int,end:int>>")
-    folded = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
-    inside = F.filter(folded, lambda x: x["term"].isNotNull() & keep(x))
-    return F.transform(inside, lambda x: F.struct(x["term"].alias("term"), (from_ + x["start"]).alias("start"), (from_ + x["end"]).alias("end")))
-
-
-def neighbours(spans: DataFrame) -> DataFrame:
-    """One row per entity span and term near it: rid, kind, value, term, start, end. A term cut by the context's edge is left out."""
-    left = _terms(F.col("left"), F.col("start") - F.length("left"), lambda x: (F.col("gap") <= CONTEXT) | (x["start"] > 0))
-    right = _terms(F.col("right"), F.col("end"), lambda x: ~F.col("more") | (x["end"] < CONTEXT))
-    return spans.select("rid", "kind", "value", F.explode(F.concat(left, right)).alias("x")).select("rid", "kind", "value", "x.*")
+def _terms(text: Column) -> Column:
+    """The terms of a text in their order, folded."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), 0), F.lower)
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
     """term and df: the number of documents of the whole corpus that hold it."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(TERM), 0))
+    words = F.array_distinct(_terms(text_or_empty()))
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def disclosing(near: DataFrame, spans: DataFrame, terms: DataFrame, n_docs: int, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
+def together(scanned: DataFrame, spans: DataFrame, terms: DataFrame, n_docs: int, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
+    """One row per document, entity and term it holds that could reach the threshold: rid, kind, value, e_df, term, df."""
+    repeated = spans.groupBy("kind", "value").agg(F.count_distinct("rid").alias("e_df")).filter((F.col("e_df") >= support) & (F.col("e_df") < n_docs))
+    # Just above the bound of the module's docstring, so that rounding loses no pair.
+    most = F.col("e_df") * F.pow(F.lit(n_docs) / F.col("e_df"), F.lit(1 - threshold)) * (1 + 1e-9)
+    # Written tables on both sides: a value or term that a third of all rows share is split at run time.
+    held = materialize(repeated.withColumn("most", most), "pii-held")
+    frequent = materialize(terms.filter(F.col("df") >= support), "pii-terms")
+    named = materialize(spans.select("rid", "kind", "value").distinct().join(held, ["kind", "value"]), "pii-named")
+    reach = materialize(named.groupBy("rid").agg(F.max("most").alias("reach")), "pii-reach")
+    words = scanned.select("rid", "text").join(reach, "rid").select("rid", "reach", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    inside = words.join(frequent, "term").filter(F.col("df") <= F.col("reach")).select("rid", "term", "df")
+    return named.join(inside, "rid").filter(F.col("df") <= F.col("most")).select("rid", "kind", "value", "e_df", "term", "df")
+
+
+def disclosing(near: DataFrame, n_docs: int, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """kind, value, term, ratio of the pairs that reach the threshold."""
-    pairs = near.groupBy("kind", "value", "term").agg(F.count_distinct("rid").alias("both")).filter(F.col("both") >= support)
-    held = spans.groupBy("kind", "value").agg(F.count_distinct("rid").alias("e_df")).filter(F.col("e_df") < n_docs)
-    joined = pairs.join(held, ["kind", "value"]).join(terms, "term")
+    pairs = near.groupBy("kind", "value", "term", "e_df", "df").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
     ic = F.log2(F.lit(n_docs) / F.col("e_df"))
     pmi = F.log2(F.col("both") * F.lit(n_docs) / (F.col("e_df") * F.col("df")))
-    return joined.select("kind", "value", "term", (pmi / ic).alias("ratio")).filter(F.col("ratio") >= threshold)
+    return pairs.select("kind", "value", "term", (pmi / ic).alias("ratio")).filter(F.col("ratio") >= threshold)
+
+
+def occurrences(scanned: DataFrame, told: DataFrame) -> DataFrame:
+    """rid, start, end, ratio of every place where a document holds one of its terms in ``told`` (rid, term, ratio).
+
+    Terms never touch, so a mask of the text, one character for each of its own, has one run of # per place.
+    """
+    listed = told.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("term", "ratio"))).alias("ratios"))
+    known = F.map_keys("ratios")
+    zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(TERM), 0).alias("t"), F.split("text", TERM, -1).alias("g"))
+
+    def mask(x: Column) -> Column:
+        mark = F.when(F.array_contains(known, F.lower(x["t"])), F.lit("#")).otherwise(F.lit("."))
+        return F.concat(F.repeat(F.lit("."), F.length(x["g"])), F.coalesce(F.repeat(mark, F.length(x["t"])), F.lit("")))
+
+    hits = F.transform(F.filter(_terms(F.col("text")), lambda t: F.array_contains(known, t)), lambda t: F.element_at("ratios", t))
+    df = scanned.select("rid", "text").join(listed, "rid").select("rid", F.array_join(F.transform(zipped, mask), "").alias("mask"), hits.alias("ratio"))
+    each = F.arrays_zip(F.regexp_extract_all("mask", F.lit("#++"), 0).alias("m"), F.split("mask", "#++", -1).alias("g"), F.col("ratio").alias("ratio"))
+    placed = df.select("rid", F.posexplode(each).alias("place", "x")).select("rid", "place", "x.ratio", F.length("x.m").alias("size"), F.length("x.g").alias("gap"))
+    so_far = W.partitionBy("rid").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
+    end = F.sum((F.col("gap") + F.col("size")).cast("long")).over(so_far)
+    return placed.filter(F.col("size").isNotNull()).withColumn("end", end).select("rid", (F.col("end") - F.col("size")).alias("start"), "end", "ratio")
 
 
 def _clear_of(patterns: DataFrame, terms: DataFrame) -> DataFrame:
-    """Pattern spans, and the terms that touch none of them; every place once, at its highest ratio."""
-    once = terms.groupBy("rid", "start", "end").agg(F.max("ratio").alias("ratio"))
-    both = patterns.unionByName(once.select("rid", "start", F.lit(len(KINDS) + 1).alias("rank"), "end", F.lit("term").alias("kind"), "ratio"))
+    """Pattern spans, and the terms that do not lie wholly within one of them."""
+    both = patterns.unionByName(terms.select("rid", "start", F.lit(len(KINDS) + 1).alias("rank"), "end", F.lit("term").alias("kind"), "ratio"))
     pattern = F.col("rank") <= len(KINDS)
-    row = W.partitionBy("rid").orderBy("start")
-    reach = F.max(F.when(pattern, F.col("end"))).over(row.rangeBetween(W.unboundedPreceding, W.currentRow))
-    ahead = F.min(F.when(pattern, F.col("start"))).over(row.rangeBetween(W.currentRow, W.unboundedFollowing))
-    touched = (F.coalesce(F.col("reach"), F.lit(-1)) > F.col("start")) | (F.coalesce(F.col("ahead"), F.col("end")) < F.col("end"))
-    return both.withColumns({"reach": reach, "ahead": ahead}).filter(pattern | ~touched).drop("reach", "ahead")
+    reach = F.max(F.when(pattern, F.col("end"))).over(W.partitionBy("rid").orderBy("start").rangeBetween(W.unboundedPreceding, W.currentRow))
+    return both.withColumn("reach", reach).filter(pattern | (F.coalesce(F.col("reach"), F.lit(-1)) < F.col("end"))).drop("reach")
 
 
 def find(docs: DataFrame, carry: list[str], support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """doc (struct of ``carry``) and spans: structs (start, rank, end, kind, ratio), ordered; rank is the kind's place, terms last."""
     scanned = scan(docs, carry)
     spans = materialize(entities(scanned), "pii-spans")
-    near = materialize(neighbours(spans), "pii-near")
-    pairs = materialize(disclosing(near, spans, term_documents(docs), scanned.count(), support, threshold), "pii-pairs")
+    n_docs = scanned.count()
+    near = materialize(together(scanned, spans, term_documents(docs), n_docs, support, threshold), "pii-near")
+    pairs = materialize(disclosing(near, n_docs, support, threshold), "pii-pairs")
 
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     patterns = spans.select("rid", "start", rank.alias("rank"), "end", "kind", F.lit(None).cast("double").alias("ratio"))
     # Tables on both sides: a value that a third of all spans share is split at run time.
-    told = near.join(pairs, ["kind", "value", "term"]).select("rid", "start", "end", "ratio")
+    told = near.join(pairs, ["kind", "value", "term"]).groupBy("rid", "term").agg(F.max("ratio").alias("ratio"))
     placed = F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind", "ratio")))
-    per_row = _clear_of(patterns, told).groupBy("rid").agg(placed.alias("spans"))
+    per_row = _clear_of(patterns, occurrences(scanned, told)).groupBy("rid").agg(placed.alias("spans"))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,ratio:double>>")
     return scanned.select("rid", "doc").join(per_row, "rid", "left").select("doc", F.coalesce("spans", none).alias("spans"))
 

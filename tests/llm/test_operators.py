@@ -161,6 +161,52 @@ def test_telling_terms(ready):
     assert clean[0] == "The account of   uses mail <EMAIL> today and alpha" and clean[10] == texts[10]
 
 
+def terms_found(df, texts):
+    return {r.doc.doc_id: [texts[r.doc.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in pii.find(df, ["doc_id"]).collect()}
+
+
+def test_telling_terms_are_found_anywhere_in_the_document(ready):
+    far = "the usual words of no one at all " * 10
+    told = [(i, f"Quill, case AB12 of Ng\U0001f600, wrote zq@mail.org. {far}Then QUILL said so; {far}ng agreed on ab12.") for i in range(3)]
+    rest = [(10 + i, f"{far}Then one wrote of mail and said so; all agreed on case org.") for i in range(60)]
+    texts = dict(told + rest)
+    df = ready.createDataFrame(told + rest, "doc_id long, text string")
+    assert terms_found(df, texts) == {i: ["Quill", "AB12", "Ng", "QUILL", "ng", "ab12"] if i < 10 else [] for i in texts}
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[0] == f", case  of \U0001f600, wrote <EMAIL>. {far}Then  said so; {far} agreed on ." and clean[10] == texts[10]
+
+
+def test_pairs_pruned_by_df_are_below_the_threshold(ready, corpus):
+    """Terms of every document against a count without pruning, on documents that share invented addresses."""
+    import math
+    import re
+    from collections import Counter, defaultdict
+
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        own = [f"user{rnd.randint(0, 12)}@x.org" for _ in range(rnd.choice([0, 1, 1, 2]))]
+        names = [f"N{o[4:-6]}{rnd.choice('abc')}" for o in own if rnd.random() < 0.9]
+        words = own + names + [rnd.choice(vocabulary) for _ in range(rnd.randint(1, 25))]
+        rnd.shuffle(words)
+        rows.append((i, " ; ".join(words)))
+    held, df, both = defaultdict(set), Counter(), Counter()
+    terms = {i: Counter(w.lower() for w in re.findall(r"[^\W_]+", t)) for i, t in rows}
+    for i, t in rows:
+        df.update(terms[i].keys())
+        for s, _, e, k in brute.personal(t):
+            held[k, t[s:e]].add(i)
+    for e, ids in held.items():
+        both.update((e, w) for i in ids for w in terms[i])
+    tells = {(e, w) for (e, w), n in both.items() if n >= 2 and math.log2(n * len(rows) / (len(held[e]) * df[w])) / math.log2(len(rows) / len(held[e])) >= pii.GENERALISE}
+    want = {}
+    for i, t in rows:
+        bad, spans = {w for e, w in tells if i in held[e]}, brute.personal(t)
+        want[i] = [m[0] for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in bad and not any(s <= m.start() and m.end() <= e for s, _, e, _ in spans)]
+    assert any(want.values()) and terms_found(ready.createDataFrame(rows, "doc_id long, text string"), dict(rows)) == want
+
+
 def test_lm_scores(ready, corpus, odd, empty):
     held = lambda i: brute.crc(i) % 5 == 1
     want = brute.base_scores(corpus, held)
