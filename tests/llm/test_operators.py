@@ -176,6 +176,19 @@ def test_telling_terms_are_found_anywhere_in_the_document(ready):
     assert clean[0] == f", case  of \U0001f600, wrote <EMAIL>. {far}Then  said so; {far} agreed on ." and clean[10] == texts[10]
 
 
+def test_telling_terms_beyond_other_matches(ready):
+    """Between the entity and the name stand an unchecked match of its kind, or other entities of its kind."""
+    told = [f"{w} card 4111 1111 1111 1111 exp 12/27 for Zebulon" for w in ("alpha", "beta")]
+    told += [f"{w} Quill: +1 234 567 8901, +1 234 567 890{i}" for i, w in enumerate(("gamma", "delta"), 2)]
+    told += [f"{w} a@x.org, b{i}@x.org - Quark" for i, w in enumerate(("one", "two"))]
+    rest = [f"card exp 27 for org {w} {i}" for i in range(60) for w in ("12 x", "234 567 b")]
+    texts = dict(enumerate(told + rest))
+    found = terms_found(ready.createDataFrame(list(texts.items()), "doc_id long, text string"), texts)
+    for i, name in enumerate(("Zebulon", "Zebulon", "Quill", "Quill", "Quark", "Quark")):
+        assert name in found[i]
+    assert not any(found[i] for i in range(len(told), len(texts)))
+
+
 def test_pairs_pruned_by_df_are_below_the_threshold(ready, corpus):
     """Terms of every document against a count without pruning, on documents that share invented addresses."""
     import math
