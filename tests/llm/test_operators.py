@@ -238,6 +238,17 @@ def test_lm_scores(ready, corpus, odd, empty):
     assert all(r.n_known == 0 and r.train_tokens == 0 and np.isfinite(r.score) for r in unseen)
 
 
+def test_few_long_documents_have_a_bucket_for_every_block(ready, empty, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "BLOCK_CHARS", 1000)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(400))) for i in range(6)]
+    df = ready.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    used, cut = [], suffix_tree.blocks
+    monkeypatch.setattr(suffix_tree, "blocks", lambda docs, held_out, buckets: used.append(buckets) or cut(docs, held_out, buckets))
+    assert suffix_tree.score(df, F.lit(False)).filter("train_tokens = 2407").count() == 7
+    assert used[0] >= sum(len(t) for _, t in rows) / 1000
+    assert suffix_tree.score(empty, F.lit(False)).count() == 0 and used[1] == 1
+
+
 def test_tree_is_a_distribution_and_uses_longest_contexts(ready):
     rows = [(i, ("a b " * 30 + "c d " * 30).strip()) for i in range(50)]
     df = ready.createDataFrame(rows, "doc_id long, text string")
