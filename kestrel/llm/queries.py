@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import ann, bpe_chunks, chat, exact_dedup, packing, pii, quality, simhash, suffix_tree, token_counts
+from kestrel.llm import ann, bpe_chunks, chat, exact_dedup, hard_negatives, packing, periodic, pii, quality, rules, simhash, suffix_tree, token_counts
 from kestrel.llm.common import id_bucket, read_table
 from kestrel.llm.encoders import default_path
 
@@ -116,6 +116,98 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(every.filter(F.col("id") % 50 == 0), every)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to five hard negatives of each of the five positives of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.items(read_table(spark, sf_dir, "embeddings"), "vec_id", label, hard_negatives.scaled(F.col("embedding")))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.vec, c.vec) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth document (by the crc32 of its id) repeats one stretch from some word on. Rows without an id are left alone."""
+    some = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    g = F.floor(F.col("h") / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = some.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    a = F.when(F.col("n") > 0, g % F.col("n")).cast("int")
+    p = (F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + g % 8))).cast("int")
+    placed = chosen.withColumn("a", a).withColumn("p", p).withColumn("times", F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))
+    root = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(root, F.col("times"))))
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.slice(again, F.lit(1), F.col("n")), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all runs of every document, its strongest run, and its text without what the runs repeat."""
+    found = periodic.periodic_runs(repeating(read_table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether the base rules and the cascade keep it."""
+    judged = rules.judge(read_table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 20) | (F.lit(100) * F.col("n_repeat_words") > F.lit(30) * F.col("n_words"))
+    return judged.select("doc_id", *rules.FIGURES, failed.alias("base_failed"), (~failed & F.col("passed")).alias("kept"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), win AS (
+  SELECT rid, i, array_to_string(w[i:i+7], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d)
+), twice AS (
+  SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, g) > 1
+), rep AS (
+  SELECT rid, count(DISTINCT i + j) AS n FROM (SELECT rid, i, unnest(range(8)) AS j FROM twice) GROUP BY rid
+), top AS (
+  SELECT rid, max(c) AS n FROM (SELECT rid, x, count(*) AS c FROM (SELECT rid, unnest(w) AS x FROM d) GROUP BY rid, x) GROUP BY rid
+), f AS (
+  SELECT doc_id, text, lines, len(w) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(top.n, 0) AS commonest
+  FROM d LEFT JOIN rep USING (rid) LEFT JOIN top USING (rid)
+), j AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         10 * n_symbols > n_words OR 10 * word_chars < 25 * n_words OR word_chars > 15 * n_words OR 10 * n_dup_lines > 3 * len(lines)
+         OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) > 3 * len(lines)
+         OR length(regexp_replace(text, '[^A-Z]+', '', 'g')) > length(regexp_replace(text, '[^a-z]+', '', 'g'))
+         OR 5 * length(regexp_replace(text, '[^!?]+', '', 'g')) > n_words OR 10 * commonest > 3 * n_words AS rejected
+  FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM j
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
@@ -127,5 +219,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
     "op10_ann": op10_ann,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_rules": op13_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op9_chat": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op9_chat": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op13_quality_rules": OP13_SQL}
