@@ -251,6 +251,27 @@ def _null_rows(fields: Sequence[T.StructField], n: Column, table: str, max_null_
     return F.array(*rows)
 
 
+def batch_metrics(fields: Sequence[T.StructField], ts_column: str | None) -> list[Column]:
+    """Rows, missing values per column and newest event time, as aggregates: for ``observe`` on a write."""
+    counts = [F.sum(is_missing(f).cast("bigint")).alias(f"__nulls_{f.name}") for f in fields]
+    newest = [F.max(F.col(ts_column).cast("timestamp")).alias("newest")] if ts_column else []
+    return [F.count(F.lit(1)).alias("__n"), *counts, *newest]
+
+
+def metric_results(spark: SparkSession, metrics: dict, fields: Sequence[T.StructField], table: str, max_null_rate: float,
+                   ts_column: str | None, max_age: dt.timedelta, as_of=None) -> DataFrame:
+    """The null-rate and freshness results that ``batch_metrics`` of one batch give (no rows: freshness only)."""
+    names = ["__n", *[f"__nulls_{f.name}" for f in fields]]
+    schema = ", ".join([*[f"`{c}` bigint" for c in names], "newest timestamp"])
+    stats = spark.createDataFrame([(*[metrics.get(c) or 0 for c in names], metrics.get("newest"))], schema)
+    now = _now(as_of)
+    out = stats.where(F.col("__n") > 0).select(F.inline(_null_rows(fields, F.col("__n"), table, max_null_rate, now, None)))
+    if ts_column:
+        passed, msg = _freshness_fields(F.col("newest"), F.col("__n"), now, max_age, ts_column)
+        out = out.unionByName(stats.select(F.inline(F.array(_row("freshness", table, passed, "error", msg, now)))))
+    return out
+
+
 def null_rate(df: DataFrame, table: str, max_null_rate: float = DEFAULT_MAX_NULL_RATE, as_of=None) -> DataFrame:
     """One result per column (``null_rate[col]``); an empty frame gives no results."""
     fields = df.schema.fields

@@ -5,6 +5,7 @@ baselines. Each is a DataFrame job; no driver-side loops over data.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -115,6 +116,37 @@ def sentiment(docs: DataFrame, group: str, lexicon: dict[str, float] | None = No
     )
 
 
+def mention_sentiment(docs: DataFrame, names: Sequence[str], within: int = 10, lexicon: dict[str, float] | None = None,
+                      text: str = "text") -> DataFrame:
+    """Per company: documents and mentions of it, the lexicon words within ``within`` tokens of a mention, and their mean weight.
+
+    A name is matched on token boundaries. The tokens near any mention of a name are a set of places, so a word counts
+    once for a name however many mentions it is near; the name's own tokens never count. All of it happens within the row, in
+    time linear in the text and ``within`` * mentions; one row per document and company found is aggregated.
+    """
+    words = lexicon or LEXICON
+    weights = F.create_map(*[F.lit(x) for pair in sorted(words.items()) for x in pair])
+    split = {n: [t for t in re.split(r"[\W_]+", n.lower()) if t] for n in names}
+    lengths = sorted({len(t) for t in split.values() if t})
+    each = docs.select(tokens(F.col(text)).alias("__t")).select("__t", *[ngrams(F.col("__t"), k).alias(f"__g{k}") for k in lengths])
+
+    def told(name: str, toks: list[str]) -> Column:
+        k = len(toks)
+        starts = F.filter(F.transform(f"__g{k}", lambda g, i: F.when(g == " ".join(toks), i)), lambda i: i.isNotNull())
+        return F.struct(F.lit(name).alias("company"), F.lit(k).alias("k"), starts.alias("starts"))
+
+    found = F.filter(F.array(*[told(n, t) for n, t in split.items() if t]), lambda x: F.size(x["starts"]) > 0)
+    rows = each.select("__t", F.explode(found).alias("m"))
+    near = F.flatten(F.transform("m.starts", lambda i: F.sequence(F.greatest(i - within, F.lit(0)), F.least(i + F.col("m.k") - 1 + within, F.size("__t") - 1))))
+    own = F.flatten(F.transform("m.starts", lambda i: F.sequence(i, i + F.col("m.k") - 1)))
+    heard = rows.select(F.col("m.company").alias("company"), F.size("m.starts").cast("bigint").alias("n"), "__t", F.array_except(near, own).alias("__at"))
+    heard = heard.select("company", "n", F.filter(F.transform("__at", lambda i: weights[F.get("__t", i)]), lambda w: w.isNotNull()).alias("__w"))
+    agg = heard.groupBy("company").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n").alias("mentions"), F.sum(F.size("__w")).cast("bigint").alias("hits"),
+        F.sum(F.aggregate("__w", F.lit(0.0), lambda a, w: a + w)).alias("__sum"))
+    return agg.select("company", "documents", "mentions", "hits", F.round(F.when(F.col("hits") > 0, F.col("__sum") / F.col("hits")), 6).alias("score"))
+
+
 # --- X11 hiring -----------------------------------------------------------------------------
 # Role families (fixed values): first matching rule wins, else "other".
 ROLE_FAMILIES = [
@@ -145,14 +177,33 @@ def hiring_signals(listings: DataFrame) -> DataFrame:
     )
 
 
-def hiring_spike(listings: DataFrame, scraped_on: str = "scraped_on", days: int = 7, sigma: float = 3.0) -> DataFrame:
-    """Open roles per company and scrape day against the company's trailing ``days``-day baseline.
+def posting_periods(listings: DataFrame, posting: str = "source_url", scraped_on: str = "scraped_on", snapshots: DataFrame | None = None) -> DataFrame:
+    """When each posting of each company was open: company, ``posting``, opened, closed.
 
-    ``listings`` is the history of landed listings with the day each snapshot was scraped.
-    The window runs per company over its daily counts (one row per company and day).
+    A company's board is looked at on its snapshot days: those of ``snapshots`` (company, day), which also holds days on
+    which a board was empty, or else those on which it had a posting. A period is a stretch of neighbouring snapshots that all
+    show the posting; it is closed on the first snapshot without it (null: still open on the last one). The windows run over
+    a company's days and a posting's days, never over raw rows.
     """
-    counts = listings.groupBy("company", F.col(scraped_on).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return rolling_baseline(counts, "company", days=days, sigma=sigma).withColumn("spike", ~F.col("passed"))
+    shown = listings.select("company", posting, F.col(scraped_on).cast("date").alias("day")).dropna().distinct()
+    days = shown.select("company", "day") if snapshots is None else snapshots.select("company", F.col("day").cast("date").alias("day")).union(shown.select("company", "day"))
+    following = days.distinct().withColumn("__next", F.lead("day").over(Window.partitionBy("company").orderBy("day")))
+    own = Window.partitionBy("company", posting).orderBy("day")
+    rows = shown.join(following, ["company", "day"]).withColumn("__new", F.coalesce(F.lag("__next").over(own) != F.col("day"), F.lit(True)).cast("int"))
+    rows = rows.withColumn("__period", F.sum("__new").over(own))
+    return rows.groupBy("company", posting, "__period").agg(F.min("day").alias("opened"), F.max_by("__next", "day").alias("closed")).drop("__period")
+
+
+def hiring_activity(periods: DataFrame, days: int = 7, sigma: float = 3.0) -> DataFrame:
+    """Openings and closings per company and day, and whether the openings stand out from the trailing ``days`` days."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    opened = periods.select("company", F.col("opened").alias("day"), one.alias("n"), none.alias("closings"))
+    closed = periods.where(F.col("closed").isNotNull()).select("company", F.col("closed").alias("day"), none.alias("n"), one.alias("closings"))
+    daily = opened.unionByName(closed).groupBy("company", "day").agg(F.sum("n").alias("n"), F.sum("closings").alias("closings"))
+    checked = rolling_baseline(daily.select("company", "day", "n"), "company", days=days, sigma=sigma)
+    out = checked.join(daily.select("company", "day", "closings"), ["company", "day"], "left")
+    return out.select("company", "day", F.col("n").alias("openings"), F.coalesce("closings", none).alias("closings"), "baseline_mean", "z",
+                      (~F.col("passed") & (F.col("z") > 0)).alias("spike"))
 
 
 # --- X12 keyword alerts ---------------------------------------------------------------------
@@ -193,11 +244,14 @@ def keyword_alerts(docs: DataFrame, id_col: str, segment_col: str, table: str, t
 # --- X14 peer ranks -------------------------------------------------------------------------
 def peer_rank(gold: DataFrame, peers: DataFrame, metric: str = "total_stars", peer_col: str = "peer_group",
               buckets: int = 32) -> DataFrame:
-    """Dense rank and share of ``metric`` within each company's peer group (skew-safe rank)."""
-    j = gold.join(peers, "org", "inner")
+    """Dense rank and share of ``metric`` within each company's peer group (skew-safe rank).
+
+    Companies without a peer group, or missing from ``peers``, form the group null.
+    """
+    j = gold.join(peers, "org", "left")
     ranked = rank_within(j, peer_col, metric, out="peer_rank", method="dense_rank", buckets=buckets)
-    totals = j.groupBy(peer_col).agg(F.sum(metric).alias("__peer_total"))
-    out = ranked.join(totals, peer_col, "inner")
+    totals = j.groupBy(F.col(peer_col).alias("__group")).agg(F.sum(metric).alias("__peer_total"))
+    out = ranked.join(totals, ranked[peer_col].eqNullSafe(totals["__group"]), "inner")
     return out.select(
         "org", peer_col, metric, "peer_rank",
         F.round(F.when(F.col("__peer_total") != 0, F.col(metric) / F.col("__peer_total")), 6).alias("peer_share"),
@@ -221,19 +275,61 @@ def snapshot_delta(history: DataFrame, key: str, ts: str, metrics: Sequence[str]
 def page_extract(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """Title, first heading, language, link count and visible text length of whole pages."""
     h = F.col(html)
-    body = h
-    for pattern in (r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->"):
-        body = F.regexp_replace(body, pattern, " ")
+    body = without_scripts(h)
     return pages.select(
         id_col,
         html_text(F.regexp_extract(h, r"(?s)<title[^>]*>(.*?)</title>", 1)).alias("title"),
         html_text(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1)).alias("heading"),
-        F.regexp_extract(h, r'<html[^>]*\blang="([^"]*)"', 1).alias("lang"),
+        F.regexp_extract(h, r"""<html[^>]*\blang\s*=\s*["']([^"']*)["']""", 1).alias("lang"),
         F.size(F.regexp_extract_all(h, F.lit(r"<a\s[^>]*href="), 0)).cast("bigint").alias("links"),
         F.length(html_text(body)).cast("bigint").alias("text_chars"),
     )
 
 
+# Tags that end a block of text (fixed values).
+BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
+BLOCK_SPLIT = rf"(?i)</?({BLOCK_TAGS})(\s[^>]*)?/?>"
+MIN_BLOCK_CHARS, MAX_LINK_PERCENT = 25, 33
+ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
+
+
+def without_scripts(h: Column) -> Column:
+    for pattern in (r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->"):
+        h = F.regexp_replace(h, pattern, " ")
+    return h
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
+    """Id, main text and block counts: blocks of text of some length of which at most a third is link text, joined by line breaks.
+
+    Blocks are what lies between block tags, so menus and link lists, whose text is all links, drop out.
+    """
+    blocks = F.split(without_scripts(F.coalesce(F.col(html), F.lit(""))), BLOCK_SPLIT)
+    each = pages.select(id_col, F.transform(blocks, lambda x: F.struct(
+        html_text(x).alias("text"), html_text(F.array_join(F.regexp_extract_all(x, F.lit(ANCHOR), 0), "")).alias("linked"))).alias("__b"))
+
+    def kept(x: Column) -> Column:
+        return (F.length(x["text"]) >= MIN_BLOCK_CHARS) & (F.length(x["linked"]) * 100 <= F.length(x["text"]) * MAX_LINK_PERCENT)
+
+    main = each.select(id_col, F.size(F.filter("__b", lambda x: x["text"] != "")).cast("bigint").alias("blocks"), F.filter("__b", kept).alias("__k"))
+    return main.select(id_col, "blocks", F.size("__k").cast("bigint").alias("main_blocks"), F.array_join(F.transform("__k", lambda x: x["text"]), "\n").alias("text"))
+
+
+def page_links(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
+    """A row per link: id, position on the page, href (either quote style, or none) and text."""
+    each = pages.select(id_col, F.posexplode(F.regexp_extract_all(without_scripts(F.col(html)), F.lit(ANCHOR), 0)).alias("position", "__a"))
+    tag = F.regexp_extract("__a", r"(?s)^<[^>]*>", 0)
+    href = F.coalesce(*[F.nullif(F.regexp_extract(tag, p, 1), F.lit("")) for p in (r'(?i)\shref\s*=\s*"([^"]*)"', r"(?i)\shref\s*=\s*'([^']*)'", r"""(?i)\shref\s*=\s*([^\s"'>]+)""")])
+    return each.select(id_col, "position", href.alias("href"), html_text(F.col("__a")).alias("text"))
+
+
+def page_headings(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
+    """A row per heading: id, position among the page's headings, level and text."""
+    found = F.regexp_extract_all(without_scripts(F.col(html)), F.lit(r"(?is)<h[1-6][\s>].*?</h[1-6]>"), 0)
+    each = pages.select(id_col, F.posexplode(found).alias("position", "__h"))
+    return each.select(id_col, "position", F.substring("__h", 3, 1).cast("int").alias("level"), html_text(F.col("__h")).alias("text"))
+
+
 # --- E1 mention matching --------------------------------------------------------------------
 # Tracked company names (fixed values).
 TRACKED_NAMES = ["databricks", "snowflake-labs", "apache", "dbt-labs"]
@@ -243,12 +339,35 @@ def name_frame(spark: SparkSession, names: Sequence[str] | None = None) -> DataF
     return spark.createDataFrame([(n,) for n in (names or TRACKED_NAMES)], "name string")
 
 
+#: Bits of the fixed-size set of hashed first tokens (128 KB).
+FIRST_BITS = 1 << 20
+
+
+def _first_tokens(grams: DataFrame) -> bytes:
+    """The hashed first tokens of all names as a bit set of fixed size, whatever the number of names."""
+    slot = F.pmod(F.xxhash64(F.substring_index("gram", " ", 1)), F.lit(FIRST_BITS))
+    of_byte = grams.select(slot.alias("s")).groupBy(F.shiftright("s", 3).alias("byte")).agg(F.bit_or(F.shiftleft(F.lit(1), (F.col("s") % 8).cast("int"))).alias("bits"))
+    bits = bytearray(FIRST_BITS // 8)
+    for r in of_byte.collect():
+        bits[r["byte"]] = r["bits"]
+    return bytes(bits)
+
+
+def candidate_grams(toks: Column, lengths: Sequence[int], first: bytes) -> Column:
+    """The n-grams of the given lengths that begin with a token in the bit set ``first``; other places form none."""
+    hashed = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(FIRST_BITS)))
+    byte = lambda s: F.conv(F.hex(F.substring(F.lit(first), (F.shiftright(s, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    places = F.filter(F.transform(hashed, lambda s, i: F.when(F.shiftright(byte(s), (s % 8).cast("int")).bitwiseAND(1) == 1, i)), lambda i: i.isNotNull())
+    at = lambda i: F.array(*[F.when(i + k <= F.size(toks), F.array_join(F.slice(toks, i + 1, F.lit(k)), " ")) for k in lengths])
+    return F.array_compact(F.flatten(F.transform(places, at)))
+
+
 def mention_match(docs: DataFrame, names: Sequence[str] | DataFrame, id_col: str, text: str = "text") -> DataFrame:
     """Occurrences of each name in each whole text, on token boundaries, case-insensitive.
 
-    Names are tokenised like the text; a k-token name matches k consecutive tokens, however many.
-    A list of names is a literal: n-grams are tested within the row and only hits leave it. A name
-    table of any size is joined with the n-grams of the lengths that occur in it.
+    Names are tokenised like the text; a k-token name matches k consecutive tokens, however many. A list of names
+    is a literal: n-grams are tested within the row and only hits leave it. A name table of any size is joined with
+    n-grams; only places whose token starts some name (by a bit set of fixed size) form any.
     """
     t = docs.select(id_col, tokens(F.col(text)).alias("__t"))
     table = names if isinstance(names, DataFrame) else name_frame(docs.sparkSession, names)
@@ -256,11 +375,12 @@ def mention_match(docs: DataFrame, names: Sequence[str] | DataFrame, id_col: str
     lengths = sorted(r["k"] for r in nm.select("k").distinct().collect())
     if not lengths:
         return docs.sparkSession.createDataFrame([], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, name string, mentions bigint")
-    grams = [ngrams(F.col("__t"), k) for k in lengths]
-    every = F.concat(*grams) if len(grams) > 1 else grams[0]
-    if not isinstance(names, DataFrame):
+    if isinstance(names, DataFrame):
+        every = candidate_grams(F.col("__t"), lengths, _first_tokens(nm))
+    else:
+        grams = [ngrams(F.col("__t"), k) for k in lengths]
         wanted = [r["gram"] for r in nm.select("gram").distinct().collect()]
-        every = F.filter(every, lambda g: g.isin(*wanted))
+        every = F.filter(F.concat(*grams) if len(grams) > 1 else grams[0], lambda g: g.isin(*wanted))
     hits = t.select(id_col, F.explode(every).alias("gram")).join(nm.select("name", "gram"), "gram")
     return hits.groupBy(id_col, "name").agg(F.count(F.lit(1)).alias("mentions"))
 

@@ -6,14 +6,11 @@ Rules per column on a key conflict:
   * stamp     - set to ``as_of`` on every row the batch touches.
 
 A batch may hold the same key several times (rows are applied in arrival order ``seq``):
-kept columns take the first row, refreshed the last. The batch is first collapsed per
-key with ``min_by`` / ``max_by`` (partial aggregates, skew-safe), so the merge sees
-unique keys on both sides.
-
-Two physical strategies give the same rows:
-  * small batch (row count proven under a bound): the batch is broadcast; the target is
-    streamed once through a broadcast left join and never shuffled;
-  * large batch: full outer shuffle join on the key.
+kept columns take the first row, refreshed the last. A row without ``seq`` counts as the earliest; rows of
+one ``seq`` are ordered by their values. The batch is first collapsed per key with ``min_by`` / ``max_by``
+(partial aggregates, skew-safe), so the merge, a full outer join on the key, sees unique keys on both sides.
+
+``sinks.keyed`` applies a rule to stored tables, bucket by bucket.
 """
 
 from __future__ import annotations
@@ -72,10 +69,12 @@ def collapse_batch(batch: DataFrame, rule: UpsertRule, seq: str | None) -> DataF
         one = batch.groupBy(*keys).agg(F.max(F.struct(*values)).alias("__v"))
         return one.select(*keys, *[F.col("__v")[c].alias(c) for c in values])
     aggs = []
+    # Never null, so that no row is passed over: a row without a place in the order comes first.
+    arrival = F.struct(F.col(seq).isNotNull(), F.col(seq), F.struct(*rule.kept, *rule.refreshed))
     if rule.kept:
-        aggs.append(F.min_by(F.struct(*rule.kept), F.col(seq)).alias("__k"))
+        aggs.append(F.min_by(F.struct(*rule.kept), arrival).alias("__k"))
     if rule.refreshed:
-        aggs.append(F.max_by(F.struct(*rule.refreshed), F.col(seq)).alias("__r"))
+        aggs.append(F.max_by(F.struct(*rule.refreshed), arrival).alias("__r"))
     out = batch.groupBy(*keys).agg(*aggs)
     return out.select(
         *keys,
@@ -88,7 +87,7 @@ def upsert(target: DataFrame, batch: DataFrame, rule: UpsertRule, seq: str | Non
            as_of=None) -> DataFrame:
     """The new full state of the keyed table after applying ``batch`` to ``target``.
 
-    A full outer join on the key; where the store can merge in place, use ``merge_into``.
+    A full outer join on the key; ``sinks.keyed`` runs it on the touched buckets of a stored table.
     """
     keys = list(rule.key)
     cols = keys + list(rule.kept) + list(rule.refreshed)

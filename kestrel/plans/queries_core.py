@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kestrel.operators import rollup
 from kestrel.plans import bindings as b
 from kestrel.plans.registry import AS_OF, AS_OF_SQL, ntz, register
-from kestrel.session import materialize
+from kestrel.session import scratch_path
+from kestrel.sinks import keyed
 
 
 def _repos(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,15 +103,13 @@ SELECT 'https://news.example.com/u/' || company || '/' || title AS story_url, co
 FROM ({b.STORIES_SQL})"""
 
 
-def _two_loads(target_empty: DataFrame, rows: DataFrame, ts: str, split: str, rule, seq: str) -> DataFrame:
+def _two_loads(spark: SparkSession, name: str, rows: DataFrame, ts: str, split: str, seq: str) -> DataFrame:
+    """Both loads into a bucketed keyed table; the second replaces only the buckets it touches."""
     cut = F.lit(split).cast("timestamp")
-    load1 = rows.where(F.col(ts) < cut)
-    load2 = rows.where(F.col(ts) >= cut)
-    state1 = upsert.upsert(target_empty, load1, rule, seq=seq, as_of=LOAD1_AT)
-    # The first day's table is written under the shared folder, as the daily job reads a
-    # written table: the second merge does not recompute the first.
-    state1 = materialize(state1, "upsert-day1")
-    return upsert.upsert(state1, load2, rule, seq=seq, as_of=LOAD2_AT)
+    table = keyed.keyed_table(scratch_path(spark, "keyed"), name, buckets=16)
+    for load, at in ((rows.where(F.col(ts) < cut), LOAD1_AT), (rows.where(F.col(ts) >= cut), LOAD2_AT)):
+        table.upsert(load, upsert.RULES[name], seq=seq, as_of=at)
+    return table.read(spark)
 
 
 def _upsert_oracle(src_sql: str, key: str, kept: list[str], refreshed: list[str], ts: str, split: str,
@@ -142,8 +141,7 @@ FROM a"""
 )
 def upsert_stories(spark: SparkSession, sf: str) -> DataFrame:
     """Two loads into the story table: kept columns from the first arrival, counters refreshed."""
-    out = _two_loads(upsert.empty_table(spark, "hn_stories"), _coarse_stories(spark, sf), "created_at",
-                     STORY_SPLIT, upsert.STORIES_RULE, "seq")
+    out = _two_loads(spark, "hn_stories", _coarse_stories(spark, sf), "created_at", STORY_SPLIT, "seq")
     return ntz(out)
 
 
@@ -159,13 +157,11 @@ FROM (SELECT *, CAST(split_part(full_name, '/', 2) AS BIGINT) AS seq FROM ({b.RE
                    list(upsert.REPOS_RULE.refreshed), "pushed_at", REPO_SPLIT, "seq"),
 )
 def upsert_repos(spark: SparkSession, sf: str) -> DataFrame:
-    """Two loads into the repo table (shuffle merge path): org/name kept, metrics refreshed."""
+    """Two loads into the repo table: org/name kept, metrics refreshed."""
     orders = b.table(spark, sf, "orders")
     r = b.repos(orders).withColumn("seq", F.col("name").cast("bigint"))
     r = r.withColumn("full_name", F.concat(F.col("org"), F.lit("/"), F.col("language")))
-    out = _two_loads(upsert.empty_table(spark, "github_repos"), r, "pushed_at", REPO_SPLIT,
-                     upsert.REPOS_RULE, "seq")
-    return ntz(out)
+    return ntz(_two_loads(spark, "github_repos", r, "pushed_at", REPO_SPLIT, "seq"))
 
 
 # --- dedup, last wins --------------------------------------------------------------------------

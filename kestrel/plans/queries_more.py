@@ -13,8 +13,8 @@ from kestrel.plans import bindings as b
 from kestrel.plans import landing
 from kestrel.plans.queries_dq import REPO_NULL_COLS, _suite_sql
 from kestrel.plans.registry import AS_OF, ntz, register
-from kestrel.session import scratch_path
-from kestrel.sinks import lake, topic
+from kestrel.session import materialize, scratch_path
+from kestrel.sinks import cluster, keyed, lake, topic
 from kestrel.sources import landing as landed
 from kestrel.sources import payloads
 from kestrel.streaming import ingest, windows
@@ -33,9 +33,7 @@ def recent_stories_for_company(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(newest.recent_stories(stories, "1").select("story_url", "company", "title", "points", "created_at"))
 
 
-@register(
-    "payload_quarantine",
-    """
+QUARANTINE_SQL = """
 SELECT 'repos' AS source, CAST(o_custkey AS VARCHAR) AS company,
        CASE o_orderstatus WHEN 'P' THEN 'unparsable page' WHEN 'F' THEN 'missing stars' ELSE 'valid' END AS outcome,
        count(*) AS records
@@ -44,35 +42,76 @@ UNION ALL
 SELECT 'stories', CAST(user_id AS VARCHAR),
        CASE WHEN event_type IN ('error', 'view') THEN 'unparsable page' WHEN event_type = 'click' THEN 'bad points' ELSE 'valid' END,
        count(*)
-FROM events GROUP BY ALL""",
-)
+FROM events GROUP BY ALL
+UNION ALL
+SELECT 'posts', CAST(user_id AS VARCHAR),
+       CASE WHEN event_type IN ('error', 'view') THEN 'unparsable page' WHEN event_type = 'click' THEN 'bad score' ELSE 'valid' END,
+       count(*)
+FROM events GROUP BY ALL
+UNION ALL
+SELECT 'contributors', CAST(l_suppkey AS VARCHAR),
+       CASE l_returnflag WHEN 'R' THEN 'unparsable page' WHEN 'A' THEN 'missing contributions' ELSE 'valid' END, count(*)
+FROM lineitem GROUP BY ALL
+UNION ALL
+SELECT 'facts', c_name,
+       CASE WHEN c_nationkey % 5 = 0 THEN 'status 500' WHEN c_nationkey % 5 = 1 THEN 'unparsable page' ELSE 'valid' END, count(*)
+FROM customer WHERE c_nationkey % 5 <> 2 GROUP BY ALL"""
+
+ERROR_PAGE = "<html><body>503</body></html>"
+
+
+@register("payload_quarantine", QUARANTINE_SQL.replace("WHERE c_nationkey % 5 <> 2", "WHERE c_nationkey - 5 * (c_nationkey // 5) <> 2"))
 def payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """Truncated pages, web pages, numbers that do not fit and numbers sent as text: every page sent is valid or quarantined."""
+    """Truncated pages, web pages, numbers that do not fit, error responses: every page sent to any of the five parsers is valid or quarantined."""
+    bad_number = F.lit("3000000000")
+
+    def counted(tagged: DataFrame, source: str, company: str) -> DataFrame:
+        outcome = F.coalesce(F.col(payloads.BAD), F.lit("valid")).alias("outcome")
+        return tagged.groupBy(F.lit(source).alias("source"), F.col(company).alias("company"), outcome).agg(F.count(F.lit(1)).alias("records"))
+
     status = F.col("o_orderstatus")
     record = F.to_json(F.struct(
         F.col("o_orderkey").cast("string").alias("name"), F.col("o_orderkey").cast("string").alias("full_name"), F.lit("x").alias("language"),
-        F.when(status == "F", F.lit("3000000000")).otherwise(F.lit("12")).alias("stars"), F.lit(0).alias("forks"), F.lit(0).alias("open_issues"),
+        F.when(status == "F", bad_number).otherwise(F.lit("12")).alias("stars"), F.lit(0).alias("forks"), F.lit(0).alias("open_issues"),
         F.date_format(F.col("o_orderdate").cast("timestamp"), landing.ISO).alias("pushed_at")))
     page = F.concat(F.lit("["), record, F.when(status == "P", F.lit(",")).otherwise(F.lit("]")))
     repo_pages = b.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("org"), page.alias("payload"))
-    good_repos, bad_repos = payloads.parse_repos(repo_pages, with_quarantine=True)
 
     kind = F.col("event_type")
-    hit = F.to_json(F.struct(F.array(F.struct(
-        F.lit("t").alias("title"), F.when(kind == "click", F.lit("3000000000")).otherwise(F.lit("7")).alias("points"),
-        F.date_format(F.col("ts").cast("timestamp"), landing.ISO).alias("created_at"))).alias("hits")))
-    sent = F.when(kind == "error", F.substring(hit, 1, 25)).when(kind == "view", F.lit("<html><body>503</body></html>")).otherwise(hit)
-    story_pages = b.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("company"), sent.alias("payload"))
-    good_stories, bad_stories = payloads.parse_stories(story_pages, with_quarantine=True)
+    number = F.when(kind == "click", bad_number).otherwise(F.lit("7"))
+    company = F.col("user_id").cast("string").alias("company")
 
-    def outcome(df: DataFrame, source: str, company: str, value) -> DataFrame:
-        return df.select(F.lit(source).alias("source"), F.col(company).alias("company"), value.alias("outcome"))
+    def broken(whole):
+        return F.when(kind == "error", F.substring(whole, 1, 25)).when(kind == "view", F.lit(ERROR_PAGE)).otherwise(whole).alias("payload")
 
-    rows = (
-        outcome(good_repos, "repos", "org", F.lit("valid")).unionByName(outcome(bad_repos, "repos", "org", F.col(payloads.BAD)))
-        .unionByName(outcome(good_stories, "stories", "company", F.lit("valid"))).unionByName(outcome(bad_stories, "stories", "company", F.col(payloads.BAD)))
-    )
-    return rows.groupBy("source", "company", "outcome").agg(F.count(F.lit(1)).alias("records"))
+    hit = F.to_json(F.struct(F.array(F.struct(
+        F.lit("t").alias("title"), number.alias("points"), F.date_format(F.col("ts").cast("timestamp"), landing.ISO).alias("created_at"))).alias("hits")))
+    post = F.to_json(F.struct(F.struct(F.array(F.struct(F.struct(
+        F.lit("t").alias("title"), number.alias("score"), F.lit("/p").alias("permalink")).alias("data"))).alias("children")).alias("data")))
+    events = b.table(spark, sf, "events")
+
+    flag = F.col("l_returnflag")
+    entry = F.to_json(F.struct(F.lit("x").alias("login"), F.when(flag != "A", F.lit(3)).alias("contributions")))
+    contributors = b.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("company"), F.when(flag == "R", F.lit(ERROR_PAGE)).otherwise(F.concat(F.lit("["), entry, F.lit("]"))).alias("payload"))
+
+    customer, case = b.table(spark, sf, "customer"), F.col("c_nationkey") % 5
+    searches = customer.select(F.col("c_name").alias("name"), F.lit('{"query":{"search":[{"title":"T"}]}}').alias("payload"))
+    summaries = customer.select(
+        F.col("c_name").alias("name"), F.when(case == 0, F.lit(500)).when(case == 2, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+        F.when(case <= 1, F.lit(ERROR_PAGE)).otherwise(F.lit('{"extract":"e"}')).alias("payload"))
+
+    parts = [
+        counted(payloads.parse_repos(repo_pages, tagged=True), "repos", "org"),
+        counted(payloads.parse_stories(events.select(company, broken(hit)), tagged=True), "stories", "company"),
+        counted(payloads.parse_posts(events.select(company, F.lit("s").alias("subreddit"), broken(post)), tagged=True), "posts", "company"),
+        counted(payloads.parse_contributors(contributors, tagged=True), "contributors", "company"),
+        counted(payloads.parse_facts(payloads.resolve_titles(searches), summaries, tagged=True), "facts", "name"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def _listings(customer: DataFrame) -> DataFrame:
@@ -154,12 +193,12 @@ def upsert_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Company facts into a bootstrapped table, then a second load that refreshes some of them."""
     customer = b.table(spark, sf, "customer")
     facts = payloads.parse_facts(payloads.resolve_titles(landing.search_pages(customer)), landing.summary_pages(customer)).drop("scraped_at")
-    root = scratch_path(spark, "facts")
-    lake.bootstrap(spark, root, {"wikipedia_companies": schemas.ENTITY_SCHEMAS["wikipedia_companies"]})
-    table = lake.VersionedTable(spark, f"{root}/wikipedia_companies")
+    table = keyed.keyed_table(scratch_path(spark, "facts"), "wikipedia_companies", buckets=16)
+    table.create(spark)
+    facts = materialize(facts, "facts-parsed")
     for batch, at in ((facts, dt.datetime(2024, 1, 16)), (facts.where(F.length("name") % 2 == 0).withColumn("summary", F.upper("summary")), AS_OF)):
-        table.write(upsert.upsert(table.read(), batch, upsert.FACTS_RULE, as_of=at))
-    return ntz(table.read().select("name", "title", "summary", "description", "url", "thumbnail_url", "scraped_at"))
+        table.upsert(batch, upsert.FACTS_RULE, as_of=at)
+    return ntz(table.read(spark).select("name", "title", "summary", "description", "url", "thumbnail_url", "scraped_at"))
 
 
 @register(
@@ -226,11 +265,11 @@ def gold_empty_sides(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("compacted_silver", f"SELECT full_name, org, language, stars FROM ({b.REPOS_SQL})")
 def compacted_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """A published table compacted and clustered by company: the same rows."""
-    path = scratch_path(spark, "compacted")
-    lake.write_gold(b.repos(b.table(spark, sf, "orders")).select("full_name", "org", "language", "stars"), path)
-    lake.optimize_table(spark, path, ["org"])
-    return lake.read_gold(spark, path)
+    """A table compacted and clustered by company and stars together: the same rows."""
+    path, target = scratch_path(spark, "silver"), scratch_path(spark, "compacted")
+    lake.write_silver(b.repos(b.table(spark, sf, "orders")).select("full_name", "org", "language", "stars"), path)
+    cluster.compact(spark, path, target, ["org", "stars"], file_bytes=1 << 18)
+    return spark.read.parquet(target)
 
 
 @register(

@@ -370,11 +370,11 @@ def competitor_delta(spark: SparkSession, sf: str) -> DataFrame:
 
     repos = b.repos(b.table(spark, sf, "orders"))
     stories = b.stories(b.table(spark, sf, "events"))
-    table = lake.VersionedTable(spark, scratch_path(spark, "gold-history"))
+    path = scratch_path(spark, "gold-history")
     day1 = rollup.company_signals(repos.where(F.col("pushed_at") < F.lit("1998-01-01").cast("timestamp")),
                                   stories.where(F.col("created_at") < F.lit("2024-01-16").cast("timestamp")),
                                   as_of=DAY1_AT)
-    table.write(day1)
-    table.write(rollup.company_signals(repos, stories, as_of=AS_OF))
-    history = table.read_all()
+    lake.write_gold(day1, path, DAY1_AT)
+    lake.write_gold(rollup.company_signals(repos, stories, as_of=AS_OF), path, AS_OF)
+    history = lake.read_history(spark, path)
     return ntz(signals.snapshot_delta(history, "org", "computed_at", ["total_stars", "hn_mentions"]))

@@ -1,8 +1,8 @@
 """The daily refresh as one ordered Spark job: normalise -> upsert -> bronze -> data quality -> gold.
 
-State passes between steps through written tables only (each keyed table is a committed
-snapshot), which also cuts the lineage: a lost executor recomputes from the last written
-table, not from the raw landing files.
+State passes between steps through written tables only, which also cuts the lineage: a lost executor
+recomputes from the last written table, not from the raw landing files. Keyed tables are cut into hash
+buckets, of which a run replaces those its batch touches; what cannot be read is kept in quarantine tables.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from kestrel import schemas
 from kestrel.operators import dedup, dq, newest, rollup, upsert
 from kestrel.operators.joins import restrict_to
-from kestrel.sinks import lake, warehouse
+from kestrel.sinks import keyed, lake, warehouse
 from kestrel.session import materialize, path_exists
 from kestrel.sources import payloads
 
@@ -28,8 +28,11 @@ class Store:
     root: str
     fmt: str = "parquet"
 
-    def keyed(self, spark: SparkSession, name: str) -> lake.VersionedTable:
-        return lake.VersionedTable(spark, f"{self.root}/operational/{name}", self.fmt)
+    def keyed(self, name: str) -> keyed.KeyedTable:
+        return keyed.keyed_table(f"{self.root}/operational", name, fmt=self.fmt)
+
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
 
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
@@ -50,64 +53,85 @@ class Store:
 class RefreshResult:
     repos_written: int = 0
     stories_written: int = 0
+    facts_written: int = 0
+    quarantined: int = 0
     checks: int = 0
     failures: int = 0
     gold_rows: int = 0
-    versions: dict[str, int] = field(default_factory=dict)
+    buckets: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    gold_run: str | None = None
 
 
 def read_keyed(spark: SparkSession, store: Store, name: str) -> DataFrame:
-    t = store.keyed(spark, name)
-    return t.read() if t.latest_version() is not None else upsert.empty_table(spark, name)
+    return store.keyed(name).read(spark)
+
 
+def _apply(store: Store, name: str, batch: DataFrame, seq: str | None, as_of, res: RefreshResult) -> int:
+    """Upsert ``batch`` into the keyed table ``name``; returns the rows handed over."""
+    written = store.keyed(name).upsert(batch, upsert.RULES[name], seq=seq, as_of=as_of)
+    res.buckets[name] = written.buckets
+    return written.rows
 
-def _apply(spark: SparkSession, store: Store, name: str, batch: DataFrame, seq: str | None, as_of) -> tuple[int, int]:
-    """Upsert ``batch`` into the keyed table ``name``; returns (rows written, new version)."""
-    n = upsert.written_count(batch)
-    if n == 0:
-        return 0, store.keyed(spark, name).latest_version() or 0
-    state = upsert.upsert(read_keyed(spark, store, name), batch, upsert.RULES[name], seq=seq, as_of=as_of)
-    version = store.keyed(spark, name).write(schemas.conform(state, schemas.ENTITY_SCHEMAS[name]))
-    return n, version
+
+def _parsed(store: Store, name: str, tagged: DataFrame, run: str, res: RefreshResult) -> DataFrame:
+    """The valid rows of a parser's output, staged; the others go to the quarantine table of ``name``, under the run."""
+    staged = materialize(tagged, f"refresh-{name}-parsed")
+    bad = staged.where(F.col(payloads.BAD).isNotNull())
+    n = bad.count()
+    if n:
+        lake.write_run(bad.select(payloads.BAD, F.to_json(F.struct(*[c for c in bad.columns if c != payloads.BAD])).alias("record")),
+                       store.quarantine(name), run, store.fmt)
+    res.quarantined += n
+    return staged.where(F.col(payloads.BAD).isNull()).drop(payloads.BAD, payloads.PAGE_TEXT)
 
 
 def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos: DataFrame,
             landed_stories: DataFrame, as_of: dt.datetime, *,
             freshness_sla: dt.timedelta = dq.DAG_FRESHNESS_SLA, max_null_rate: float = dq.DAG_MAX_NULL_RATE,
             warehouse_project: str | None = None, warehouse_dataset: str | None = None,
-            baseline_days: int | None = None) -> RefreshResult:
+            baseline_days: int | None = None, landed_searches: DataFrame | None = None,
+            landed_summaries: DataFrame | None = None) -> RefreshResult:
     """Run the four steps for every tracked company.
 
     ``landed_repos``: (org, payload[, seq]); ``landed_stories``: (company, payload, seq) where
-    ``seq`` orders pages by arrival; ``tracked``: (org). Each run records the per-company
+    ``seq`` orders pages by arrival; ``tracked``: (org); ``landed_searches``: (name, payload) and ``landed_summaries``:
+    (name, status, payload), encyclopedia responses, where there are any. Each run records the per-company
     row counts it checked. By default the row-count check has no baseline (it passes, as the
     original daily job did); with ``baseline_days`` (e.g. 7, the documented rolling baseline) it
     compares against the counts of the runs in the preceding days.
     """
     res = RefreshResult()
     ts = F.lit(as_of).cast("timestamp")
-    run = f"at-{as_of:%Y%m%dT%H%M%S}"  # a repeat with the same snapshot time replaces its own log rows
+    run = lake.run_name(as_of)  # a repeat with the same snapshot time replaces its own log rows
 
     # 1. repos: normalise, keep tracked orgs, upsert, land bronze.
     #    A repository that was landed twice keeps what the later page, and in it the later place, says.
     arrival = F.struct(F.col("seq") if "seq" in landed_repos.columns else F.lit(0).alias("seq"), F.col("position"))
-    repos = payloads.parse_repos(landed_repos, org="org", scraped_at=ts, keep=["seq", "position"])
+    parsed = payloads.parse_repos(landed_repos, org="org", scraped_at=ts, keep=["seq", "position"], tagged=True)
+    repos = _parsed(store, "github_repos", parsed, run, res)
     repos = materialize(restrict_to(repos.withColumn("__seq", arrival), tracked, on="org"), "refresh-repos-batch")
-    res.repos_written, res.versions["github_repos"] = _apply(spark, store, "github_repos", repos, "__seq", as_of)
+    res.repos_written = _apply(store, "github_repos", repos, "__seq", as_of, res)
     if res.repos_written:
         lake.write_run(schemas.conform(repos, schemas.GITHUB_REPOS), store.bronze("github_repos"), run, store.fmt)
 
     # 2. stories: normalise; within one company's results a repeated URL keeps its last values;
     #    across companies the upsert rule applies (first company kept, counters from the last).
-    st = payloads.parse_stories(landed_stories, company="company", scraped_at=ts)
+    st = _parsed(store, "hn_stories", payloads.parse_stories(landed_stories, company="company", scraped_at=ts, tagged=True), run, res)
     st = restrict_to(st, tracked.select(F.col("org").alias("company")), on="company")
     st = st.withColumn("__seq", F.struct(F.col("seq"), F.col("position")))
     deduped = materialize(dedup.last_wins(st.select(*schemas.HN_STORIES.names, "__seq"), ["company", "story_url"],
                                           "__seq", keep_seq=True), "refresh-stories-batch")
-    res.stories_written, res.versions["hn_stories"] = _apply(spark, store, "hn_stories", deduped, "__seq", as_of)
+    res.stories_written = _apply(store, "hn_stories", deduped, "__seq", as_of, res)
     if res.stories_written:
         lake.write_run(schemas.conform(deduped, schemas.HN_STORIES), store.bronze("hn_stories"), run, store.fmt)
 
+    #    Company facts, where they were fetched: a response that is no page never overwrites a stored one.
+    if landed_searches is not None and landed_summaries is not None:
+        facts = payloads.parse_facts(payloads.resolve_titles(landed_searches), landed_summaries, scraped_at=ts, tagged=True)
+        facts = _parsed(store, "wikipedia_companies", facts, run, res)
+        facts = restrict_to(facts, tracked.select(F.col("org").alias("name")), on="name")
+        res.facts_written = _apply(store, "wikipedia_companies", facts, None, as_of, res)
+
     # 3. data quality over all rows of the tracked companies, read back from the written tables.
     tracked_co = tracked.select(F.col("org").alias("company"))
     gh = restrict_to(read_keyed(spark, store, "github_repos"), tracked, on="org")
@@ -129,8 +153,8 @@ def refresh(spark: SparkSession, store: Store, tracked: DataFrame, landed_repos:
     # 4. gold over the same rows; publish the snapshot and the optional warehouse copy.
     gold = schemas.conform(rollup.company_signals(gh, hn, as_of=as_of), schemas.COMPANY_SIGNALS)
     if not gold.isEmpty():
-        res.versions["company_signals"] = lake.write_gold(gold, store.gold("company_signals"), fmt=store.fmt) or 0
-        published = lake.read_gold(spark, store.gold("company_signals"), store.fmt)
+        res.gold_run = lake.write_gold(gold, store.gold("company_signals"), as_of, store.fmt)
+        published = lake.read_gold(spark, store.gold("company_signals"), store.fmt, res.gold_run)
         res.gold_rows = published.count()
         warehouse.write_warehouse(published, "company_signals", mode="overwrite", project=warehouse_project,
                                   dataset=warehouse_dataset)

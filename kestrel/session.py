@@ -81,6 +81,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path`` on its (Hadoop-compatible) file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared folder and read it back.
 

@@ -1,21 +1,16 @@
-"""Bronze / silver / gold tables and a versioned overwrite for plain file formats.
-
-With a table format that has transactions (``delta``) the writers are one-liners. For
-plain parquet two things need care: appends with different integer widths cannot be
-merged on read (so every write is conformed to a declared schema first), and a table
-cannot be overwritten while a job still reads it. ``VersionedTable`` handles the latter:
-each overwrite writes a new ``v=<n>`` directory and then appends one row to a small
-commit log; readers take the newest committed version. A writer that dies before the
-commit leaves an invisible directory, never a half-visible table.
+"""Bronze / silver / gold tables on any file format.
+
+Every write is conformed to a declared schema first, because appends with different integer widths cannot be
+merged on read. Logs and gold are partitioned by run: a run replaces its own partition and no other, so a
+repeat is idempotent, no table is overwritten while it is read, and the runs together are the history.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,124 +51,53 @@ def write_silver(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     _replace(df, path, partition_by, fmt)
 
 
-class VersionedTable:
-    """Snapshot table on a plain file format: ``<root>/v=<n>-<id>/`` data + ``<root>/commits`` log.
+def run_name(at: dt.datetime) -> str:
+    """Runs sort by time."""
+    return f"at-{at:%Y%m%dT%H%M%S%f}"
 
-    A version becomes visible only when its commit row is appended (after the data write
-    succeeded). Readers take the newest commit. Two writers racing for the same number
-    write different directories, and the later commit wins; a replay that passes an
-    explicit ``version`` (e.g. a micro-batch id) rewrites the same directory.
-    """
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/commits"
-
-    def _log(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.log_path):
-            return None
-        return self.spark.read.parquet(self.log_path)
-
-    def _newest(self) -> dict | None:
-        log = self._log()
-        if log is None:
-            return None
-        row = log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).first()
-        return None if row is None else row.asDict()
-
-    def latest_version(self) -> int | None:
-        row = self._newest()
-        return None if row is None else int(row["version"])
-
-    def versions(self) -> DataFrame:
-        """The commit log: (version, path, committed_at), one row per committed write."""
-        log = self._log()
-        return log if log is not None else self.spark.createDataFrame([], "version bigint, path string, committed_at timestamp")
-
-    def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            row = self._newest()
-        else:
-            log = self._log()
-            row = None if log is None else (
-                log.where(F.col("version") == version).orderBy(F.col("committed_at").desc()).limit(1).first())
-            row = None if row is None else row.asDict()
-        if row is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.format(self.fmt).load(row["path"])
-
-    def read_all(self) -> DataFrame:
-        """Every committed snapshot with its ``version`` column (newest commit per version)."""
-        log = self._log()
-        if log is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        latest = log.groupBy("version").agg(F.max_by("path", "committed_at").alias("path")).collect()
-        frames = [self.spark.read.format(self.fmt).load(r["path"]).withColumn("version", F.lit(int(r["version"])))
-                  for r in latest]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f, allowMissingColumns=True)
-        return out
-
-    def write(self, df: DataFrame, partition_by: Sequence[str] | None = None, version: int | None = None) -> int:
-        """Write ``df`` as the next version (or an explicit one, for idempotent replays) and commit it."""
-        if version is None:
-            latest = self.latest_version()
-            version = 1 if latest is None else latest + 1
-            path = f"{self.root}/v={version:08d}-{uuid.uuid4().hex[:8]}"
-        else:
-            path = f"{self.root}/v={version:08d}"
-        w = df.write.format(self.fmt).mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-        commit = self.spark.createDataFrame(
-            [(int(version), path, dt.datetime.now(dt.timezone.utc))], "version bigint, path string, committed_at timestamp"
-        )
-        commit.coalesce(1).write.mode("append").parquet(self.log_path)
-        return version
-
-
-def write_gold(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, fmt: str = "parquet") -> int | None:
-    """Publish a consistent snapshot. delta: overwrite with ``overwriteSchema``; files: new committed version."""
-    if fmt == "delta":
-        _replace(df, path, partition_by, fmt, overwriteSchema="true")
-        return None
-    return VersionedTable(df.sparkSession, path, fmt).write(df, partition_by)
+def newest_run(spark: SparkSession, path: str, fmt: str = "parquet") -> str | None:
+    """The last run that was written to ``path`` (only the partition column is read)."""
+    return spark.read.format(fmt).load(path).agg(F.max(RUN).alias("run")).first()["run"] if path_exists(spark, path) else None
 
 
-def read_gold(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    if fmt == "delta":
-        return spark.read.format("delta").load(path)
-    return VersionedTable(spark, path, fmt).read()
+def write_gold(df: DataFrame, path: str, at: dt.datetime | None = None, fmt: str = "parquet") -> str:
+    """Publish a snapshot as the run of time ``at`` (default: now); a repeat of the run replaces it."""
+    run = run_name(at or dt.datetime.now(dt.timezone.utc))
+    write_run(df, path, run, fmt)
+    return run
 
 
-def optimize_table(spark: SparkSession, path: str, cluster_cols: Sequence[str], fmt: str = "parquet",
-                   num_files: int | None = None) -> int | None:
-    """Compact and cluster. delta: ``OPTIMIZE ... ZORDER BY``; files: range-partitioned, sorted rewrite
-    as a new committed version (linear ordering on the columns, not a z-curve)."""
-    cols = list(cluster_cols)
+def read_gold(spark: SparkSession, path: str, fmt: str = "parquet", run: str | None = None) -> DataFrame:
+    """The snapshot of ``run`` (default: the newest), in the columns it was published with."""
+    run = run or newest_run(spark, path, fmt)
+    if run is None:
+        raise FileNotFoundError(f"nothing published under {path}")
     if fmt == "delta":
-        spark.sql(f"OPTIMIZE delta.`{path}` ZORDER BY ({', '.join(cols)})")
-        return None
-    table = VersionedTable(spark, path, fmt)
-    df = table.read()
-    n = num_files or max(1, spark.sparkContext.defaultParallelism)
-    return table.write(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols))
-
-
-def bootstrap(spark: SparkSession, root: str, schemas_by_name: dict[str, T.StructType], fmt: str = "parquet") -> list[str]:
-    """Create an empty committed version for every keyed table that has none yet (idempotent)."""
-    created = []
-    for name, schema in schemas_by_name.items():
-        t = VersionedTable(spark, f"{root.rstrip('/')}/{name}", fmt)
-        if t.latest_version() is None:
-            t.write(spark.createDataFrame([], schema))
-            created.append(name)
-    return created
+        return spark.read.format(fmt).load(path).where(F.col(RUN) == run).drop(RUN)
+    return spark.read.format(fmt).load(f"{path}/{RUN}={run}")
+
+
+def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """All snapshots, with their ``run``, from one read of one table."""
+    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+
+
+def intervals(history: DataFrame, key: Sequence[str], values: Sequence[str], at: str) -> DataFrame:
+    """Snapshots as periods of unchanged values: key, values, valid_from and valid_to (the next snapshot time with other values, or none
+    of the key; null: still valid). A key that is absent from a snapshot and comes back starts a new period.
+
+    ``at`` is the snapshots' time column. The windows run per key over its snapshots (one row a run).
+    """
+    runs = history.select(at).distinct()
+    following = runs.withColumn("__next", F.lead(at).over(Window.orderBy(at)))  # one row a run
+    rows = history.select(*key, *values, at).join(following, at)
+    per_key = Window.partitionBy(*key).orderBy(at)
+    same = F.struct(*values).eqNullSafe(F.lag(F.struct(*values)).over(per_key)) & (F.lag("__next").over(per_key) == F.col(at))
+    starts = rows.withColumn("__new", F.coalesce(~same, F.lit(True)).cast("int"))
+    numbered = starts.withColumn("__period", F.sum("__new").over(per_key))
+    ends = F.max_by("__next", at)
+    return numbered.groupBy(*key, "__period").agg(*[F.first(v).alias(v) for v in values], F.min(at).alias("valid_from"), ends.alias("valid_to")).drop("__period")
 
 
 def append_results(results: DataFrame, path: str, only_failures: bool = False, fmt: str = "parquet", run: str | None = None) -> int:

@@ -46,25 +46,38 @@ def _keys(elem: Column) -> Column:
     return F.coalesce(F.json_object_keys(elem), F.array().cast("array<string>"))
 
 
-def quarantine_split(df: DataFrame, required: Sequence[str], extra_bad: Column | None = None
-                     ) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with a ``_bad`` reason). One pass over ``df`` each."""
+def tag_bad(df: DataFrame, required: Sequence[str], extra_bad: Column | None = None) -> DataFrame:
+    """``df`` with a ``_bad`` column: why a row is no valid record, null if it is one."""
     reason = F.lit(None).cast("string")
     for c in reversed(list(required)):
         reason = F.when(F.col(c).isNull(), F.lit(f"missing {c}")).otherwise(reason)
     if extra_bad is not None:
         reason = F.when(extra_bad.isNotNull(), extra_bad).otherwise(reason)
-    tagged = df.withColumn(BAD, reason)
+    return df.withColumn(BAD, reason)
+
+
+def quarantine_split(df: DataFrame, required: Sequence[str], extra_bad: Column | None = None
+                     ) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, quarantined rows with a ``_bad`` reason). One pass over ``df`` each."""
+    tagged = tag_bad(df, required, extra_bad)
     return tagged.where(F.col(BAD).isNull()).drop(BAD), tagged.where(F.col(BAD).isNotNull())
 
 
+def _outcome(tagged: DataFrame, with_quarantine: bool, as_tagged: bool):
+    """What a parser returns: valid rows, (valid, quarantined), or all rows with ``_bad`` (for one pass over both)."""
+    if as_tagged:
+        return tagged
+    valid = tagged.where(F.col(BAD).isNull()).drop(BAD, PAGE_TEXT)
+    return (valid, tagged.where(F.col(BAD).isNotNull())) if with_quarantine else valid
+
+
 # --- N1 repo list -> github_repos -------------------------------------------------------------
 # Required fields of a repo record (the request supplies org).
 REPO_REQUIRED = [c for c in schemas.REQUIRED["github_repos"] if c != "org"]
 
 
 def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = None,
-                with_quarantine: bool = False, keep: Sequence[str] = ()):
+                with_quarantine: bool = False, keep: Sequence[str] = (), tagged: bool = False):
     """Repo list payload (a JSON array) -> github_repos rows.
 
     ``stargazers_count``/``forks_count``/``open_issues_count`` map to stars/forks/open_issues,
@@ -98,24 +111,28 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
         .when(m.isNull(), F.lit("malformed record"))
         .when(~F.map_contains_key(m, "language"), F.lit("missing language")).alias("__why"),
     )
-    valid, bad = quarantine_split(out, REPO_REQUIRED, F.col("__why"))
-    valid = valid.drop("__why", PAGE_TEXT)
-    return (valid, bad.drop("__why")) if with_quarantine else valid
+    return _outcome(tag_bad(out, REPO_REQUIRED, F.col("__why")).drop("__why"), with_quarantine, tagged)
 
 
 # --- N2 contributors ------------------------------------------------------------------------
-CONTRIB_ITEMS = "array<struct<login: string, contributions: bigint, avatar_url: string>>"
+CONTRIB_ITEMS = "array<struct<login: string, contributions: string, avatar_url: string>>"
+
 
+def parse_contributors(df: DataFrame, with_quarantine: bool = False, tagged: bool = False):
+    """Contributor list payload -> (context, login, contributions, avatar_url), every entry of every page.
 
-def parse_contributors(df: DataFrame) -> DataFrame:
-    """Contributor list payload -> (context, login, contributions, avatar_url), every entry of every page."""
+    An entry without login or contributions, and a page that is no list, is quarantined.
+    """
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, F.explode(F.from_json(F.col(PAYLOAD), CONTRIB_ITEMS)).alias("__c"))
+    page = F.from_json(F.col(PAYLOAD), CONTRIB_ITEMS)
+    ex = df.select(*ctx, _broken_page(F.col(PAYLOAD), page, "[").alias("__page"), F.posexplode_outer(page).alias("__at", "__c"))
     c = F.col("__c")
-    return ex.select(
-        *ctx, c["login"].alias("login"), c["contributions"].try_cast("int").alias("contributions"),
-        c["avatar_url"].alias("avatar_url"),
+    out = ex.where(F.col("__at").isNotNull() | F.col("__page").isNotNull()).select(
+        *ctx, c["login"].alias("login"), _number(c["contributions"]).alias("contributions"),
+        c["avatar_url"].alias("avatar_url"), F.col("__page").alias(PAGE_TEXT),
     )
+    why = F.when(F.col(PAGE_TEXT).isNotNull(), F.lit("unparsable page"))
+    return _outcome(tag_bad(out, ["login", "contributions"], why), with_quarantine, tagged)
 
 
 # --- N3 story search -> hn stories ----------------------------------------------------------------
@@ -128,7 +145,7 @@ HIT_ITEM = T.StructType([
 
 
 def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item",
-                  scraped_at: Column | None = None, with_quarantine: bool = False):
+                  scraped_at: Column | None = None, with_quarantine: bool = False, tagged: bool = False):
     """Story search payload ``{"hits": [...]}`` -> hn story rows (missing ``hits`` -> no rows).
 
     title = title or story_title or "(no title)"; points / num_comments falsy -> 0;
@@ -156,9 +173,7 @@ def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item
         "*", story_key(F.col("url"), F.col("title"), F.col("created_at"), form=key_form).alias("story_url"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
     )
-    valid, bad = quarantine_split(out, ["created_at"], F.col("__why"))
-    valid, bad = valid.drop("__why", PAGE_TEXT), bad.drop("__why")
-    return (valid, bad) if with_quarantine else valid
+    return _outcome(tag_bad(out, ["created_at"], F.col("__why")).drop("__why"), with_quarantine, tagged)
 
 
 # --- N4 forum listing -> posts ----------------------------------------------------------------
@@ -173,17 +188,23 @@ LISTING = T.StructType([T.StructField("data", T.StructType([
 ]))])
 
 
-def parse_posts(df: DataFrame, subreddit: str = "subreddit") -> DataFrame:
+def parse_posts(df: DataFrame, subreddit: str = "subreddit", with_quarantine: bool = False, tagged: bool = False):
     """Listing ``{"data": {"children": [{"data": {...}}]}}`` -> forum posts with falsy defaults.
 
     subreddit -> the requested one; title -> "(no title)"; score / comments -> 0;
     author -> "[deleted]"; created_utc epoch seconds (0 when falsy) -> UTC timestamp; permalink -> "".
+    A number that does not fit, and a page that is no listing, is quarantined.
     """
-    children = F.from_json(F.col(PAYLOAD), LISTING)["data"]["children"]
+    listing = F.from_json(F.col(PAYLOAD), LISTING)
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, F.explode(children).alias("__c"))
+    broken = _broken_page(F.col(PAYLOAD), listing["data"], "{")
+    ex = df.select(*ctx, broken.alias("__page"), F.posexplode_outer(listing["data"]["children"]).alias("__at", "__c"))
+    ex = ex.where(F.col("__at").isNotNull() | F.col("__page").isNotNull())
     d = F.col("__c")["data"]
-    return ex.select(
+    why = F.when(F.col("__page").isNotNull(), F.lit("unparsable page")).when(d.isNull(), F.lit("malformed record"))
+    for name in ("score", "num_comments"):
+        why = why.when(d[name].isNotNull() & _number(d[name]).isNull(), F.lit(f"bad {name}"))
+    out = ex.select(
         *[c for c in ctx if c != subreddit],
         falsy_coalesce(d["subreddit"], F.col(subreddit)).alias("subreddit"),
         falsy_coalesce(d["title"], default="(no title)").alias("title"),
@@ -192,7 +213,9 @@ def parse_posts(df: DataFrame, subreddit: str = "subreddit") -> DataFrame:
         falsy_coalesce(d["author"], default="[deleted]").alias("author"),
         F.timestamp_seconds(F.coalesce(d["created_utc"], F.lit(0.0))).alias("created_utc"),
         F.coalesce(d["permalink"], F.lit("")).alias("permalink"),
+        F.col("__page").alias(PAGE_TEXT), why.alias("__why"),
     )
+    return _outcome(tag_bad(out, [], F.col("__why")).drop("__why"), with_quarantine, tagged)
 
 
 # --- N5/N6 encyclopedia facts ----------------------------------------------------------------
@@ -213,26 +236,29 @@ def resolve_titles(search: DataFrame, name: str = "name") -> DataFrame:
 
 
 def parse_facts(titles: DataFrame, summaries: DataFrame, scraped_at: Column | None = None,
-                with_quarantine: bool = False):
+                with_quarantine: bool = False, tagged: bool = False):
     """(name, searched_title) x (name, status, payload) -> company facts.
 
     No search hit or a 404 summary gives no row. ``title`` falls back to the searched
-    title only when the key is absent from the summary.
+    title only when the key is absent from the summary. Any other response than a 200 (a missing status counts as one)
+    with a JSON object is quarantined, so that it overwrites no stored facts.
     """
+    parsed = F.from_json(F.col(PAYLOAD), SUMMARY)
     s = summaries.select(
-        F.col("name"), F.col("status"),
-        F.from_json(F.col(PAYLOAD), SUMMARY).alias("__s"), _keys(F.col(PAYLOAD)).alias("__k"),
+        F.col("name"), F.coalesce(F.col("status"), F.lit(200)).alias("status"), parsed.alias("__s"), _keys(F.col(PAYLOAD)).alias("__k"),
+        F.coalesce(_broken_page(F.col(PAYLOAD), parsed, "{"), F.when(F.col(PAYLOAD).isNull(), F.lit(""))).alias("__page"), F.col(PAYLOAD).alias("__sent"),
     )
     j = titles.where(F.col("searched_title").isNotNull()).join(s, "name", "inner").where(F.col("status") != 404)
     d = F.col("__s")
     title = F.when(F.array_contains("__k", "title"), d["title"]).otherwise(F.col("searched_title"))
+    why = F.when(F.col("status") != 200, F.concat(F.lit("status "), F.col("status").cast("string"))).when(F.col("__page").isNotNull(), F.lit("unparsable page"))
     out = j.select(
         F.col("name"), title.alias("title"), d["extract"].alias("summary"), d["description"].alias("description"),
         d["content_urls"]["desktop"]["page"].alias("url"), d["thumbnail"]["source"].alias("thumbnail_url"),
         (scraped_at if scraped_at is not None else F.lit(None).cast("timestamp")).alias("scraped_at"),
+        F.when(why.isNotNull(), F.coalesce("__sent", "__page")).alias(PAGE_TEXT), why.alias("__why"),
     )
-    valid, bad = quarantine_split(out, ["name", "title"])
-    return (valid, bad) if with_quarantine else valid
+    return _outcome(tag_bad(out, ["name", "title"], F.col("__why")).drop("__why"), with_quarantine, tagged)
 
 
 # --- N8 job-board HTML -> listings -----------------------------------------------------------

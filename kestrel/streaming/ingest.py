@@ -2,12 +2,14 @@
 
 Sources and sinks are format parameters: ``kafka`` / ``delta`` where the connectors are
 installed, a directory of envelope files (``key``, ``value`` binary) and parquet otherwise.
-Each spec gets its own checkpoint, so a restarted query resumes exactly where it stopped.
+Each spec gets its own checkpoint, so a restarted query resumes exactly where it stopped. Streams that write more than
+one table do it batch by batch, into tables partitioned by batch id: a batch that is repeated after a failure between its
+writes and its checkpoint replaces what it wrote.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,53 +57,72 @@ def read_topic(spark: SparkSession, spec: StreamSpec, fmt: str = "kafka", path:
 
 
 CORRUPT = "_corrupt_record"
+#: Partition column of tables that a stream writes batch by batch.
+BATCH = "batch"
+
+
+def batches_path(spec: StreamSpec, root: str) -> str:
+    """Bronze rows of a stream that is written batch by batch (apart from what the file sink writes)."""
+    return f"{root.rstrip('/')}/bronze_batches/{spec.name}"
 
 
 def quarantine_path(spec: StreamSpec, root: str) -> str:
-    return f"{spec.bronze_path(root)}_quarantine"
+    return f"{batches_path(spec, root)}_quarantine"
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """One batch's rows as a partition of the table at ``path``, in place of what an earlier try of the batch wrote."""
+    numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    numbered.write.save(path, format=fmt, mode="overwrite", partitionBy=BATCH, partitionOverwriteMode="dynamic")
+
+
+def launch(rows: DataFrame, checkpoint: str, *, to: str | None = None, fmt: str | None = None,
+           each: Callable[[DataFrame, int], None] | None = None, name: str | None = None, drain: bool = False) -> StreamingQuery:
+    """The one place where streams are started: files of ``fmt`` under ``to``, or ``each`` on every (persisted) batch.
+
+    ``drain`` takes what is there and ends; otherwise the stream runs on.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            each(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
+    writer = writer.trigger(availableNow=True) if drain else writer
+    return writer.foreachBatch(on_batch).start() if each else writer.start(to, format=fmt, outputMode="append")
 
 
 def start_query(spark: SparkSession, spec: StreamSpec, root: str, source_format: str = "kafka",
                 source_path: str | None = None, sink_format: str = "delta",
                 source_options: dict[str, str] | None = None, available_now: bool = False,
                 query_name: str | None = None, quarantine: bool = False,
-                required: list[str] | None = None) -> StreamingQuery:
-    """Wire one topic -> parsed bronze table (append mode, checkpoint per spec) and start it.
+                required: list[str] | None = None, on_written: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Land the topic of ``spec``: every message as a row, or, with ``quarantine``, only those that are records.
 
-    With ``quarantine``, messages that are not valid JSON for the schema or lack a
-    ``required`` field go to ``<bronze>_quarantine`` (with their raw text and a reason)
-    instead of landing as null rows; each micro-batch writes both outputs under its
-    batch id, so a replay overwrites rather than duplicates.
+    A message that is no record of the schema or lacks a ``required`` field then goes to the quarantine table, with
+    its text and why. ``on_written`` is called with the id of a batch whose rows are written, before it is checkpointed.
     """
     raw = read_topic(spark, spec, source_format, source_path, source_options)
-    if quarantine:
-        from kestrel.sources.payloads import quarantine_split
-
-        parsed = parse_stream(raw, spec, corrupt_col=CORRUPT)
-        req = list(required if required is not None else [spec.schema.names[0]])
-        bronze, bad_path = spec.bronze_path(root), quarantine_path(spec, root)
-
-        def split(batch: DataFrame, batch_id: int) -> None:
-            bad_reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))
-            good, bad = quarantine_split(batch, req, bad_reason)
-            good.drop(CORRUPT).write.format(sink_format).mode("overwrite").save(f"{bronze}/batch={batch_id}")
-            bad.write.format(sink_format).mode("overwrite").save(f"{bad_path}/batch={batch_id}")
-
-        writer = parsed.writeStream.foreachBatch(split).option("checkpointLocation", spec.checkpoint_path(root))
-        if query_name:
-            writer = writer.queryName(query_name)
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        return writer.start()
-    writer = (
-        parse_stream(raw, spec).writeStream.format(sink_format).outputMode("append")
-        .option("checkpointLocation", spec.checkpoint_path(root))
-    )
-    if query_name:
-        writer = writer.queryName(query_name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(spec.bronze_path(root))
+    started = {"name": query_name, "drain": available_now}
+    if not quarantine:
+        return launch(parse_stream(raw, spec), spec.checkpoint_path(root), to=spec.bronze_path(root), fmt=sink_format, **started)
+
+    from kestrel.sources.payloads import quarantine_split
+
+    needed = list(required) if required is not None else spec.schema.names[:1]
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        good, bad = quarantine_split(batch, needed, F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record")))
+        write_batch(good.drop(CORRUPT), batches_path(spec, root), batch_id, sink_format)
+        write_batch(bad, quarantine_path(spec, root), batch_id, sink_format)
+        if on_written:
+            on_written(batch_id)
+
+    return launch(parse_stream(raw, spec, corrupt_col=CORRUPT), f"{spec.checkpoint_path(root)}-batches", each=both, **started)
 
 
 def run(spark: SparkSession, root: str, specs: Sequence[StreamSpec] | None = None, *,

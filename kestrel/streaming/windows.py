@@ -1,5 +1,4 @@
-"""Event-time stream jobs: windowed counts, de-duplication within the watermark, and data
-quality on every micro-batch.
+"""Event-time stream jobs: windowed counts, and de-duplication within the watermark (``late.py`` also keeps late rows).
 
 All of them are stateful Structured Streaming operators bounded by a watermark, so state
 is evicted as event time advances; with append output a window is emitted once the
@@ -8,8 +7,7 @@ watermark passes its end (the newest window stays open until later data arrives)
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,30 +37,3 @@ def dedupe(df: DataFrame, keys: Sequence[str], ts: str | None = None, delay: str
             raise ValueError("streaming dedup needs an event-time column")
         return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
-
-
-def late_rows(query) -> int:
-    """Rows dropped by the watermark, summed over the progress reports that the query still keeps
-    (``spark.sql.streaming.numRecentProgressUpdates``; raise it to cover a longer run)."""
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", []))
-
-
-def with_batch_quality(check: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body that runs ``check(batch, batch_id)`` on a persisted micro-batch.
-
-    Use it to append the data-quality results of every streaming write; name any table
-    version after ``batch_id`` so a replayed batch overwrites instead of duplicating.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            check(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    return run
-
-
-def stamp(as_of: dt.datetime | None = None):
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

@@ -54,7 +54,7 @@ def test_queries_read_whole_tables():
     """No sampling, no modulo filters; a LIMIT only where the limit is the feature."""
     import re
 
-    limited = {"recent_repos_for_org", "recent_failures"}
+    limited = {"recent_repos_for_org", "recent_stories_for_company", "recent_failures"}
     for name, sql in registry.oracle_sql().items():
         low = sql.lower()
         assert "using sample" not in low and "tablesample" not in low, name
