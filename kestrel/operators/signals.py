@@ -346,7 +346,7 @@ FIRST_BITS = 1 << 20
 def _first_tokens(grams: DataFrame) -> bytes:
     """The hashed first tokens of all names as a bit set of fixed size, whatever the number of names."""
     slot = F.pmod(F.xxhash64(F.substring_index("gram", " ", 1)), F.lit(FIRST_BITS))
-    of_byte = grams.select(slot.alias("s")).groupBy(F.shiftright("s", 3).alias("byte")).agg(F.bit_or(F.shiftleft(F.lit(1), (F.col("s") % 8).cast("int"))).alias("bits"))
+    of_byte = grams.select(slot.alias("s")).groupBy(F.shiftright("s", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(s % 8 AS INT))")).alias("bits"))
     bits = bytearray(FIRST_BITS // 8)
     for r in of_byte.collect():
         bits[r["byte"]] = r["bits"]
@@ -357,7 +357,7 @@ def candidate_grams(toks: Column, lengths: Sequence[int], first: bytes) -> Colum
     """The n-grams of the given lengths that begin with a token in the bit set ``first``; other places form none."""
     hashed = F.transform(toks, lambda t: F.pmod(F.xxhash64(t), F.lit(FIRST_BITS)))
     byte = lambda s: F.conv(F.hex(F.substring(F.lit(first), (F.shiftright(s, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    places = F.filter(F.transform(hashed, lambda s, i: F.when(F.shiftright(byte(s), (s % 8).cast("int")).bitwiseAND(1) == 1, i)), lambda i: i.isNotNull())
+    places = F.filter(F.transform(hashed, lambda s, i: F.when(F.getbit(byte(s), (s % 8).cast("int")) == 1, i)), lambda i: i.isNotNull())
     at = lambda i: F.array(*[F.when(i + k <= F.size(toks), F.array_join(F.slice(toks, i + 1, F.lit(k)), " ")) for k in lengths])
     return F.array_compact(F.flatten(F.transform(places, at)))
 

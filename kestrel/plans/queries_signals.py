@@ -4,6 +4,7 @@ sentiment, hiring, alerts, windows, page extraction and mention matching."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from kestrel.operators import ranking, rollup, signals
 from kestrel.plans import bindings as b
 from kestrel.plans.registry import AS_OF, AS_OF_SQL, ntz, register
-from kestrel.session import scratch_path
+from kestrel.session import materialize, scratch_path
+from kestrel.sinks import lake
 from kestrel.sources import payloads
 from kestrel.streaming import windows
 
@@ -366,8 +368,6 @@ FROM h""",
 )
 def competitor_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Two published gold snapshots (mid-month and month-end runs) -> change per company since the last run."""
-    from kestrel.sinks import lake
-
     repos = b.repos(b.table(spark, sf, "orders"))
     stories = b.stories(b.table(spark, sf, "events"))
     path = scratch_path(spark, "gold-history")
@@ -378,3 +378,161 @@ def competitor_delta(spark: SparkSession, sf: str) -> DataFrame:
     lake.write_gold(rollup.company_signals(repos, stories, as_of=AS_OF), path, AS_OF)
     history = lake.read_history(spark, path)
     return ntz(signals.snapshot_delta(history, "org", "computed_at", ["total_stars", "hn_mentions"]))
+
+
+# --- posting lifetimes, sentiment near mentions, name tables, page texts ------------------------
+LISTED_DAYS_SQL = """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS company, event_type || '-' || CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR) AS source_url, CAST(ts AS DATE) AS day FROM events"""
+
+POSTING_SQL = f"""
+shown AS ({LISTED_DAYS_SQL}),
+days AS (SELECT company, day, lead(day) OVER (PARTITION BY company ORDER BY day) AS nxt FROM (SELECT DISTINCT company, day FROM shown)),
+seen AS (SELECT company, source_url, day, nxt, CASE WHEN lag(nxt) OVER w = day THEN 0 ELSE 1 END AS new
+         FROM shown JOIN days USING (company, day) WINDOW w AS (PARTITION BY company, source_url ORDER BY day)),
+islands AS (SELECT *, sum(new) OVER (PARTITION BY company, source_url ORDER BY day ROWS UNBOUNDED PRECEDING) AS island FROM seen),
+periods AS (SELECT company, source_url, min(day) AS opened, arg_max_null(nxt, day) AS closed FROM islands GROUP BY company, source_url, island)"""
+
+
+def _periods(spark: SparkSession, sf: str) -> DataFrame:
+    bucket = F.floor(F.col("value") / 10).cast("string")
+    listings = b.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("company"), F.concat("event_type", F.lit("-"), bucket).alias("source_url"), F.to_date("ts").alias("scraped_on"))
+    return signals.posting_periods(listings)
+
+
+@register("posting_periods", f"WITH {POSTING_SQL} SELECT * FROM periods")
+def posting_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """When each posting of each company was open, from its daily snapshots."""
+    return _periods(spark, sf)
+
+
+@register(
+    "hiring_activity",
+    f"""
+WITH {POSTING_SQL},
+e AS (SELECT company, opened AS day, 1 AS o, 0 AS c FROM periods UNION ALL SELECT company, closed, 0, 1 FROM periods WHERE closed IS NOT NULL),
+d AS (SELECT company, day, sum(o) AS o, sum(c) AS c FROM e GROUP BY 1, 2),
+spine AS (SELECT company, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d GROUP BY company),
+f AS (SELECT company, day, coalesce(o, 0) AS o, coalesce(c, 0) AS c FROM spine LEFT JOIN d USING (company, day)),
+w AS (SELECT *, avg(o) OVER win AS m, stddev_pop(o) OVER win AS s FROM f
+      WINDOW win AS (PARTITION BY company ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
+z AS (SELECT *, (o - m) / CASE WHEN s IS NULL OR s = 0 THEN 1.0 ELSE s END AS zz FROM w)
+SELECT company, day, CAST(o AS BIGINT) AS openings, CAST(c AS BIGINT) AS closings, round(m, 6) AS baseline_mean, round(zz, 6) AS z,
+       coalesce(abs(zz) > 3.0 AND zz > 0, false) AS spike
+FROM z""",
+)
+def hiring_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Openings and closings per company and day, and the days on which openings spike."""
+    return signals.hiring_activity(_periods(spark, sf))
+
+
+# Words that stand near the names in the test texts, besides the lexicon (fixed values).
+NEAR_LEXICON = signals.LEXICON | {"licensed": 0.5, "license": 0.25, "version": -0.25, "under": -0.5}
+NEAR = 10
+
+
+def _near_sql() -> str:
+    parts = []
+    for name in signals.TRACKED_NAMES:
+        toks = [t for t in re.split(r"[\W_]+", name.lower()) if t]
+        gram, k = " ".join(toks), len(toks)
+        parts.append(f"SELECT t, '{name}' AS company, {k} AS k, list_filter(range(0, len(t) - {k} + 1), lambda i: array_to_string(t[i + 1:i + {k}], ' ') = '{gram}') AS starts FROM toks")
+    vals = ", ".join(f"('{w}', {wt!r})" for w, wt in sorted(NEAR_LEXICON.items()))
+    return f"""
+WITH toks AS (SELECT list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t FROM documents),
+m AS (SELECT row_number() OVER () AS rid, * FROM ({" UNION ALL ".join(parts)}) WHERE len(starts) > 0),
+p AS (SELECT rid, company, k, starts, t, unnest(range(0, len(t))) AS p FROM m),
+near AS (SELECT rid, company, t[p + 1] AS word FROM p
+         WHERE len(list_filter(starts, lambda s: p >= s - {NEAR} AND p <= s + k - 1 + {NEAR})) > 0 AND len(list_filter(starts, lambda s: p >= s AND p <= s + k - 1)) = 0),
+h AS (SELECT company, count(*) AS hits, avg(weight) AS score FROM near JOIN (SELECT * FROM (VALUES {vals}) v(word, weight)) USING (word) GROUP BY company)
+SELECT company, count(*) AS documents, CAST(sum(len(starts)) AS BIGINT) AS mentions, CAST(coalesce(any_value(hits), 0) AS BIGINT) AS hits, round(any_value(score), 6) AS score
+FROM m LEFT JOIN h USING (company) GROUP BY company"""
+
+
+@register("company_sentiment", _near_sql())
+def company_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentiment of the words within ten tokens of each company's mentions, over whole documents."""
+    return signals.mention_sentiment(b.table(spark, sf, "documents"), signals.TRACKED_NAMES, within=NEAR, lexicon=NEAR_LEXICON)
+
+
+@register(
+    "mention_table",
+    """
+WITH toks AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS t FROM documents),
+bench AS (SELECT list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS t FROM benchmark),
+names AS (SELECT DISTINCT array_to_string(t[1:2], ' ') AS name FROM toks WHERE len(t) >= 2 UNION SELECT array_to_string(t[1:3], ' ') FROM bench WHERE len(t) >= 3),
+grams AS (SELECT doc_id, array_to_string(t[i:i + 1], ' ') AS name FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM toks)
+          UNION ALL SELECT doc_id, array_to_string(t[i:i + 2], ' ') FROM (SELECT doc_id, t, unnest(range(1, len(t) - 1)) AS i FROM toks))
+SELECT doc_id, name, count(*) AS mentions FROM grams JOIN names USING (name) GROUP BY doc_id, name""",
+)
+def mention_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Mentions of a large table of names (how documents and benchmark items begin) in all documents."""
+    docs = b.table(spark, sf, "documents")
+
+    def beginning(df: DataFrame, k: int) -> DataFrame:
+        return df.select(signals.tokens(F.col("text")).alias("t")).where(F.size("t") >= k).select(F.array_join(F.slice("t", 1, k), " ").alias("name"))
+
+    names = beginning(docs, 2).unionByName(beginning(b.table(spark, sf, "benchmark"), 3)).distinct()
+    return signals.mention_match(docs, materialize(names, "mention-names"), "doc_id")
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+MAIN_TEXT_SQL = f"""
+SELECT page_id, url, CAST(len(list_filter(b, lambda x: x.text <> '')) AS BIGINT) AS blocks, CAST(len(k) AS BIGINT) AS main_blocks,
+       coalesce(array_to_string(list_transform(k, lambda x: x.text), chr(10)), '') AS text
+FROM (SELECT page_id, url, b, list_filter(b, lambda x: length(x.text) >= {signals.MIN_BLOCK_CHARS} AND length(x.linked) * 100 <= length(x.text) * {signals.MAX_LINK_PERCENT}) AS k
+      FROM (SELECT page_id, url, list_transform(string_split_regex({PAGE_BODY_SQL}, {_sql_text(signals.BLOCK_SPLIT)}), lambda x: struct_pack(
+              text := {_html_text_sql("x")}, linked := {_html_text_sql(f"array_to_string(regexp_extract_all(x, {_sql_text(signals.ANCHOR)}), '')")})) AS b FROM pages))"""
+
+
+@register("page_main_text", f"SELECT page_id, blocks, main_blocks, text FROM ({MAIN_TEXT_SQL})")
+def page_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page: blocks of text that are not mostly links."""
+    return signals.main_text(b.table(spark, sf, "pages"))
+
+
+@register(
+    "page_links",
+    f"""
+SELECT page_id, CAST(i - 1 AS INTEGER) AS position,
+       coalesce(nullif(regexp_extract(tag, '(?i)\\shref\\s*=\\s*"([^"]*)"', 1), ''), nullif(regexp_extract(tag, '(?i)\\shref\\s*=\\s*''([^'']*)''', 1), ''),
+                nullif(regexp_extract(tag, '(?i)\\shref\\s*=\\s*([^\\s"''>]+)', 1), '')) AS href,
+       {_html_text_sql("a")} AS text
+FROM (SELECT page_id, i, l[i] AS a, regexp_extract(l[i], '(?s)^<[^>]*>', 0) AS tag
+      FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all({PAGE_BODY_SQL}, {_sql_text(signals.ANCHOR)}) AS l FROM pages)))""",
+)
+def page_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Every link of every page."""
+    return signals.page_links(b.table(spark, sf, "pages"))
+
+
+@register(
+    "page_headings",
+    f"""
+SELECT page_id, CAST(i - 1 AS INTEGER) AS position, CAST(substr(l[i], 3, 1) AS INTEGER) AS level, {_html_text_sql("l[i]")} AS text
+FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i
+      FROM (SELECT page_id, regexp_extract_all({PAGE_BODY_SQL}, '(?is)<h[1-6][\\s>].*?</h[1-6]>') AS l FROM pages))""",
+)
+def page_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every heading of every page."""
+    return signals.page_headings(b.table(spark, sf, "pages"))
+
+
+def _page_alerts_sql() -> str:
+    parts = [f"SELECT 'mention[{name}]' AS check_name, page_id, url FROM main WHERE regexp_matches(lower(text), '{_wp(pattern)}')" for name, pattern in signals.ALERT_RULES]
+    return (
+        f"WITH main AS ({MAIN_TEXT_SQL})\nSELECT check_name, 'pages' AS \"table\", false AS passed, 'info' AS severity, 'page_id=' || CAST(page_id AS VARCHAR) AS message, "
+        f"{AS_OF_SQL} AS measured_at, regexp_extract(url, '^https?://([^/?#]+)', 1) AS segment FROM ({' UNION ALL '.join(parts)})"
+    )
+
+
+@register("page_alerts", _page_alerts_sql())
+def page_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alert rules on the main text of every page (menus and link lists raise none)."""
+    pages = b.table(spark, sf, "pages")
+    host = pages.select("page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host"))
+    main = signals.main_text(pages).join(host, "page_id")
+    return ntz(signals.keyword_alerts(main, "page_id", "host", "pages", as_of=AS_OF))

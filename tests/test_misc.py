@@ -7,7 +7,7 @@ from kestrel import schemas, session
 from kestrel.operators import dedup, ranking, signals, upsert
 from kestrel.plans import refresh
 from kestrel.session import scratch_path
-from kestrel.sinks import lake
+from kestrel.sinks import keyed
 from kestrel.sources import landing, payloads
 
 T0 = dt.datetime(2026, 5, 1)
@@ -25,10 +25,11 @@ def test_read_landed_records_and_missing_folder(spark):
 
 def test_bootstrap_is_idempotent(spark):
     root = scratch_path(spark, "boot")
-    names = {"github_repos": schemas.GITHUB_REPOS, "hn_stories": schemas.HN_STORIES}
-    assert sorted(lake.bootstrap(spark, root, names)) == ["github_repos", "hn_stories"]
-    assert lake.bootstrap(spark, root, names) == []
-    assert lake.VersionedTable(spark, f"{root}/github_repos").read().schema.names == schemas.GITHUB_REPOS.names
+    names = ["github_repos", "hn_stories"]
+    assert keyed.bootstrap(spark, root, names) == names
+    assert keyed.bootstrap(spark, root, names) == []
+    made = keyed.keyed_table(root, "github_repos").read(spark)
+    assert made.schema.names == schemas.GITHUB_REPOS.names and made.isEmpty()
 
 
 def test_facts_upsert_refreshes_everything(spark):
@@ -49,17 +50,22 @@ def test_demo_checks_log_only_failures(spark):
     assert logged == 2 and spark.read.parquet(store.alerts).count() == 2
 
 
-def test_hiring_spike(spark):
-    from kestrel.operators import signals
-
-    rows = []
-    for d in range(8):
-        rows += [("acme", f"role {i}", dt.date(2026, 5, 1 + d)) for i in range(10 if d < 7 else 40)]
-    rows += [("beta", "role", dt.date(2026, 5, 8))]
-    df = spark.createDataFrame(rows, "company string, title string, scraped_on date")
-    out = {(r.company, r.day): r for r in signals.hiring_spike(df).collect()}
-    assert out[("acme", dt.date(2026, 5, 8))].spike and not out[("acme", dt.date(2026, 5, 7))].spike
-    assert not out[("beta", dt.date(2026, 5, 8))].spike  # no baseline yet
+def test_posting_periods_and_spikes(spark):
+    day = lambda d: dt.date(2026, 5, d)
+    # acme is looked at on days 1 to 10 but for day 5; "x" is gone on day 3 and from day 8 on; "y" stays; day 9 brings 20 postings
+    shown = [("acme", "x", day(d)) for d in (1, 2, 4, 6, 7)] + [("acme", "y", day(d)) for d in (1, 2, 3, 4, 6, 7, 8, 9, 10)]
+    shown += [("acme", f"n{i}", day(9)) for i in range(20)] + [("acme", "x", day(2)), (None, "z", day(1)), ("beta", "x", day(4))]
+    listings = spark.createDataFrame(shown, "company string, source_url string, scraped_on date")
+    periods = signals.posting_periods(listings)
+    got = {(r.company, r.source_url, r.opened.day): r.closed and r.closed.day for r in periods.collect()}
+    assert got[("acme", "x", 1)] == 3 and got[("acme", "x", 4)] == 8 and got[("acme", "y", 1)] is None and got[("acme", "n3", 9)] == 10
+    assert got[("beta", "x", 4)] is None and len(got) == 3 + 20 + 1
+    # a board seen empty closes what it had
+    empty_board = spark.createDataFrame([("beta", day(6))], "company string, day date")
+    assert {r.closed for r in signals.posting_periods(listings, snapshots=empty_board).where("company = 'beta'").collect()} == {day(6)}
+    activity = {(r.company, r.day.day): r for r in signals.hiring_activity(periods).collect()}
+    assert activity[("acme", 9)].openings == 20 and activity[("acme", 9)].spike and activity[("acme", 10)].closings == 20
+    assert activity[("acme", 5)].openings == 0 and not activity[("acme", 4)].spike
 
 
 def test_last_wins_ignores_a_null_order(spark):
@@ -117,3 +123,48 @@ def test_shared_dir_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_sentiment_near_mentions(spark):
+    far = " ".join(["filler"] * 20)
+    texts = [f"Great news: dbt labs is good. {far} terrible dbt-labs!", f"awful {far} apache {far} bad", "good good dbtlabs labs dbt", None, "", "dbt labs"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.company: tuple(r)[1:] for r in signals.mention_sentiment(docs, ["dbt-labs", "apache"], within=5).collect()}
+    assert got == {"dbt-labs": (2, 3, 3, round((1 + 1 - 1) / 3, 6)), "apache": (1, 1, 0, None)}
+
+
+def test_grams_scale_with_name_starts(spark):
+    names = spark.createDataFrame([("Acme Corp of Spain",), ("zeta",), ("Acme",), ("...",)], "name string")
+    words = [f"w{i}" for i in range(5000)]
+    words[10:14] = ["acme", "corp", "of", "spain"]
+    words[4000], words[4999] = "zeta", "acme"
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "ZETA zeta")], "id int, text string")
+    got = {(r.id, r.name): r.mentions for r in signals.mention_match(docs, names, "id").collect()}
+    assert got == {(1, "Acme Corp of Spain"): 1, (1, "Acme"): 2, (1, "zeta"): 1, (3, "zeta"): 2}
+    from pyspark.sql import functions as F
+
+    grams = names.select(F.explode(F.array(F.lit("acme corp of spain"), F.lit("zeta"), F.lit("acme"))).alias("gram"))
+    first = signals._first_tokens(grams)
+    n = docs.where("id = 1").select(signals.tokens(F.col("text")).alias("t")).select(F.size(signals.candidate_grams(F.col("t"), [1, 4], first)).alias("n")).first().n
+    assert n <= 20  # three starts, two lengths, and a few chance hits in the bit set; not 5000 x 2
+
+
+def test_peer_rank_keeps_companies_without_a_group(spark):
+    gold = spark.createDataFrame([("a", 10), ("b", 30), ("c", 5), ("d", 5)], "org string, total_stars long")
+    peers = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "org string, peer_group string")
+    got = {r.org: (r.peer_group, r.peer_rank, r.peer_share) for r in signals.peer_rank(gold, peers).collect()}
+    assert got == {"a": ("x", 2, 0.25), "b": ("x", 1, 0.75), "c": (None, 1, 0.5), "d": (None, 1, 0.5)}
+
+
+def test_page_texts_links_and_headings(spark):
+    html = """<html lang='en'><head><title>T</title><style>p {}</style></head><body><ul><li><a href='/a'>Menu one is a long link text here</a></li>
+      <li><a class="x" href="/b">Menu two</a></li></ul><H2 id=1>Big &amp; small</H2><p>This paragraph has <b>enough</b> plain text, and <a href=c>one link</a>.</p>
+      <script>var a = "<p>not text at all, though long enough</p>";</script><p>short</p><!-- <h1>no</h1> --></body></html>"""
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    main = {r.page_id: r for r in signals.main_text(pages).collect()}
+    assert main[1].text == "This paragraph has enough plain text, and one link." and main[1].main_blocks == 1
+    assert (main[2].text, main[2].blocks, main[3].main_blocks) == ("", 0, 0)
+    links = [(r.position, r.href, r.text) for r in signals.page_links(pages).orderBy("position").collect()]
+    assert links == [(0, "/a", "Menu one is a long link text here"), (1, "/b", "Menu two"), (2, "c", "one link")]
+    assert [(r.level, r.text) for r in signals.page_headings(pages).collect()] == [(2, "Big & small")]
+    assert signals.page_extract(pages).where("page_id = 1").first().lang == "en"

@@ -150,3 +150,32 @@ def test_story_quarantine(spark):
     valid, bad = payloads.parse_stories(landed(spark, "company", "c", payload), with_quarantine=True)
     assert [r.title for r in valid.collect()] == ["ok"]
     assert [(r.title, r._bad) for r in bad.collect()] == [("no time", "missing created_at")]
+
+
+def test_broken_contributor_forum_and_summary_pages_are_kept(spark):
+    html, cut = "<html>502</html>", '{"data": {"children": [{"data": {"title": "t"'
+    pages = spark.createDataFrame([("r1", html), ("r2", '[{"login": "a", "contributions": 1}, {"login": "b"}]'), ("r3", "[]"), ("r4", None), ("r5", '[{"login":"a"')], "repo string, payload string")
+    good, bad = payloads.parse_contributors(pages, with_quarantine=True)
+    assert [(r.repo, r.login, r.contributions) for r in good.collect()] == [("r2", "a", 1)]
+    assert {(r.repo, r._bad) for r in bad.collect()} == {("r1", "unparsable page"), ("r2", "missing contributions"), ("r5", "unparsable page")}
+
+    post = '{"data": {"children": [{"data": {"title": "t", "score": "%s"}}, {"kind": "x"}]}}'
+    forums = spark.createDataFrame([("s1", html), ("s2", cut), ("s3", post % "3000000000"), ("s4", post % "5"), ("s5", '{"error": 404}'), ("s6", '{"data": {"children": []}}')],
+                                   "subreddit string, payload string")
+    good, bad = payloads.parse_posts(forums, with_quarantine=True)
+    assert [(r.subreddit, r.score) for r in good.collect()] == [("s4", 5)]
+    assert {(r.subreddit, r._bad) for r in bad.collect()} == {("s1", "unparsable page"), ("s2", "unparsable page"), ("s3", "bad score"), ("s3", "malformed record"),
+                                                             ("s4", "malformed record"), ("s5", "unparsable page")}
+
+    titles = spark.createDataFrame([(n, "T") for n in "abcdef"] + [("z", None)], "name string, searched_title string")
+    summaries = spark.createDataFrame([("a", 200, '{"extract": "fine"}'), ("b", 500, html), ("c", 200, html), ("d", 404, "{}"), ("e", None, '{"extract": "no status"}'), ("f", 200, None)],
+                                      "name string, status int, payload string")
+    good, bad = payloads.parse_facts(titles, summaries, with_quarantine=True)
+    assert {(r.name, r.summary) for r in good.collect()} == {("a", "fine"), ("e", "no status")}
+    assert {(r.name, r._bad) for r in bad.collect()} == {("b", "status 500"), ("c", "unparsable page"), ("f", "unparsable page")}
+    # and a stored summary survives them
+    from kestrel.operators import upsert
+
+    stored = upsert.upsert(upsert.empty_table(spark, "wikipedia_companies"), payloads.parse_facts(titles, summaries.where("name = 'a'")).drop("scraped_at"), upsert.FACTS_RULE)
+    again = upsert.upsert(stored, payloads.parse_facts(titles, spark.createDataFrame([("a", 500, html)], summaries.schema)).drop("scraped_at"), upsert.FACTS_RULE)
+    assert again.first().summary == "fine"

@@ -3,11 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from kestrel import schemas
-from kestrel.operators import newest, ranking
+from kestrel.operators import newest, ranking, upsert
+from kestrel.plans import silver
 from kestrel.session import scratch_path
-from kestrel.sinks import lake, warehouse
+from kestrel.sinks import cluster, keyed, lake, warehouse
 
 T0 = dt.datetime(2026, 5, 1)
 
@@ -66,20 +68,113 @@ def test_skew_safe_rank_matches_window(spark):
                     sorted(expect.groupBy("g", "v", "r").count().collect(), key=key), (method, desc, buckets)
 
 
-def test_versioned_table_and_gold(spark):
-    root = scratch_path(spark, "vt")
-    t = lake.VersionedTable(spark, root)
-    assert t.latest_version() is None
-    df = spark.createDataFrame([("a", 1), ("b", 2)], "org string, n int")
-    assert t.write(df) == 1
-    # overwrite while reading the current version: the new version is written beside it
-    assert t.write(t.read().where("n > 1")) == 2
-    assert [r.org for r in t.read().collect()] == ["b"] and t.read(1).count() == 2
-    assert lake.optimize_table(spark, root, ["org"]) == 3
-    gold = scratch_path(spark, "gold")
-    lake.write_gold(df, gold)
-    lake.write_gold(df.where("n = 1"), gold)
-    assert lake.read_gold(spark, gold).count() == 1
+def files_of(spark, path, partition):
+    """Data files per partition value."""
+    rows = spark.read.parquet(path).select(F.input_file_name().alias("f"), partition).distinct().collect()
+    out = {}
+    for r in rows:
+        out.setdefault(r[partition], set()).add(r.f)
+    return out
+
+
+def test_upsert_replaces_only_touched_buckets(spark):
+    table = keyed.keyed_table(scratch_path(spark, "keyed"), "hn_stories", buckets=16)
+    cols = "story_url string, company string, title string, points int, num_comments int, author string, created_at timestamp, seq int"
+    t0 = dt.datetime(2026, 5, 1)
+    first = spark.createDataFrame([(f"u{i}", "acme", "t", i, 0, "a", t0, i) for i in range(200)], cols)
+    assert not table.read(spark).take(1)
+    written = table.upsert(first, upsert.STORIES_RULE, seq="seq", as_of=t0)
+    assert written.rows == 200 and len(written.buckets) == 16
+    before = files_of(spark, table.path, table.partition)
+    second = spark.createDataFrame([("u7", "other", "t2", 99, 1, "b", t0, 1), ("new", "beta", "n", 1, 1, "c", t0, 2), (None, "x", "x", 1, 1, "x", t0, 3)], cols)
+    touched = table.upsert(second, upsert.STORIES_RULE, seq="seq", as_of=t0 + dt.timedelta(days=1))
+    assert touched.rows == 2 and 1 <= len(touched.buckets) <= 2
+    after = files_of(spark, table.path, table.partition)
+    assert {k for k in after if after[k] != before.get(k)} == set(touched.buckets)
+    rows = {r.story_url: r for r in table.read(spark).collect()}
+    assert len(rows) == 201 and (rows["u7"].company, rows["u7"].points) == ("acme", 99) and rows["u8"].points == 8
+    # repeating the batch (as after a broken-off run) changes no row; an empty one writes nothing
+    table.upsert(second, upsert.STORIES_RULE, seq="seq", as_of=t0 + dt.timedelta(days=1))
+    assert {r.story_url: r for r in table.read(spark).collect()} == rows
+    assert table.upsert(second.limit(0), upsert.STORIES_RULE) == keyed.Written(0)
+
+
+def test_rows_without_a_place_in_the_order_keep_their_values(spark):
+    batch = spark.createDataFrame([("u", "acme", "first", 5, 1, "a", None), ("u", "beta", "later", 7, 2, "b", 3), ("v", "acme", "only", 9, 4, "c", None)],
+                                  "story_url string, company string, title string, points int, num_comments int, author string, seq int")
+    batch = batch.withColumn("created_at", F.lit(dt.datetime(2026, 5, 1)))
+    rows = {r.story_url: r for r in upsert.upsert(upsert.empty_table(spark, "hn_stories"), batch, upsert.STORIES_RULE, seq="seq", as_of=dt.datetime(2026, 5, 2)).collect()}
+    assert (rows["u"].company, rows["u"].title, rows["u"].points) == ("acme", "first", 7)
+    assert (rows["v"].company, rows["v"].points, rows["v"].author) == ("acme", 9, "c")
+
+
+def test_gold_runs_and_history(spark):
+    path = scratch_path(spark, "gold")
+    schema = "org string, n int, peer string, computed_at timestamp"
+    days = [dt.datetime(2026, 5, d) for d in (1, 2, 3, 4)]
+    with pytest.raises(FileNotFoundError):
+        lake.read_gold(spark, path)
+    snaps = [[("a", 1), ("b", 2)], [("a", 1), ("b", 3)], [("a", 1)], [("a", 1), ("b", 3)]]
+    for day, rows in zip(days, snaps):
+        lake.write_gold(spark.createDataFrame([(k, n, None, day) for k, n in rows], schema), path, day)
+    assert lake.read_gold(spark, path).count() == 2
+    # a repeated run takes its own place, not a new one
+    lake.write_gold(spark.createDataFrame([("a", 1, None, days[3])], schema), path, days[3])
+    assert [r.org for r in lake.read_gold(spark, path).collect()] == ["a"]
+    lake.write_gold(spark.createDataFrame([(k, n, None, days[3]) for k, n in snaps[3]], schema), path, days[3])
+    got = {(r.org, r.valid_from.day): (r.n, r.valid_to and r.valid_to.day) for r in lake.intervals(lake.read_history(spark, path), ["org"], ["n", "peer"], "computed_at").collect()}
+    assert got == {("a", 1): (1, None), ("b", 1): (2, 2), ("b", 2): (3, 3), ("b", 4): (3, None)}
+
+
+def test_silver_by_runs_equals_one_full_build(spark):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("at", T.TimestampType()),
+                           T.StructField(silver.INGESTED_AT, T.TimestampType())])
+    at = lambda d, h=0: dt.datetime(2026, 5, d, h)
+    runs = {
+        "at-1": [("a", 1, at(1), at(1)), ("b", 1, at(1), at(1)), ("c", None, at(9), at(1)), (None, 3, at(1), at(1)), ("d", 1, None, at(1))],
+        "at-2": [("a", 2, at(2), at(2)), ("b", 2, at(1), at(2)), ("c", 5, at(2), at(2)), ("e", 1, at(1), at(2)), ("e", 2, at(1), at(2))],
+    }
+
+    def job(root):
+        table = keyed.KeyedTable(f"{root}/silver", ("k",), schema, buckets=4)
+        return silver.SilverJob(f"{root}/bronze", table, "at", ("k", "v", "at"), root)
+
+    step, full = job(scratch_path(spark, "silver-step")), job(scratch_path(spark, "silver-full"))
+    for run, rows in runs.items():
+        frame = spark.createDataFrame(rows, schema)
+        lake.write_run(frame, step.bronze, run)
+        assert silver.build(spark, step) == [run] and silver.build(spark, step) == []
+        lake.write_run(frame, full.bronze, run)
+    silver.build(spark, full)
+    want = {"a": 2, "b": 2, "c": 5, "e": 2}
+    for each in (step, full):
+        assert {r.k: r.v for r in each.table.read(spark).collect()} == want
+        bad = spark.read.parquet(each.quarantine).collect()
+        assert sorted((r.run, r._bad) for r in bad) == [("at-1", "missing at"), ("at-1", "missing k"), ("at-1", "missing v")]
+    # taking a run in once more (a build broken off before it was marked) changes nothing
+    silver.build(spark, step, runs=["at-1"])
+    assert {r.k: r.v for r in step.table.read(spark).collect()} == want and spark.read.parquet(step.quarantine).count() == 3
+
+
+def test_clustered_files_are_skipped_by_either_column(spark):
+    source, target = scratch_path(spark, "plain"), scratch_path(spark, "clustered")
+    df = spark.range(20_000).select((F.xxhash64("id") % 1000).alias("a"), F.concat(F.lit("key-"), F.lpad((F.abs(F.xxhash64(F.col("id") + 7)) % 5000).cast("string"), 5, "0")).alias("b"),
+                                    F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id")).alias("c"))
+    df.write.parquet(source)
+    from kestrel.session import folder_bytes
+
+    files = cluster.compact(spark, source, target, ["a", "b"], file_bytes=folder_bytes(spark, source) // 64)
+    assert 60 <= files <= 66
+    back = spark.read.parquet(target)
+    assert back.exceptAll(spark.read.parquet(source)).isEmpty() and back.count() == 20_000
+    ends = back.groupBy(F.input_file_name().alias("f")).agg(*[g(c).alias(f"{n}_{c}") for c in "ab" for n, g in (("lo", F.min), ("hi", F.max))]).collect()
+    for column, values in (("a", [-700, 0, 650]), ("b", ["key-00100", "key-02500", "key-04900"])):
+        for v in values:
+            assert sum(r[f"lo_{column}"] <= v <= r[f"hi_{column}"] for r in ends) <= len(ends) * 0.3
+    # nulls, columns of one value, and a single file
+    assert cluster.compact(spark, source, scratch_path(spark, "clustered"), ["c"]) == 1
+    one = df.withColumn("same", F.lit(1))
+    assert cluster.clustered(one, ["same", "c"], 3).count() == 20_000
 
 
 def test_bronze_append_merges_columns(spark):

@@ -37,7 +37,7 @@ def test_refresh_end_to_end(spark):
     s = stories[0]
     # within databricks the last duplicate wins; across companies the first company is kept, counters refreshed
     assert (s.company, s.title, s.author, s.points) == ("databricks", "A again", "y", 9)
-    gold = {r.org: r for r in lake.VersionedTable(spark, store.gold("company_signals")).read(1).collect()}
+    gold = {r.org: r for r in lake.read_gold(spark, store.gold("company_signals")).collect()}
     assert gold["databricks"].repo_count == 2 and gold["databricks"].hn_mentions == 1
     assert gold["apache"].total_stars == 200 and gold["apache"].hn_mentions == 0
     assert "untracked" not in gold and "dbt-labs" not in gold
