@@ -10,8 +10,8 @@ belongs to the result can be lost, so the recall is 1.
 
 Defined results: vectors that are null, empty, of zero length, or hold a null or non-finite number
 take no part; so do null ids; vectors are compared with those of their own dimension; repeated rows
-are candidates each, except rows with the query's own id, and a query once; ties go to the smaller id; an empty table
-yields no rows; other columns are ignored.
+are candidates each, except rows with the query's own id; an id is asked once for each number of components, with the smallest
+of its vectors, compared component by component, if its rows differ; ties go to the smaller id; an empty table yields no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,7 +90,7 @@ def _runs(sorted_: np.ndarray) -> tuple[list[int], list[int]]:
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score; both inputs have id and vec, as ``vectors`` returns them."""
     candidates = materialize(candidates.withColumn("dim", F.size("vec")), "ann-candidates")
-    queries = materialize(queries.distinct().withColumn("dim", F.size("vec")), "ann-queries")
+    queries = materialize(queries.groupBy("id", F.size("vec").alias("dim")).agg(F.min("vec").alias("vec")), "ann-queries")
     q_blocks = max(1, -(-queries.count() // query_block))
     c_blocks = max(1, -(-candidates.count() // candidate_block))
 
@@ -112,6 +112,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = K, query_block:
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     heaps = left.cogroup(right).applyInPandas(tile, "query_id long, vec_id long, score double")
+    # One id with vectors of two dimensions: the nearest of both.
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k)
     merged = heaps.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best"))
     return merged.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", (-F.col("col.far")).alias("score"))

@@ -6,11 +6,13 @@ an entity e is measured on the whole corpus, in bits, with probabilities as shar
 PMI(e; t) = log2(p(e, t) / (p(e) p(t))), against IC(e) = -log2 p(e), the information needed to name e.
 PMI / IC is 1 where t never occurs without e. Terms of a ratio of at least ``GENERALISE`` are replaced
 by a class name, of at least ``REMOVE`` taken out, wherever they stand in a document that holds e. A
-pair must be seen in ``SUPPORT`` documents: one document alone gives no estimate.
+pair must be seen with ``SUPPORT`` different contexts of e, the ``CONTEXT`` characters on either side of it up to its
+neighbours of the same kind: one document alone gives no estimate, nor do its copies, exact or with changes elsewhere.
 
 Co-occurrence is counted over whole documents. Of N documents, df hold t, e_df hold e and both hold
 the two, at most e_df. A ratio of r needs df <= both * (N / e_df)^(1 - r), so t is joined to e only where
-df <= e_df * (N / e_df)^(1 - r): no pair that could reach r is left out. Only DataFrame operations are used.
+df <= e_df * (N / e_df)^(1 - r): no pair that could reach r is left out. Entities that the same documents hold (a
+directory's, say) tell the same about every term and are counted as one. Only DataFrame operations are used.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned row by row; an
 empty table yields no rows; a text of any length is scanned in linear time (possessive
@@ -38,6 +40,7 @@ PATTERNS = {
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 TERM = r"[\p{L}\p{M}\p{N}]++"
 SUPPORT = 2
+CONTEXT = 32
 GENERALISE, REMOVE = 0.8, 0.95
 
 
@@ -73,9 +76,15 @@ def is_valid(kind: Column, value: Column) -> Column:
 
 
 def _matches(kind: str, gaps: str, found: str) -> Column:
-    """One struct per match: kind, place among its kind, value, and length of the gap before it."""
-    zipped = F.arrays_zip(F.col(found).alias("m"), F.col(gaps).alias("g"))
-    each = F.transform(zipped, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("place"), x["m"].alias("value"), F.length(x["g"]).cast("long").alias("gap")))
+    """One struct per match: kind, place among its kind, value, length of the gap before it, and a hash of its context."""
+    following = F.slice(gaps, F.lit(2), F.size(gaps))
+    zipped = F.arrays_zip(F.col(found).alias("m"), F.col(gaps).alias("g"), following.alias("f"))
+
+    def one(x: Column, i: Column) -> Column:
+        context = F.xxhash64(F.substring(x["g"], -CONTEXT, CONTEXT), F.substring(x["f"], 1, CONTEXT))
+        return F.struct(F.lit(kind).alias("kind"), i.alias("place"), x["m"].alias("value"), F.length(x["g"]).cast("long").alias("gap"), context.alias("context"))
+
+    each = F.transform(zipped, one)
     return F.filter(each, lambda x: x["value"].isNotNull())
 
 
@@ -95,12 +104,12 @@ def scan(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 
 def entities(scanned: DataFrame) -> DataFrame:
-    """One row per valid span: rid, kind, value, start and end (code points, end exclusive)."""
+    """One row per valid span: rid, kind, value, start and end (code points, end exclusive), context."""
     each = scanned.select("rid", F.explode("found").alias("x")).select("rid", "x.*")
     so_far = W.partitionBy("rid", "kind").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(so_far)
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    return placed.filter(is_valid(F.col("kind"), F.col("value"))).select("rid", "kind", "value", "start", "end")
+    return placed.filter(is_valid(F.col("kind"), F.col("value"))).select("rid", "kind", "value", "start", "end", "context")
 
 
 def _terms(text: Column) -> Column:
@@ -115,26 +124,33 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 
 def together(scanned: DataFrame, spans: DataFrame, terms: DataFrame, n_docs: int, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """One row per document, entity and term it holds that could reach the threshold: rid, kind, value, e_df, term, df."""
-    repeated = spans.groupBy("kind", "value").agg(F.count_distinct("rid").alias("e_df")).filter((F.col("e_df") >= support) & (F.col("e_df") < n_docs))
+    """One row per document, set of entities with the same documents, and term it holds that could reach the threshold: rid, held, e_df, context, term, df.
+
+    ``held`` is a hash of the documents that hold the entities; a document's contexts of them are taken together.
+    """
+    per_row = materialize(spans.groupBy("rid", "kind", "value").agg(F.bit_xor("context").alias("context")), "pii-entities")
+    shown = per_row.groupBy("kind", "value").agg(
+        F.count(F.lit(1)).alias("e_df"), F.bit_xor(F.xxhash64("rid")).alias("held"), F.count_distinct("context").alias("contexts"))
+    repeated = shown.filter((F.col("contexts") >= support) & (F.col("e_df") < n_docs)).drop("contexts")
     # Just above the bound of the module's docstring, so that rounding loses no pair.
     most = F.col("e_df") * F.pow(F.lit(n_docs) / F.col("e_df"), F.lit(1 - threshold)) * (1 + 1e-9)
     # Written tables on both sides: a value or term that a third of all rows share is split at run time.
-    held = materialize(repeated.withColumn("most", most), "pii-held")
+    known = materialize(repeated.withColumn("most", most), "pii-held")
     frequent = materialize(terms.filter(F.col("df") >= support), "pii-terms")
-    named = materialize(spans.select("rid", "kind", "value").distinct().join(held, ["kind", "value"]), "pii-named")
+    named = per_row.join(known, ["kind", "value"]).groupBy("rid", "held", "e_df", "most").agg(F.bit_xor("context").alias("context"))
+    named = materialize(named, "pii-named")
     reach = materialize(named.groupBy("rid").agg(F.max("most").alias("reach")), "pii-reach")
     words = scanned.select("rid", "text").join(reach, "rid").select("rid", "reach", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     inside = words.join(frequent, "term").filter(F.col("df") <= F.col("reach")).select("rid", "term", "df")
-    return named.join(inside, "rid").filter(F.col("df") <= F.col("most")).select("rid", "kind", "value", "e_df", "term", "df")
+    return named.join(inside, "rid").filter(F.col("df") <= F.col("most")).select("rid", "held", "e_df", "context", "term", "df")
 
 
 def disclosing(near: DataFrame, n_docs: int, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """kind, value, term, ratio of the pairs that reach the threshold."""
-    pairs = near.groupBy("kind", "value", "term", "e_df", "df").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= support)
+    """held, e_df, term, ratio of the pairs that reach the threshold."""
+    counts = near.groupBy("held", "e_df", "term", "df").agg(F.count(F.lit(1)).alias("both"), F.count_distinct("context").alias("contexts"))
     ic = F.log2(F.lit(n_docs) / F.col("e_df"))
     pmi = F.log2(F.col("both") * F.lit(n_docs) / (F.col("e_df") * F.col("df")))
-    return pairs.select("kind", "value", "term", (pmi / ic).alias("ratio")).filter(F.col("ratio") >= threshold)
+    return counts.filter(F.col("contexts") >= support).select("held", "e_df", "term", (pmi / ic).alias("ratio")).filter(F.col("ratio") >= threshold)
 
 
 def occurrences(scanned: DataFrame, told: DataFrame) -> DataFrame:
@@ -178,7 +194,7 @@ def find(docs: DataFrame, carry: list[str], support: int = SUPPORT, threshold: f
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     patterns = spans.select("rid", "start", rank.alias("rank"), "end", "kind", F.lit(None).cast("double").alias("ratio"))
     # Tables on both sides: a value that a third of all spans share is split at run time.
-    told = near.join(pairs, ["kind", "value", "term"]).groupBy("rid", "term").agg(F.max("ratio").alias("ratio"))
+    told = near.join(pairs, ["held", "e_df", "term"]).groupBy("rid", "term").agg(F.max("ratio").alias("ratio"))
     placed = F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind", "ratio")))
     per_row = _clear_of(patterns, occurrences(scanned, told)).groupBy("rid").agg(placed.alias("spans"))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,ratio:double>>")

@@ -1,11 +1,12 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The tokens of a text are its lower-cased words and one end. A word that makes up at least
-``WORD_SHARE`` of the training tokens is a symbol of its own; the others share ``ENDINGS`` symbols by
-their last two bytes. A context is the last few symbols, the start of the text included. Contexts of
-up to ``DEPTH`` symbols that make up at least ``CONTEXT_SHARE`` of all training tokens are candidates:
-at most 1 / CONTEXT_SHARE of each length, with at most 1 / WORD_SHARE + ENDINGS + 1 next symbols, however
-large the corpus. A candidate is retained if its next-symbol counts diverge from those of the context
+The tokens of a text are its lower-cased words and one end. A word that occurs often enough in training is
+a symbol of its own; the others share ``ENDINGS`` symbols by their last two bytes. A context is the last few symbols, the
+start of the text included; contexts of up to ``DEPTH`` symbols that occur often enough are candidates.
+"Often enough" is ``WORD_SHARE`` or ``CONTEXT_SHARE`` of the tokens in a corpus of ``SHARE_TOKENS``, and grows with the 2/3 power
+of the corpus beyond (see ``least_count``): the tree grows with the corpus, by its cube root at the least, to at most
+(tokens / SHARE_TOKENS)^(1/3) / CONTEXT_SHARE candidates of each length. Next symbols seen once after a context are left to
+smoothing. A candidate is retained if its next-symbol counts diverge from those of the context
 one symbol shorter by more bits than its own table costs (``COST`` * log2 of the corpus for each next
 symbol), or if a longer context that ends in it is retained. A state's next-symbol distribution is
 smoothed with that of the state one symbol shorter, by as many pseudo-counts as it has distinct next
@@ -45,8 +46,9 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import materialize, text_or_empty
 
 DEPTH = 3
-#: Least share of the training tokens for a word to be a symbol of its own, and for a context to be a candidate.
+#: Least share of ``SHARE_TOKENS`` training tokens for a word to be a symbol of its own, and for a context to be a candidate.
 WORD_SHARE, CONTEXT_SHARE = 2e-4, 5e-4
+SHARE_TOKENS = 50_000
 #: Bits that a state must save for each of its next symbols, times the bits of a corpus position.
 COST = 0.5
 #: Symbols that all other words share, by how they end.
@@ -59,6 +61,11 @@ _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+def least_count(tokens: int, share: float) -> float:
+    """How often a word or context must occur: ``share`` of a small corpus, growing with the 2/3 power of a larger one."""
+    return max(2.0, share * tokens * min(1.0, (SHARE_TOKENS / max(tokens, 1)) ** (1 / 3)))
+
+
 class _Index(dict):
     """Word -> its number in the order of first sight."""
 
@@ -258,7 +265,7 @@ def _of_block(batch: pa.RecordBatch, i: int, *names: str) -> list:
 
 
 def next_counts(staged: DataFrame, tree: Tree, contexts: list[tuple[int, ...]]) -> dict[tuple[int, ...], dict[int, int]]:
-    """Next-symbol counts of these contexts, all of one length, over the training documents."""
+    """Next-symbol counts, from two up, of these contexts, all of one length, over the training documents."""
     depth = len(contexts[0])
     by_key = {int(np.int64(context_key(c))): c for c in contexts}
     keys = np.sort(np.array(list(by_key), np.int64).view(np.uint64))
@@ -283,7 +290,7 @@ def next_counts(staged: DataFrame, tree: Tree, contexts: list[tuple[int, ...]])
                 yield pa.RecordBatch.from_arrays([pa.array(key[one].view(np.int64)), pa.array(symbol[one].astype(np.int32)), pa.array(n)], names=["context", "symbol", "n"])
 
     rows = staged.select("held", "sizes", "tokens", "words").mapInArrow(run, "context long, symbol int, n long")
-    table = rows.groupBy("context", "symbol").agg(F.sum("n").alias("n")).toArrow()
+    table = rows.groupBy("context", "symbol").agg(F.sum("n").alias("n")).filter("n >= 2").toArrow()
     out: dict[tuple[int, ...], dict[int, int]] = {}
     for context, symbol, n in zip(*(table.column(c).to_pylist() for c in ("context", "symbol", "n"))):
         out.setdefault(by_key[context], {})[symbol] = n
@@ -301,7 +308,7 @@ def _level(kept: dict[tuple[int, ...], dict[int, int]]) -> Level:
 
 def grow(staged: DataFrame, own: dict[bytes, int], root: np.ndarray, symbol_counts: np.ndarray, tokens: int, depth: int = DEPTH, share: float = CONTEXT_SHARE, cost: float = COST) -> Tree:
     """Candidates length by length, each from the next-symbol counts of shorter ones; then the divergence test from the longest down."""
-    least = max(2.0, share * tokens)
+    least = least_count(tokens, share)
     bits = cost * math.log2(max(tokens, 2))
     tree = Tree(own, root, [])
     contexts: list[tuple[int, ...]] = [(int(s),) for s in np.flatnonzero(symbol_counts >= least) if s != END]
@@ -353,8 +360,8 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     below = n + 0.5 * (v + 1)
     unseen = (sums["once"] + 0.5) / (n + 1.0)
 
-    # At most 1 / WORD_SHARE words.
-    least = max(2.0, WORD_SHARE * n)
+    # At most (n / SHARE_TOKENS)^(1/3) / WORD_SHARE words.
+    least = least_count(n, WORD_SHARE)
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,7 +395,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     counts[START] = counts[END] = ends
     mass[END] = ends + 0.5
     tree = grow(staged, own, mass / mass.sum(), counts, n, depth)
-    # Bounded by the shares, see the module's first paragraph.
+    # Bounded by the cube root of the corpus, see the module's first paragraph.
     sent = docs.sparkSession.sparkContext.broadcast((tree, mass))
 
     parts = F.transform(F.sort_array(F.collect_list(F.struct("bucket", "counts"))), lambda x: x["counts"])

@@ -110,3 +110,64 @@ def nearest(vectors, queries, k=5):
         order = [i for i in np.lexsort((ids, -s)) if ids[i] != q][:k]
         out[q] = [(int(ids[i]), float(s[i])) for i in order]
     return out
+
+
+def tree_scores(rows, held, module):
+    """doc_id -> score of the suffix tree, with plain dictionaries; constants and the ending of a word come from ``module``."""
+    tokens = {i: [w.encode() for w in words(t)] for i, t in rows}
+    train = [ws for i, ws in tokens.items() if not held(i)]
+    count = Counter(w for ws in train for w in ws)
+    n, ends = sum(count.values()) + len(train), len(train)
+    unseen = (sum(c == 1 for c in count.values()) + 0.5) / (n + 1)
+    least_word, least = module.least_count(n, module.WORD_SHARE), module.least_count(n, module.CONTEXT_SHARE)
+    symbol = lambda w: w if count[w] >= least_word else module._ending(w)
+    mass = Counter({"end": ends + 0.5})
+    for w, c in count.items():
+        mass[symbol(w)] += c + 0.5
+    root = {s: m / sum(mass.values()) for s, m in mass.items()}
+    laid = lambda ws: ["start", *map(symbol, ws), "end"]
+
+    def after(contexts, k):
+        found = defaultdict(Counter)
+        for ws in train:
+            line = laid(ws)
+            for i in range(k, len(line)):
+                if tuple(line[i - k : i]) in contexts:
+                    found[tuple(line[i - k : i])][line[i]] += 1
+        return {c: {s: m for s, m in nexts.items() if m >= 2} for c, nexts in found.items() if max(nexts.values()) >= 2}
+
+    often = Counter(s for ws in train for s in laid(ws))
+    contexts, levels = {(s,) for s, c in often.items() if c >= least and s != "end"}, []
+    while contexts and len(levels) < module.DEPTH:
+        levels.append(after(contexts, len(levels) + 1))
+        contexts = {(*c, s) for c, nexts in levels[-1].items() for s, m in nexts.items() if m >= least and s != "end"}
+    bits, kept, needed = module.COST * math.log2(max(n, 2)), {}, set()
+    for k in range(len(levels) - 1, -1, -1):
+        for c, nexts in levels[k].items():
+            total = sum(nexts.values())
+            short = levels[k - 1].get(c[1:]) if k else None
+            q = {s: short[s] / sum(short.values()) for s in nexts} if k else root
+            if sum(m * math.log2(m / total / q[s]) for s, m in nexts.items()) >= bits * len(nexts) or c in needed:
+                kept[c] = nexts
+                needed.add(c[1:])
+
+    def chance(line, i):
+        p = root.get(line[i], 0)
+        for k in range(1, min(i, module.DEPTH) + 1):
+            nexts = kept.get(tuple(line[i - k : i]))
+            if nexts is None:
+                break
+            p = (nexts.get(line[i], 0) + len(nexts) * p) / (sum(nexts.values()) + len(nexts))
+        return p
+
+    out = {}
+    for i, ws in tokens.items():
+        line, log = laid(ws), 0.0
+        for j, w in enumerate([*ws, None], 1):
+            if w is not None and not count[w]:
+                log += math.log10(unseen)
+            else:
+                inner = 1 if w is None else (count[w] + 0.5) / mass[symbol(w)]
+                log += math.log10(chance(line, j) * inner * (1 - unseen))
+        out[i] = log
+    return out, len(kept)

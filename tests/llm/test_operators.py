@@ -167,7 +167,7 @@ def terms_found(df, texts):
 
 def test_telling_terms_are_found_anywhere_in_the_document(ready):
     far = "the usual words of no one at all " * 10
-    told = [(i, f"Quill, case AB12 of Ng\U0001f600, wrote zq@mail.org. {far}Then QUILL said so; {far}ng agreed on ab12.") for i in range(3)]
+    told = [(i, f"Quill, case AB12 of Ng\U0001f600, wrote zq@mail.org. {'the usual words ' * i}{far}Then QUILL said so; {far}ng agreed on ab12.") for i in range(3)]
     rest = [(10 + i, f"{far}Then one wrote of mail and said so; all agreed on case org.") for i in range(60)]
     texts = dict(told + rest)
     df = ready.createDataFrame(told + rest, "doc_id long, text string")
@@ -189,6 +189,31 @@ def test_telling_terms_beyond_other_matches(ready):
     assert not any(found[i] for i in range(len(told), len(texts)))
 
 
+def test_copies_are_no_evidence(ready):
+    """A document with an address, its exact copy, and a near copy that differs elsewhere: nothing is told but the address."""
+    one = "contact Zephyrine Quill about the offer at zq@mail.org or write to the office in Sundry Lane " + "some other words of the text " * 5
+    rows = [(0, one), (1, one), (2, one + "and a new end")] + [(10 + i, f"the usual words about an offer {i}") for i in range(100)]
+    df = ready.createDataFrame(rows, "doc_id long, text string")
+    assert not any(terms_found(df, dict(rows)).values())
+    assert {r.doc_id: r.text for r in pii.sanitise(df).collect()}[1] == one.replace("zq@mail.org", "<EMAIL>")
+
+
+def test_a_directory_counts_as_one_entity(ready):
+    """Many addresses in the same documents, in different contexts: one row per document and term, not one per address and term."""
+    rnd = random.Random(7)
+    people = [f"p{i}@mail.org" for i in range(300)]
+    rows = []
+    for i in range(2):
+        rnd.shuffle(people)
+        rows.append((i, " , ".join(f"{p} of Orchard, seat {rnd.randint(0, 10**9)}" for p in people)))
+    rows += [(10 + i, f"nothing of note {i}") for i in range(60)]
+    df = ready.createDataFrame(rows, "doc_id long, text string")
+    scanned = pii.scan(df, ["doc_id"])
+    near = pii.together(scanned, pii.entities(scanned), pii.term_documents(df), len(rows))
+    assert 0 < near.count() <= 2 * 700
+    assert set(terms_found(df, dict(rows))[0]) == {"Orchard", "seat"}
+
+
 def test_pairs_pruned_by_df_are_below_the_threshold(ready, corpus):
     """Terms of every document against a count without pruning, on documents that share invented addresses."""
     import math
@@ -238,6 +263,33 @@ def test_lm_scores(ready, corpus, odd, empty):
     assert all(r.n_known == 0 and r.train_tokens == 0 and np.isfinite(r.score) for r in unseen)
 
 
+def test_lm_scores_equal_a_plain_tree(ready, corpus):
+    held = lambda i: brute.crc(i) % 5 == 1
+    want, states = brute.tree_scores(corpus, held, suffix_tree)
+    got = {r.doc_id: r.score for r in queries.op5_lm_score(ready, SF).collect()}
+    assert states > 50 and got.keys() == want.keys()
+    for i, score in want.items():
+        assert got[i] == pytest.approx(score, rel=1e-9)
+
+
+def test_the_tree_grows_with_the_corpus(ready, monkeypatch):
+    sizes, grow = [], suffix_tree.grow
+
+    def watched(*args, **kw):
+        tree = grow(*args, **kw)
+        sizes.append((len(tree.own), sum(len(level.keys) for level in tree.levels)))
+        return tree
+
+    monkeypatch.setattr(suffix_tree, "grow", watched)
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        suffix_tree.score(ready.read.parquet(f"/root/testdata/{sf}/documents.parquet"), F.lit(False))
+    print(sizes)
+    assert sizes[0][0] < sizes[1][0] < sizes[2][0] and sizes[0][1] < sizes[1][1] < sizes[2][1]
+    # At any size: thresholds rise more slowly than the corpus, so there is room for ever more words and contexts.
+    counts = [suffix_tree.least_count(10**k, 5e-4) for k in range(1, 14)]
+    assert counts == sorted(counts) and all(10 * a > 2 * b for a, b in zip(counts[4:], counts[5:]))
+
+
 def test_few_long_documents_have_a_bucket_for_every_block(ready, empty, monkeypatch):
     monkeypatch.setattr(suffix_tree, "BLOCK_CHARS", 1000)
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(400))) for i in range(6)]
@@ -364,6 +416,13 @@ def test_nearest(ready):
     assert np.allclose([s for x in got.values() for _, s in x], [s for q in got for _, s in want[q]], atol=1e-14)
 
 
+def test_nearest_of_an_id_with_two_vectors(ready):
+    rows = [(50, [0.0, 1.0]), (50, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [0.2, 1.0]), (3, [0.2, 1.0])]
+    every = ann.vectors(ready.createDataFrame(rows, "i long, v array<double>"), "i", "v")
+    got = [(r["rank"], r.vec_id) for r in ann.nearest(every.filter("id = 50"), every).orderBy("rank").collect()]
+    assert got == [(1, 2), (2, 3), (3, 3), (4, 1)]
+
+
 def test_nearest_odd(ready):
     inf, nan = float("inf"), float("nan")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1e300]), (4, [-1e-300, 0.0]), (5, None), (6, []), (7, [0.0, 0.0]), (8, [nan, 1.0]), (9, [inf, 1.0]), (10, [None, 1.0]),
