@@ -35,6 +35,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -48,7 +49,7 @@ from kestrel.llm.common import materialize, text_or_empty
 DEPTH = 3
 #: Least share of ``SHARE_TOKENS`` training tokens for a word to be a symbol of its own, and for a context to be a candidate.
 WORD_SHARE, CONTEXT_SHARE = 2e-4, 5e-4
-SHARE_TOKENS = 50_000
+SHARE_TOKENS = 150_000
 #: Bits that a state must save for each of its next symbols, times the bits of a corpus position.
 COST = 0.5
 #: Symbols that all other words share, by how they end.
@@ -167,6 +168,14 @@ def _ending(word: bytes) -> int:
     return FIRST_ENDING + (word[-1] * 257 + (word[-2] if len(word) > 1 else 0)) % ENDINGS
 
 
+def _endings(words: list[bytes]) -> np.ndarray:
+    """``_ending`` of every word."""
+    text = np.frombuffer(b"  " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
+    after = np.flatnonzero(text == 32)[2:] if words else np.empty(0, np.int64)
+    before = np.where(text[after - 2] == 32, 0, text[after - 2])
+    return FIRST_ENDING + (text[after - 1] * 257 + before) % ENDINGS
+
+
 def _deeper(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Key of the context that has one more, older symbol."""
     key = (key ^ (np.asarray(symbol).astype(np.uint64) + np.uint64(1))) * _MIX
@@ -215,8 +224,8 @@ class Tree:
     levels: list[Level]
 
     def symbols(self, words: list[bytes]) -> np.ndarray:
-        own = self.own
-        return np.fromiter((own.get(w) or _ending(w) for w in words), np.int64, len(words))
+        found = np.fromiter(map(self.own.get, words, repeat(0)), np.int64, len(words))
+        return np.where(found > 0, found, _endings(words))
 
     def predict(self, flat: np.ndarray, at: np.ndarray, back: np.ndarray) -> np.ndarray:
         """Probability of the symbol at each of the places ``at``, each of which may look ``back`` so far."""

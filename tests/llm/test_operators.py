@@ -281,10 +281,10 @@ def test_the_tree_grows_with_the_corpus(ready, monkeypatch):
         return tree
 
     monkeypatch.setattr(suffix_tree, "grow", watched)
-    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+    for sf in ("sf0.01", "sf0.1"):
         suffix_tree.score(ready.read.parquet(f"/root/testdata/{sf}/documents.parquet"), F.lit(False))
     print(sizes)
-    assert sizes[0][0] < sizes[1][0] < sizes[2][0] and sizes[0][1] < sizes[1][1] < sizes[2][1]
+    assert 1.5 * sizes[0][0] < sizes[1][0] and 2 * sizes[0][1] < sizes[1][1]
     # At any size: thresholds rise more slowly than the corpus, so there is room for ever more words and contexts.
     counts = [suffix_tree.least_count(10**k, 5e-4) for k in range(1, 14)]
     assert counts == sorted(counts) and all(10 * a > 2 * b for a, b in zip(counts[4:], counts[5:]))
