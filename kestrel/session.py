@@ -1,7 +1,7 @@
 """Session construction and shared-storage helpers.
 
-Everything that has to outlive a task (checkpoints, staged tables, versioned
-table directories) goes under the folder the cluster names in
+Everything that has to outlive a task (checkpoints and staged
+tables) goes under the folder the cluster names in
 ``spark.checkpoint.dir``. Only when that setting is absent (local tests) do we
 pick one ourselves.
 """
