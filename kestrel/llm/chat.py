@@ -13,7 +13,9 @@ string, one for each assistant text, without its ``</turn>``.
 Defined results: turns are ordered by turn (nulls first), then role, then text, so ties and
 repeated rows have one order and all stay; a null text or role is empty; rows without conv_id
 are one conversation; an empty table yields no rows; other columns are ignored. A conversation is
-one output value, so its turns meet in one task.
+one output value, so its turns meet in one task, where they are taken ``CHUNK`` at a time: offsets are
+added up within chunks and over chunks, and masked text is cut chunk by chunk, so that
+the work of 100,000 turns stays near that of reading them.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEARNT = "assistant"
+#: Turns, or spans, that are handled together.
+CHUNK = 256
 # The marks of the template, and what stands for its control characters, in order.
 OPEN, CLOSE, TURN, END = "<|role:", "|>", "</turn>", "<|end|>"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
@@ -71,14 +75,33 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     written = sorted_turns(rows).select("conv_id", _pieces(F.col("turns")).alias("p"))
     text = F.array_join(F.transform("p", lambda x: F.concat(x["head"], x["body"], x["tail"])), "")
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["head"])
-        end = start + F.length(x["body"])
-        span = F.when(x["learnt"], F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-        return F.struct((end + F.length(x["tail"])).alias("at"), F.concat(acc["spans"], span).alias("spans"))
+    chunked = written.select("conv_id", text.alias("formatted"), _chunks(F.col("p")).alias("chunks"))
+    sized = chunked.withColumn("sizes", F.transform("chunks", lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + _written(x))))
+    placed = sized.withColumn("placed", F.arrays_zip("chunks", _running(F.col("sizes")).alias("at")))
+    return placed.select("conv_id", "formatted", F.flatten(F.transform("placed", lambda c: _spans(c["chunks"], c["at"]))).alias("loss"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    return written.select("conv_id", text.alias("formatted"), F.aggregate("p", zero, add, lambda acc: acc["spans"]).alias("loss"))
+
+def _written(piece: Column) -> Column:
+    return F.length(piece["head"]) + F.length(piece["body"]) + F.length(piece["tail"])
+
+
+def _chunks(items: Column, size: int = CHUNK) -> Column:
+    """``items`` cut into arrays of at most ``size``."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(size))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda s: F.slice(items, s, F.lit(size)))
+
+
+def _running(sizes: Column) -> Column:
+    """The sum of what stands before each number."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+    return F.aggregate(sizes, zero, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before")), lambda acc: acc["before"])
+
+
+def _spans(pieces: Column, at: Column) -> Column:
+    """Spans of the learnt texts among ``pieces``, the first of which starts at ``at``."""
+    heads = F.transform(F.arrays_zip(pieces.alias("p"), _running(F.transform(pieces, _written)).alias("before")), lambda x: F.struct(x["p"].alias("p"), (at + x["before"] + F.length(x["p"]["head"])).alias("start")))
+    learnt = F.filter(heads, lambda x: x["p"]["learnt"])
+    return F.transform(learnt, lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["p"]["body"])).alias("end")))
 
 
 def parse(formatted: Column) -> Column:
@@ -97,5 +120,11 @@ def parse(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, loss: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    """All text under the loss mask (spans in order), unescaped, nothing between."""
+
+    def cut(spans: Column) -> Column:
+        first = F.element_at(spans, 1)["start"]
+        part = F.struct(F.substring(formatted, first + 1, F.element_at(spans, -1)["end"] - first).alias("text"), spans.alias("spans"))
+        return F.transform(F.array(part), lambda c: F.array_join(F.transform(c["spans"], lambda s: unescape(F.substring(c["text"], s["start"] - first + 1, s["end"] - s["start"]))), ""))[0]
+
+    return F.array_join(F.transform(_chunks(loss), cut), "")

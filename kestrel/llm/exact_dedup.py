@@ -4,14 +4,18 @@ Texts are equal when they are identical after every run of ASCII white space is
 Documents are grouped by length, those whose length another shares by a hash of their first
 characters, and only those still sharing a group by the SHA-256 of their whole text.
 
-The first two steps answer "does any other row share this key?" from a table of fixed size:
-keys are counted in ``LENGTH_SLOTS`` and ``PREFIX_SLOTS`` slots, and the crowded slots (one
-number each, so at most 8 MB) are broadcast; text is never shuffled for them. Two keys that
-share a slot merely let a row through to the next hash. Equality rests on the last step alone.
+One scan writes each text's length and prefix hash (12 bytes a row); the first two steps are
+aggregates of that table. Lengths are counted in ``LENGTH_SLOTS`` slots, as there are few of them at
+any size. Prefix hashes that two rows share are listed as they are, so a row of its own prefix is
+never read in full, however large the table grows. Up to ``BROADCAST_KEYS`` of them (8 MB) the list is
+broadcast and no text moves; beyond that it is joined by a shuffle, both sides being written
+tables, so that a hash that a third of all rows share is split. Equal hashes merely let a row
+through; equality rests on the last step alone.
 
 Defined results: a null text is empty; empty texts are equal to each other; of equal texts the
 smallest doc_id stays (a null id only if there is no other); of rows that repeat both id and text
-exactly one stays; an empty table yields no rows; other columns may have any name.
+exactly one stays; a very long text is one value, read whole; an empty table yields no rows; other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import materialize, text_or_empty
 
 LENGTH_SLOTS = 1 << 16
-PREFIX_SLOTS = 1 << 20
+#: Shared prefix hashes, of 8 bytes, that are broadcast at most.
+BROADCAST_KEYS = 1 << 20
 PREFIX_CHARS = 64
 
 
@@ -31,26 +36,35 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
 
 
-def _crowded(df: DataFrame, slot: str) -> DataFrame:
-    counted = df.groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(counted.filter(F.col("n") > 1).select(slot))
+def shared_prefixes(docs: DataFrame, prefix_chars: int, length_slots: int) -> DataFrame:
+    """Prefix hashes that more than one row has, among rows whose length another row has."""
+    norm = docs.select(normalised(text_or_empty()).alias("norm"))
+    keys = materialize(norm.select(F.length("norm").alias("length"), _prefix(prefix_chars).alias("prefix")), "dedup-keys")
+    keys = keys.withColumn("slot", F.pmod("length", F.lit(length_slots)))
+    lengths = keys.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("slot")
+    counted = keys.join(F.broadcast(lengths), "slot", "left_semi").groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counted.filter("n > 1").select("prefix"), "dedup-prefixes")
 
 
-def refine(docs: DataFrame, carry: list[str], prefix_chars: int = PREFIX_CHARS, length_slots: int = LENGTH_SLOTS, prefix_slots: int = PREFIX_SLOTS) -> DataFrame:
+def _prefix(chars: int) -> Column:
+    return F.xxhash64(F.length("norm"), F.substring("norm", 1, chars))
+
+
+def refine(docs: DataFrame, carry: list[str], prefix_chars: int = PREFIX_CHARS, length_slots: int = LENGTH_SLOTS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """doc (struct of the columns in ``carry``), norm, and full_hash, which is null where no other row can be equal."""
+    shared = shared_prefixes(docs, prefix_chars, length_slots)
+    small = shared.count() <= broadcast_keys
+    shared = shared.withColumn("same_prefix", F.lit(True))
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), normalised(text_or_empty()).alias("norm"))
-    by_length = base.withColumn("length_slot", F.pmod(F.length("norm"), F.lit(length_slots)))
-    crowded_lengths = _crowded(by_length.select("length_slot"), "length_slot")
-
-    prefix = F.xxhash64(F.length("norm"), F.substring("norm", 1, prefix_chars))
-    by_prefix = by_length.withColumn("prefix_slot", F.pmod(prefix, F.lit(prefix_slots)).cast("long"))
-    crowded_prefixes = _crowded(by_prefix.join(crowded_lengths, "length_slot", "left_semi").select("prefix_slot"), "prefix_slot")
-
-    # A left join to one row per slot keeps every document where it is; the slot lists are small.
-    sharing = by_length.join(crowded_lengths.withColumn("same_length", F.lit(True)), "length_slot", "left")
-    slot = F.when(F.col("same_length"), F.pmod(prefix, F.lit(prefix_slots)).cast("long"))
-    sharing = sharing.withColumn("prefix_slot", slot).join(crowded_prefixes.withColumn("same_prefix", F.lit(True)), "prefix_slot", "left")
-    return sharing.select("doc", "norm", F.when(F.col("same_prefix"), F.sha2("norm", 256)).alias("full_hash"))
+    base = base.withColumn("prefix", _prefix(prefix_chars))
+    if small:
+        marked = base.join(F.broadcast(shared), "prefix", "left")
+    elif "text" in carry:
+        # The text moves once, inside doc.
+        marked = base.drop("norm").join(shared.hint("merge"), "prefix", "left").withColumn("norm", normalised(text_or_empty("doc.text")))
+    else:
+        marked = base.join(shared.hint("merge"), "prefix", "left")
+    return marked.select("doc", "norm", F.when(F.col("same_prefix"), F.sha2("norm", 256)).alias("full_hash"))
 
 
 def dedup(docs: DataFrame, carry: list[str], digest: bool = False) -> DataFrame:

@@ -119,12 +119,28 @@ def test_exact_dedup(ready, corpus, odd, empty):
     assert exact_dedup.dedup(empty, ["doc_id"]).count() == 0
 
 
-def test_slots_only_let_more_rows_through(ready, corpus):
+def test_only_shared_prefixes_are_hashed_in_full(ready, corpus, odd):
     docs = ready.read.parquet(f"{SF}/documents.parquet")
-    few = exact_dedup.refine(docs, ["doc_id"], length_slots=1, prefix_slots=1).filter("full_hash is null").count()
-    many = exact_dedup.refine(docs, ["doc_id"]).filter("full_hash is null").count()
+    alone = exact_dedup.refine(docs, ["doc_id"]).filter("full_hash is null").count()
     shared = sum(size > 1 for _, size, _ in brute.exact_groups(corpus).values())
-    assert few == 0 < many <= len(corpus) - shared
+    assert 0 < alone <= len(corpus) - shared
+    assert exact_dedup.refine(docs, ["doc_id"], length_slots=1).filter("full_hash is null").count() == alone
+    assert exact_dedup.refine(docs, ["doc_id"], prefix_chars=0, length_slots=1).filter("full_hash is null").count() < alone
+    # Rows of one length and prefixes of their own: none is read in full, far beyond what any number of length slots tells apart.
+    many = ready.range(300_000).select(F.col("id").alias("doc_id"), F.format_string("%07d and the same end of every text", "id").alias("text"))
+    assert exact_dedup.refine(many, ["doc_id"]).filter("full_hash is not null").count() == 0
+    twice = many.unionByName(many.filter("doc_id < 1000"))
+    assert exact_dedup.refine(twice, ["doc_id"]).filter("full_hash is not null").count() == 2000
+
+
+def test_exact_dedup_beyond_the_broadcast(ready, corpus, odd, monkeypatch):
+    plain = exact_dedup.refine
+    monkeypatch.setattr(exact_dedup, "refine", lambda docs, carry: plain(docs, carry, broadcast_keys=0))
+    got = {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in queries.op3_exact_dedup(ready, SF).collect()}
+    assert got == brute.exact_groups(corpus)
+    few = exact_dedup.keep_first(odd)
+    monkeypatch.undo()
+    assert few.columns == odd.columns and sorted(map(repr, few.collect())) == sorted(map(repr, exact_dedup.keep_first(odd).collect()))
 
 
 def check_spans(got, texts):
@@ -406,6 +422,22 @@ def test_chat(ready, empty):
     assert chat.format_conversations(none).count() == 0
 
 
+def test_chat_of_very_many_turns(ready):
+    """100,000 turns in one conversation, and turn counts around a chunk's size; offsets and masked text against plain strings."""
+    sizes = {0: 100_000, **{i: n for i, n in enumerate([1, chat.CHUNK - 1, chat.CHUNK, chat.CHUNK + 1, 2 * chat.CHUNK], 1)}}
+    said = lambda t: f"é<{t}>" * (t % 4)
+    who = lambda t: "assistant" if t % 3 else "user"
+    rows = [(c, t, who(t), said(t)) for c, n in sizes.items() for t in range(n)]
+    done = chat.format_conversations(ready.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = done.select("conv_id", "formatted", "loss", chat.masked_text(F.col("formatted"), F.col("loss")).alias("m")).collect()
+    assert len(got) == len(sizes)
+    for r in got:
+        learnt = [said(t) for t in range(sizes[r.conv_id]) if t % 3]
+        assert r.m == "".join(learnt)
+        cut = [r.formatted[s.start : s.end] for s in r.loss]
+        assert cut == [x.replace("<", "&lt;").replace(">", "&gt;") for x in learnt]
+
+
 def test_nearest(ready):
     rows = duckdb.sql(f"select vec_id, embedding from '{SF}/embeddings.parquet'").fetchall()
     got = {}
