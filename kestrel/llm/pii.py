@@ -15,8 +15,8 @@ df <= e_df * (N / e_df)^(1 - r): no pair that could reach r is left out. Entitie
 directory's, say) tell the same about every term and are counted as one. Only DataFrame operations are used.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned row by row; an
-empty table yields no rows; a text of any length is scanned in linear time (possessive
-quantifiers); other columns may have any name.
+empty table yields no rows; a text of any length, with any number of spans and telling terms, is scanned and
+rebuilt without a search that grows with their product (possessive quantifiers, sorts of its words); other columns may have any name.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "p
 TERM = r"[\p{L}\p{M}\p{N}]++"
 SUPPORT = 2
 CONTEXT = 32
+#: Characters of a text that are cut out together when it is rebuilt.
+BLOCK = 256
 GENERALISE, REMOVE = 0.8, 0.95
 
 
@@ -156,23 +158,17 @@ def disclosing(near: DataFrame, n_docs: int, support: int = SUPPORT, threshold:
 def occurrences(scanned: DataFrame, told: DataFrame) -> DataFrame:
     """rid, start, end, ratio of every place where a document holds one of its terms in ``told`` (rid, term, ratio).
 
-    Terms never touch, so a mask of the text, one character for each of its own, has one run of # per place.
+    A told term is one more row among the words of its document, so no word is searched for in a list.
     """
-    listed = told.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("term", "ratio"))).alias("ratios"))
-    known = F.map_keys("ratios")
     zipped = F.arrays_zip(F.regexp_extract_all("text", F.lit(TERM), 0).alias("t"), F.split("text", TERM, -1).alias("g"))
-
-    def mask(x: Column) -> Column:
-        mark = F.when(F.array_contains(known, F.lower(x["t"])), F.lit("#")).otherwise(F.lit("."))
-        return F.concat(F.repeat(F.lit("."), F.length(x["g"])), F.coalesce(F.repeat(mark, F.length(x["t"])), F.lit("")))
-
-    hits = F.transform(F.filter(_terms(F.col("text")), lambda t: F.array_contains(known, t)), lambda t: F.element_at("ratios", t))
-    df = scanned.select("rid", "text").join(listed, "rid").select("rid", F.array_join(F.transform(zipped, mask), "").alias("mask"), hits.alias("ratio"))
-    each = F.arrays_zip(F.regexp_extract_all("mask", F.lit("#++"), 0).alias("m"), F.split("mask", "#++", -1).alias("g"), F.col("ratio").alias("ratio"))
-    placed = df.select("rid", F.posexplode(each).alias("place", "x")).select("rid", "place", "x.ratio", F.length("x.m").alias("size"), F.length("x.g").alias("gap"))
+    inside = scanned.select("rid", "text").join(told.select("rid").distinct(), "rid", "left_semi").select("rid", F.posexplode(zipped).alias("place", "x"))
+    words = inside.filter(F.col("x.t").isNotNull()).select(
+        "rid", "place", F.lower("x.t").alias("term"), F.length("x.t").alias("size"), F.length("x.g").alias("gap"), F.lit(None).cast("double").alias("ratio"))
+    listed = told.select("rid", F.lit(-1).alias("place"), "term", F.lit(0).alias("size"), F.lit(0).alias("gap"), "ratio")
     so_far = W.partitionBy("rid").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    end = F.sum((F.col("gap") + F.col("size")).cast("long")).over(so_far)
-    return placed.filter(F.col("size").isNotNull()).withColumn("end", end).select("rid", (F.col("end") - F.col("size")).alias("start"), "end", "ratio")
+    both = words.unionByName(listed).withColumn("end", F.sum((F.col("gap") + F.col("size")).cast("long")).over(so_far))
+    rated = both.withColumn("ratio", F.max("ratio").over(W.partitionBy("rid", "term")))
+    return rated.filter((F.col("place") >= 0) & F.col("ratio").isNotNull()).select("rid", (F.col("end") - F.col("size")).alias("start"), "end", "ratio")
 
 
 def _clear_of(patterns: DataFrame, terms: DataFrame) -> DataFrame:
@@ -183,8 +179,8 @@ def _clear_of(patterns: DataFrame, terms: DataFrame) -> DataFrame:
     return both.withColumn("reach", reach).filter(pattern | (F.coalesce(F.col("reach"), F.lit(-1)) < F.col("end"))).drop("reach")
 
 
-def find(docs: DataFrame, carry: list[str], support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """doc (struct of ``carry``) and spans: structs (start, rank, end, kind, ratio), ordered; rank is the kind's place, terms last."""
+def _all_spans(docs: DataFrame, carry: list[str], support: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The scanned documents, and one row per span: rid, start, rank, end, kind, ratio; rank is the kind's place, terms last."""
     scanned = scan(docs, carry)
     spans = materialize(entities(scanned), "pii-spans")
     n_docs = scanned.count()
@@ -195,8 +191,13 @@ def find(docs: DataFrame, carry: list[str], support: int = SUPPORT, threshold: f
     patterns = spans.select("rid", "start", rank.alias("rank"), "end", "kind", F.lit(None).cast("double").alias("ratio"))
     # Tables on both sides: a value that a third of all spans share is split at run time.
     told = near.join(pairs, ["held", "e_df", "term"]).groupBy("rid", "term").agg(F.max("ratio").alias("ratio"))
-    placed = F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind", "ratio")))
-    per_row = _clear_of(patterns, occurrences(scanned, told)).groupBy("rid").agg(placed.alias("spans"))
+    return scanned, _clear_of(patterns, occurrences(scanned, materialize(told, "pii-told")))
+
+
+def find(docs: DataFrame, carry: list[str], support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
+    """doc (struct of ``carry``) and spans: structs (start, rank, end, kind, ratio), ordered; rank is the kind's place, terms last."""
+    scanned, spans = _all_spans(docs, carry, support, threshold)
+    per_row = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end", "kind", "ratio"))).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,ratio:double>>")
     return scanned.select("rid", "doc").join(per_row, "rid", "left").select("doc", F.coalesce("spans", none).alias("spans"))
 
@@ -210,6 +211,33 @@ def only_patterns(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["rank"] <= len(KINDS))
 
 
+def _replaced(text: Column, cover: Column) -> Column:
+    """``text`` with the stretches of ``cover`` (start, end, mark; in order, apart) replaced by their marks.
+
+    The text is cut into blocks once, and what stands between two stretches is taken from its own blocks: a
+    substring of the whole text would be counted from its first character for every stretch.
+    """
+
+    def between(blocks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / BLOCK).cast("int")
+        own = F.array_join(F.slice(blocks, first + 1, (F.ceil(end / BLOCK) - first).cast("int")), "")
+        return F.substring(own, (start - F.lit(BLOCK) * first + 1).cast("int"), (end - start).cast("int"))
+
+    def rebuilt(x: Column) -> Column:
+        blocks, spans = x["blocks"], x["cover"]
+        starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
+        ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(x["size"]))
+        marks = F.concat(F.transform(spans, lambda s: s["mark"]), F.array(F.lit("")))
+        parts = F.arrays_zip(starts.alias("start"), ends.alias("end"), marks.alias("mark"))
+        kept = F.transform(parts, lambda p: F.when(p["end"] > p["start"], between(blocks, p["start"], p["end"])).otherwise(F.lit("")))
+        return F.array_join(F.zip_with(kept, parts, lambda k, p: F.concat(k, p["mark"])), "")
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}+"), 0)
+    # A lambda's variable is worked out once, whatever the optimiser makes of the columns.
+    once = F.array(F.struct(blocks.alias("blocks"), cover.alias("cover"), F.length(text).cast("long").alias("size")))
+    return F.get(F.transform(once, rebuilt), 0)
+
+
 def sanitise(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``docs`` with every pattern span and telling term replaced; ``n_chars``, if there, is brought up to date.
 
@@ -218,30 +246,17 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERAL
     replaced once, by the kind of the first. Texts without a span pass untouched.
     """
     columns = docs.columns
-    found = find(docs, columns, support, threshold)
-
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.array_append(F.slice(acc, 1, F.size(acc) - 1), last.withField("end", F.greatest(last["end"], s["end"])))
-        return F.when((F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] > s["start"]), joined).otherwise(F.array_append(acc, s))
-
-    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,ratio:double>>")
-    cover = F.aggregate("spans", none, merge)
-    text = F.coalesce(F.col("doc.text"), F.lit(""))
-
-    def swap(s: Column) -> Column:
-        return F.when(s["ratio"] >= remove, F.lit("")).otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-
-    pieces = F.transform(
-        "cover",
-        lambda s, i: F.concat(
-            F.substring(text, F.coalesce(F.get("cover", i - 1)["end"], F.lit(0)).cast("int") + 1, (s["start"] - F.coalesce(F.get("cover", i - 1)["end"], F.lit(0))).cast("int")),
-            swap(s),
-        ),
-    )
-    rest = F.substring(text, (F.element_at("cover", -1)["end"] + 1).cast("int"), F.length(text))
-    new = F.when(F.size("cover") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("doc.text"))
-    out = found.select("doc", cover.alias("cover")).select("doc", new.alias("new"))
+    scanned, spans = _all_spans(docs, columns, support, threshold)
+    earlier = W.partitionBy("rid").orderBy("start", "rank", "end")
+    reach = F.max("end").over(earlier.rowsBetween(W.unboundedPreceding, -1))
+    apart = spans.withColumn("fresh", F.when(reach > F.col("start"), 0).otherwise(1))
+    apart = apart.withColumn("island", F.sum("fresh").over(earlier.rowsBetween(W.unboundedPreceding, 0)))
+    covers = apart.groupBy("rid", "island").agg(F.min(F.struct("start", "rank", "end", "kind", "ratio")).alias("first"), F.max("end").alias("end"))
+    mark = F.when(F.col("first.ratio") >= remove, F.lit("")).otherwise(F.concat(F.lit("<"), F.upper("first.kind"), F.lit(">")))
+    cover = F.sort_array(F.collect_list(F.struct(F.col("first.start").alias("start"), "end", mark.alias("mark"))))
+    found = scanned.select("rid", "doc").join(covers.groupBy("rid").agg(cover.alias("cover")), "rid", "left")
+    new = F.when(F.col("cover").isNotNull(), _replaced(F.col("doc.text"), F.col("cover"))).otherwise(F.col("doc.text"))
+    out = found.select("doc", new.alias("new"))
     return out.select(*[
         F.col("new").alias(c) if c == "text" else (F.length("new").cast(docs.schema[c].dataType) if c == "n_chars" else F.col(f"doc.`{c}`")).alias(c)
         for c in columns

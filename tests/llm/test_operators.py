@@ -230,6 +230,43 @@ def test_a_directory_counts_as_one_entity(ready):
     assert set(terms_found(df, dict(rows))[0]) == {"Orchard", "seat"}
 
 
+def test_long_texts_with_many_spans_and_told_terms(ready):
+    """Thousands of addresses, each between names that tell it, in texts of several blocks; marks at both ends and side by side."""
+    import re
+
+    n = 4000
+    listing = [f"Name{i} p{i}@mail.org," for i in range(n)]
+    rows = [(j, ("\U0001f600 " * j).join([f"q{j}@x.org " + " ".join(listing[j:] + listing[:j]), " 10.0.0.1<>a@b.c"])) for j in (0, 1, 300)]
+    rows += [(1000 + i, f"nothing of note {i} " + "é" * (256 * i)) for i in range(40)]
+    df = ready.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    for i, text in rows:
+        marked = re.sub(r"[A-Za-z0-9]+@[a-z]+\.[a-z]+", "<EMAIL>", re.sub(r"10\.0\.0\.1", "<IP>", text)) if i < 1000 else text
+        assert clean[i] == re.sub(r"Name[0-9]+", "", marked), i
+
+
+def test_overlapping_spans_are_replaced_once(ready):
+    """A phone number over an address and a card: one mark, of the first kind."""
+    rows = [(1, "x +1 10.0.0.1 2345 y"), (2, "+12.3.4.5678901"), (3, "call +4111 1111 1111 1111"), (4, "1.2.3.4@x.org"), (5, "a@b.c")]
+    df = ready.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    for i, text in rows:
+        want, at = "", 0
+        for s, e, k in merged(brute.personal(text)):
+            want, at = want + text[at:s] + f"<{k.upper()}>", e
+        assert clean[i] == want + text[at:], text
+
+
+def merged(spans):
+    out = []
+    for s, _, e, k in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e, k])
+    return out
+
+
 def test_pairs_pruned_by_df_are_below_the_threshold(ready, corpus):
     """Terms of every document against a count without pruning, on documents that share invented addresses."""
     import math
