@@ -17,7 +17,7 @@ from kestrel.plans import landing as _landing
 from kestrel.plans import silver
 from kestrel.plans.registry import _ORACLES, AS_OF, ntz, register
 from kestrel.plans.queries_core import COARSE_STORIES_SQL, _coarse_stories
-from kestrel.session import scratch_path
+from kestrel.session import scratch_path, spread
 from kestrel.sinks import keyed, lake, topic
 from kestrel.streaming import ingest, late
 from kestrel.streaming.specs import DQ_ALERTS_TOPIC, SPECS_BY_NAME, TOPICS
@@ -364,8 +364,12 @@ def refresh_twice(spark: SparkSession, sf: str) -> DataFrame:
             (F.floor("value") + more).alias("points"), F.date_format(F.col("ts").cast("timestamp"), _landing.ISO).alias("created_at"))).alias("hits")))
         return F.when(F.col("event_type") == "error", F.substring(page, 1, 30)).otherwise(page)
 
-    orders, events, customer = (b.table(spark, sf, t) for t in ("orders", "events", "customer"))
+    orders = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    events = b.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    customer = b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     tracked, store = b.tracked(customer), refresh.Store(scratch_path(spark, "refresh-twice"))
+    # Every row becomes a page that is written and parsed, in tasks that the size of the files does not tell.
+    orders, events, customer = spread(orders), spread(events), spread(customer)
     key = F.col("c_custkey").cast("string").alias("name")
     searches = customer.select(key, F.lit('{"query":{"search":[{"title":"T"}]}}').alias("payload"))
     summary = F.to_json(F.struct(F.col("c_mktsegment").alias("extract")))

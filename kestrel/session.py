@@ -87,14 +87,23 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
 
 
-def materialize(df, name: str):
+def spread(df):
+    """``df`` dealt out evenly over as many tasks as a shuffle has.
+
+    For costly work on each row of a small file: a scan makes a task for so many bytes, and at most one for
+    each row group, so that a few compressed megabytes with millions of rows would all be worked on by a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def materialize(df, name: str, **options: str):
     """Write ``df`` once as parquet under the shared folder and read it back.
 
     For an intermediate that several branches of a plan reuse: it is computed once, the
     lineage is cut (a lost executor re-reads the files instead of recomputing the inputs),
-    and the read-back is columnar with statistics for the planner.
+    and the read-back is columnar with statistics for the planner. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)

@@ -90,8 +90,9 @@ def parse_repos(df: DataFrame, org: str = "org", scraped_at: Column | None = Non
     """
     ctx = [c for c in df.columns if c not in (PAYLOAD, "position")]
     page = F.from_json(F.col(PAYLOAD), "array<map<string,string>>")
-    broken = _broken_page(F.col(PAYLOAD), page, "[")
-    el = df.select(*ctx, broken.alias("__page"), F.posexplode_outer(page).alias("position", "__m"))
+    read = df.select(*ctx, PAYLOAD, page.alias("__items"))  # parsed once, for both uses
+    broken = _broken_page(F.col(PAYLOAD), F.col("__items"), "[")
+    el = read.select(*ctx, broken.alias("__page"), F.posexplode_outer("__items").alias("position", "__m"))
     el = el.where(F.col("position").isNotNull() | F.col("__page").isNotNull())
     m = F.col("__m")
 
@@ -154,7 +155,8 @@ def parse_stories(df: DataFrame, company: str = "company", key_form: str = "item
     """
     page = F.from_json(F.col(PAYLOAD), T.StructType([T.StructField("hits", T.ArrayType(HIT_ITEM))]))
     ctx = [c for c in df.columns if c != PAYLOAD]
-    ex = df.select(*ctx, _broken_page(F.col(PAYLOAD), page, "{").alias("__page"), F.posexplode_outer(page["hits"]).alias("position", "__h"))
+    read = df.select(*ctx, PAYLOAD, page.alias("__read"))  # parsed once, for both uses
+    ex = read.select(*ctx, _broken_page(F.col(PAYLOAD), F.col("__read"), "{").alias("__page"), F.posexplode_outer(F.col("__read")["hits"]).alias("position", "__h"))
     ex = ex.where(F.col("position").isNotNull() | F.col("__page").isNotNull())
     h = F.col("__h")
     unfit = [F.coalesce(h[c], F.lit("0")).isNotNull() & _number(F.coalesce(h[c], F.lit("0"))).isNull() for c in ("points", "num_comments")]

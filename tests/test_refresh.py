@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from kestrel.plans import refresh
 from kestrel.sinks import lake
 from kestrel.session import scratch_path
@@ -117,3 +119,25 @@ def test_refresh_reads_every_row_and_the_last_page_wins(spark):
     refresh.refresh(spark, store, tracked, landed, stories, AS_OF)
     gold = lake.read_gold(spark, store.gold("company_signals")).first()
     assert (gold.repo_count, gold.total_stars) == (1200, 1204)
+
+
+def test_pages_of_one_small_file_are_parsed_by_many_tasks(spark, monkeypatch):
+    from kestrel.plans import queries_io
+
+    class Seen(Exception):
+        pass
+
+    def watched(spark, store, tracked, repos, stories, as_of, *, landed_searches, landed_summaries):
+        raise Seen([df.rdd.getNumPartitions() for df in (repos, stories, landed_searches, landed_summaries)])
+
+    monkeypatch.setattr(refresh, "refresh", watched)
+    sf = scratch_path(spark, "small-files")
+    for name, row in (
+        ("orders", "id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, '1-URGENT' AS o_orderpriority, 1.0D AS o_totalprice, DATE'2024-01-01' AS o_orderdate"),
+        ("events", "id AS event_id, id AS user_id, 'view' AS event_type, 1.0D AS value, TIMESTAMP'2024-01-01' AS ts"),
+        ("customer", "id AS c_custkey, 'BUILDING' AS c_mktsegment, 1.0D AS c_acctbal"),
+    ):
+        spark.range(0, 100, 1, 1).selectExpr(*row.split(", ")).write.parquet(f"{sf}/{name}.parquet")
+    with pytest.raises(Seen) as seen:
+        queries_io.refresh_twice(spark, sf)
+    assert set(seen.value.args[0]) == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
