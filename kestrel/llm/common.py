@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from kestrel.session import materialize, shared_dir
 
-#: Rows and bytes handed to a Python task at a time: long texts make large batches, so keep them short.
-BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+#: Rows and bytes handed to a Python task at a time: long texts make large batches, so keep them short. The executor holds
+#: several copies of a batch outside its heap.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

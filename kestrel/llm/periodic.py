@@ -16,7 +16,7 @@ Hashes say only where to look; what is reported has been compared word by word.
 only if two different grams of a text had one 64-bit hash.)
 
 The texts of an Arrow batch are laid one after the other, longest first, so that a scale touches only
-the texts that can hold its periods. A task holds one batch (32 MB of text at most, or one longer text):
+the texts that can hold its periods. A task holds one batch (4 MB of text at most, or one longer text):
 about 60 bytes a word. The work is O(n log n) for each of about 3 * log2(n) scales.
 
 Defined results: a null text holds no words; texts shorter than ``MIN_LENGTH`` words have no runs; very

@@ -56,6 +56,10 @@ COST = 0.5
 ENDINGS = 1021
 #: A block ends at this many documents or characters, whichever comes first.
 BLOCK_ROWS, BLOCK_CHARS = 1000, 4_000_000
+#: Writer options of the staged blocks.
+BY_BLOCK = {"parquet.block.size": str(1 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.row.count.limit": "1"}
+#: Places of a block that are looked at together: a task holds a few arrays of this length, not of the block's.
+PIECE = 1 << 16
 
 START, END, FIRST_ENDING = 0, 1, 2
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -249,15 +253,19 @@ def _laid(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Documents one after the other as START, symbols, END; the places to predict (all but START); how far each may look back."""
     ends = np.cumsum(sizes + 2)
     starts = ends - sizes - 2
-    flat = np.empty(int((sizes + 2).sum()), np.int64)
+    flat = np.empty(int((sizes + 2).sum()), np.int32)
     inner = np.ones(len(flat), bool)
     inner[starts] = inner[ends - 1] = False
     flat[starts], flat[ends - 1], flat[inner] = START, END, symbols
-    place = np.arange(len(flat)) - np.repeat(starts, sizes + 2)
+    place = np.arange(len(flat), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes + 2)
     at = np.flatnonzero(place > 0)
     return flat, at, place[at]
 
 
+def _pieces(n: int) -> Iterator[slice]:
+    return (slice(a, a + PIECE) for a in range(0, n, PIECE))
+
+
 def _of_block(batch: pa.RecordBatch, i: int, *names: str) -> list:
     out: list = []
     for name in names:
@@ -290,13 +298,23 @@ def next_counts(staged: DataFrame, tree: Tree, contexts: list[tuple[int, ...]])
                 symbols = mapped.symbols(words)[tokens[np.repeat(train, sizes)]]
                 flat, at, back = _laid(symbols, sizes[train])
                 at = at[back >= depth]
-                key = np.full(len(at), _ROOT)
-                for d in range(1, depth + 1):
-                    key = _deeper(key, flat[at - d])
-                hit = _place(wanted, key) >= 0
-                key, symbol = key[hit], flat[at[hit]]
-                _, one, n = np.unique(_entry(key, symbol), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key[one].view(np.int64)), pa.array(symbol[one].astype(np.int32)), pa.array(n)], names=["context", "symbol", "n"])
+                del back
+                found = []
+                for piece in _pieces(len(at)):
+                    near = at[piece]
+                    key = np.full(len(near), _ROOT)
+                    for d in range(1, depth + 1):
+                        key = _deeper(key, flat[near - d])
+                    hit = _place(wanted, key) >= 0
+                    key, symbol = key[hit], flat[near[hit]]
+                    entry, one, n = np.unique(_entry(key, symbol), return_index=True, return_counts=True)
+                    found.append((entry, key[one], symbol[one], n))
+                if found:
+                    entry, key, symbol, n = (np.concatenate(x) for x in zip(*found))
+                    order = np.argsort(entry, kind="stable")
+                    first = np.flatnonzero(np.diff(entry[order], prepend=~entry[order[:1]]))
+                    one, n = order[first], np.add.reduceat(n[order], first) if len(first) else n
+                    yield pa.RecordBatch.from_arrays([pa.array(key[one].view(np.int64)), pa.array(symbol[one]), pa.array(n)], names=["context", "symbol", "n"])
 
     rows = staged.select("held", "sizes", "tokens", "words").mapInArrow(run, "context long, symbol int, n long")
     table = rows.groupBy("context", "symbol").agg(F.sum("n").alias("n")).filter("n >= 2").toArrow()
@@ -353,7 +371,8 @@ def bucket_count(docs: DataFrame) -> int:
 def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     id_type = dict(docs.select("doc_id").dtypes)["doc_id"]
-    staged = materialize(blocks(docs, held_out, bucket_count(docs)), "suffix-blocks")
+    # A row group for each block: what is read, and held outside the heap, at a time is one block's column, not a file's.
+    staged = materialize(blocks(docs, held_out, bucket_count(docs)), "suffix-blocks", **BY_BLOCK)
     totals = materialize(word_totals(staged), "suffix-totals")
     words = totals.filter("block is null").select("words", "counts")
     zero = F.lit(0).cast("long")
@@ -418,22 +437,28 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
                 ids = batch.column(batch.schema.get_field_index("ids")).slice(i, 1).flatten()
                 held = batch.column(batch.schema.get_field_index("held")).slice(i, 1).flatten()
                 sizes, tokens, words, c = _of_block(batch, i, "sizes", "tokens", "words", "totals")
-                c = c.astype(float)
                 symbol = tree.symbols(words)
                 flat, at, back = _laid(symbol[tokens], sizes)
-                is_end = flat[at] == END
-                seen = np.ones(len(at))
-                base = np.full(len(at), math.log10((ends + 0.5) / below))
-                inner = np.zeros(len(at))
                 known = c > 0
-                share = np.where(known, np.log10(np.where(known, (c + 0.5) / np.maximum(mass[symbol], 0.5), 1)), 0)
-                seen[~is_end], base[~is_end], inner[~is_end] = known[tokens], np.log10((c + 0.5) / below)[tokens], share[tokens]
-                seen[is_end] = ends > 0
-                word = (seen > 0) | is_end
-                log = np.full(len(at), math.log10(unseen))
-                log[word] = (np.log10(tree.predict(flat, at[word], back[word])) + inner[word]) + math.log10(1 - unseen)
+                base_of = np.log10((c.astype(float) + 0.5) / below)
+                share_of = np.where(known, np.log10(np.where(known, (c + 0.5) / np.maximum(mass[symbol], 0.5), 1)), 0)
+                values, words_before = np.empty((len(at), 3)), 0
+                for piece in _pieces(len(at)):
+                    near = at[piece]
+                    is_end = flat[near] == END
+                    token = tokens[words_before:words_before + int((~is_end).sum())]
+                    words_before += len(token)
+                    seen = np.ones(len(near))
+                    base = np.full(len(near), math.log10((ends + 0.5) / below))
+                    inner = np.zeros(len(near))
+                    seen[~is_end], base[~is_end], inner[~is_end] = known[token], base_of[token], share_of[token]
+                    seen[is_end] = ends > 0
+                    word = (seen > 0) | is_end
+                    log = np.full(len(near), math.log10(unseen))
+                    log[word] = (np.log10(tree.predict(flat, near[word], back[piece][word])) + inner[word]) + math.log10(1 - unseen)
+                    values[piece] = np.c_[seen, base, log]
                 firsts = np.cumsum(sizes + 1) - sizes - 1
-                run = np.add.reduceat(np.c_[seen, base, log], firsts, axis=0)
+                run = np.add.reduceat(values, firsts, axis=0)
                 yield pa.RecordBatch.from_arrays(
                     [ids, held, pa.array(sizes + 1), pa.array(run[:, 0].astype(np.int64)), pa.array(np.full(len(sizes), n, np.int64)), pa.array(run[:, 1]), pa.array(run[:, 2])],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],

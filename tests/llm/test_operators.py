@@ -504,6 +504,30 @@ def test_nearest_odd(ready):
     assert ann.nearest(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_long_texts_reach_a_task_a_few_at_a_time(ready):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    long = ready.range(0, 20, 1, 1).selectExpr("repeat('x', 1000000 + cast(id as int)) as text")
+    got = [r.n for r in long.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 20_000_000 and max(got) < 6_000_000
+
+
+def test_tree_of_blocks_that_are_looked_at_in_pieces(ready):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in (np.arange(n) + (rng.random(n) < 0.1)) % 40) for n in (70_000, 0, 3, 9_000, 66_000)]
+    assert len(texts[0].split()) > suffix_tree.PIECE
+    rows = list(enumerate(texts))
+    want, states = brute.tree_scores(rows, lambda i: i == 3, suffix_tree)
+    assert states
+    df = ready.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in suffix_tree.score(df, F.col("doc_id") == 3).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(ready, name):
     con = duckdb.connect()
