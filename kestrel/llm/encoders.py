@@ -12,8 +12,8 @@ from array import array
 
 import numpy as np
 
-#: Entries in one generation of a memo (about 200 bytes each); a Python worker holds four generations at most.
-MEMO_ENTRIES = 300_000
+#: Entries in one generation of a memo (about 200 bytes each); a Python worker holds two generations for each vocabulary.
+MEMO_ENTRIES = 200_000
 
 _ENCODERS: dict = {}
 
@@ -70,6 +70,10 @@ class _Memo(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 def _pack(ids: list[int]) -> bytes:
     out = array("I", ids)
@@ -79,14 +83,23 @@ def _pack(ids: list[int]) -> bytes:
 
 
 class _Encoder:
-    """Pieces of plain Latin letters with full stops or commas go to the merge model run by run; all others take the whole tokenizer."""
+    """Pieces of plain Latin letters with full stops or commas go to the merge model run by run; all others take the whole tokenizer.
+
+    A run of letters is a piece itself, so one memo holds both.
+    """
+
+    MARKS = ".,"
 
     def __init__(self, path: str):
         self.tokenizer = _load(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.runs = _Memo(self._run)
+        self.marks = {m: self._run(m) for m in self.MARKS}
         self.memo = _Memo(self._piece)
 
+    def forget(self) -> None:
+        """Empties the memo: a Python worker outlives its tasks, and would hold it beside all later stages."""
+        self.memo.forget()
+
     def _run(self, run: str) -> bytes:
         level = run.replace(" ", BYTE_CHARS[32]).replace("\n", BYTE_CHARS[10]) if run.isascii() else _as_level(run)
         return _pack([t.id for t in self.tokenize(level)])
@@ -107,8 +120,9 @@ class WordEncoder(_Encoder):
     def _piece(self, word: bytes) -> bytes:
         text = word.decode()
         if m := self._LETTERS.fullmatch(text):
-            ids = self.runs[m[1].lower()]
-            return ids + self.runs[m[2]] if m[2] else ids
+            run = m[1].lower()
+            ids = self._run(run) if run == text else self.memo[run.encode()]
+            return ids + self.marks[m[2]] if m[2] else ids
         return self._whole(text)
 
     def encode(self, text: str) -> bytes:
@@ -128,6 +142,7 @@ class SpacedEncoder(_Encoder):
     #: character, or leads a character that may be white space (U+0085, U+00A0, U+1680, U+2000.., U+3000).
     UNSAFE = re.compile(rb" (?![!-~\xc3-\xdf\xe4-\xf4])")
     SPECIAL = b"<|endoftext|>"
+    MARKS = ".,\n"
     _LINES = re.compile("(?: ?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?)(?:\n[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?)*")
     _RUNS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|[.,\n]")
 
@@ -141,7 +156,10 @@ class SpacedEncoder(_Encoder):
     def _piece(self, piece: bytes) -> bytes:
         text = piece.decode()
         if self._LINES.fullmatch(text):
-            return b"".join([self.runs[r] for r in self._RUNS.findall(text)])
+            runs = self._RUNS.findall(text)
+            if len(runs) == 1:
+                return self._run(text)
+            return b"".join([self.marks[r] if r in self.marks else self.memo[r.encode()] for r in runs])
         return self._whole(text)
 
     def pieces(self, raw: bytes) -> list[bytes]:

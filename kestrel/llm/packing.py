@@ -116,6 +116,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, shared: i
                  pa.array(rows[3], pa.binary()), pa.array(rows[4], pa.int64())],
                 names=["doc_id", "start", "length", "ids", "doc_tokens"],
             )
+        enc.forget()
+        pa.default_memory_pool().release_unused()
 
     return id_text(docs).mapInArrow(run, f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long")
 

@@ -34,6 +34,8 @@ SHINGLE, SEED, RADIUS = 3, 42, 3
 PARTS = 4
 #: Fingerprints of one cell that a task holds at once.
 TILE = 4096
+#: Links that a file of a round holds at least, unless there are fewer files than ``ROUND_FILES``.
+FILE_LINKS, ROUND_FILES = 100_000, 12
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -199,13 +201,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., 2014): each node's larger neighbours, then its
     smaller ones, are hung on the smallest, until nothing moves. A round is written to the shared
-    folder; a hub of many links is summed up before it is shuffled, and joined as a plain table.
+    folder, in as many files as its links need (each local file costs the executor a process besides); a hub
+    of many links is summed up before it is shuffled, and joined as a plain table.
     """
 
-    def star(links_: DataFrame, large: bool) -> DataFrame:
+    def written(df: DataFrame, n: int, name: str) -> DataFrame:
+        return materialize(df.coalesce(max(ROUND_FILES, -(-n // FILE_LINKS))), name)
+
+    def star(links_: DataFrame, n: int, large: bool) -> DataFrame:
         both = links_.unionByName(links_.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links_
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        least = materialize(least, f"{name}-least")
+        least = written(least, n, f"{name}-least")
         hung = both.join(least, "a")
         if large:
             return hung.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -222,7 +228,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         if mark == before or mark["n"] == 0:
             break
         before = mark
-        now = materialize(star(materialize(star(now, True), name), False), name)
+        n = mark["n"]
+        now = written(star(written(star(now, n, True), n, name), n, False), n, name)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
