@@ -34,7 +34,7 @@ SHINGLE, SEED, RADIUS = 3, 42, 3
 PARTS = 4
 #: Fingerprints of one cell that a task holds at once.
 TILE = 4096
-#: Links that a file of a round holds at least, unless there are fewer files than ``ROUND_FILES``.
+#: A round is written in a file for each so many links, or in ``ROUND_FILES`` if that is more; never in more than a shuffle has tasks.
 FILE_LINKS, ROUND_FILES = 100_000, 12
 
 _LANES = np.uint64(0x0101010101010101)
